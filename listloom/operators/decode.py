@@ -68,54 +68,57 @@ def _rule(wire_type: Column, field: Column, raw: Column, result_type: Column) ->
     )
 
 
-def _warning(rule: Column, body: Column, parts: Column, slots: dict[str, Column]) -> Column:
-    full = ~wire.is_blank(body)
-    n = F.size(parts)
-    return (
-        F.when((rule == "number") & full & slots["v_double"].isNull(), "number_unparseable")
-        .when((rule == "integer") & full & slots["v_bigint"].isNull(), "int_unparseable")
-        .when((rule == "boolean") & full & slots["v_bool"].isNull(), "boolean_unparseable")
-        .when((rule == "datetime") & full & slots["v_ts"].isNull(), "datetime_unparseable")
-        .when(
-            rule.isin("lookup", "taxonomy"),
-            F.when((n == 1) & F.get(F.col("v_refs"), F.lit(0))["id"].isNull(), "lookup_without_id").when(
-                n > 2, "lookup_odd_tokens"
-            ),
-        )
-        .when(rule.isin("lookup_multi", "taxonomy_multi") & (n % 2 == 1), "lookup_multi_odd_tokens")
-        .when(rule == "unknown", "calculated_unknown_prefix")
+def _warning(rule: Column, text: Column, plain: Column, parts: Column) -> Column:
+    bad = F.when((rule == "number") & F.col("v_double").isNull(), "number_unparseable")
+    bad = bad.when((rule == "integer") & F.col("v_bigint").isNull(), "int_unparseable")
+    bad = bad.when((rule == "boolean") & F.col("v_bool").isNull(), "boolean_unparseable")
+    bad = bad.when((rule == "datetime") & F.col("v_ts").isNull(), "datetime_unparseable")
+    delim = F.instr(plain, fixed.DELIM)
+    no_id = (delim == 0) & F.get("v_refs", F.lit(0))["id"].isNull()
+    odd = F.instr(F.substr(plain, delim + len(fixed.DELIM)), fixed.DELIM) > 0
+    bad = bad.when(
+        rule.isin("lookup", "taxonomy"),
+        F.when(no_id, "lookup_without_id").when((delim > 0) & odd, "lookup_odd_tokens"),
     )
+    bad = bad.when(rule.isin("lookup_multi", "taxonomy_multi") & (F.size(parts) % 2 == 1), "lookup_multi_odd_tokens")
+    return F.when(rule == "unknown", "calculated_unknown_prefix").when(text != "", bad)
+
+
+_VERBATIM = ["text", "choice", "url", "flag", "unknown", "blank"]
+_LISTED = ["lookup_multi", "taxonomy_multi", "multi_choice", "urls", "folder"]
 
 
 def decode_fields(exploded: DataFrame) -> DataFrame:
     """Typed slots for every (item, field); reads wire_type, field, raw and result_type.
 
-    Three stacked projections and no shuffle: the rule and its text, the token
-    list where a rule needs one, then one expression per output slot.
+    One narrow pass without a shuffle. Rule, text and unwrapped text come out of
+    one-row generators first: slots then refer to plain columns, where the optimizer
+    would otherwise copy those expressions into every slot and pushed-down filter.
     """
     carried = [c for c in exploded.columns if c != "result_type"]
     raw = F.col("raw")
     result_type = F.col("result_type") if "result_type" in exploded.columns else F.lit(None).cast("string")
-    staged = exploded.select(
-        *carried,
-        _rule(F.col("wire_type"), F.col("field"), raw, result_type).alias("_rule"),
-        F.when(F.col("wire_type") == "Calculated", wire.calculated_body(raw)).otherwise(raw).alias("_body"),
-    )
+    body = F.when(F.col("wire_type") == "Calculated", wire.calculated_body(raw)).otherwise(raw)
+    head = F.struct(_rule(F.col("wire_type"), F.col("field"), raw, result_type).alias("_rule"), body.alias("_body"))
+    staged = exploded.select(*carried, F.inline(F.array(head)))
     rule, body = F.col("_rule"), F.col("_body")
-    listed = rule.isin("lookup", "lookup_multi", "taxonomy", "taxonomy_multi", "multi_choice", "urls", "folder")
-    staged = staged.select("*", F.when(listed & body.isNotNull(), wire.tokens(body)).alias("_parts"))
-    parts = F.col("_parts")
-    single = wire.lookup_from(parts)
+    staged = staged.select("*", F.when(~rule.isin(_VERBATIM), wire.strip(body)).alias("_text"))
+    text = F.col("_text")
+    cut = F.struct(F.when(rule.isin(*_LISTED, "lookup", "taxonomy"), wire.unwrap(text)).alias("_plain"))
+    staged = staged.select("*", F.inline(F.array(cut)))
+    plain, parts = F.col("_plain"), F.col("_parts")
+    staged = staged.select("*", F.when(rule.isin(_LISTED) & plain.isNotNull(), wire.tokens_from(plain)).alias("_parts"))
+    single = wire.lookup_from(plain)
     slots = {
         "v_string": F.when(rule.isin("text", "unknown"), body).when(rule == "choice", wire.choice(body)),
-        "v_double": F.when(rule == "number", wire.number(body)),
-        "v_bigint": F.when(rule == "integer", wire.integer(body)).when(
-            rule == "folder", wire.strip(F.try_element_at(parts, F.lit(-1))).try_cast("int").cast("bigint")
+        "v_double": F.when(rule == "number", wire.number_from(text)),
+        "v_bigint": F.when(rule == "integer", wire.integer_from(text)).when(
+            rule == "folder", F.try_element_at(parts, F.lit(-1)).try_cast("int").cast("bigint")
         ),
-        "v_bool": F.when(rule == "boolean", wire.boolean(body)).when(rule == "flag", wire.attachment_flag(body)),
-        "v_ts": F.when(rule == "datetime", wire.instant(body)),
-        "v_refs": F.when((rule == "lookup") & (F.size(parts) > 0), F.array(single))
-        .when((rule == "taxonomy") & (F.size(parts) > 0), F.array(wire.with_term(single)))
+        "v_bool": F.when(rule == "boolean", wire.boolean_from(text)).when(rule == "flag", wire.attachment_flag(body)),
+        "v_ts": F.when(rule == "datetime", wire.instant_from(text)),
+        "v_refs": F.when((rule == "lookup") & (plain != ""), F.array(single))
+        .when((rule == "taxonomy") & (plain != ""), F.array(wire.with_term(single)))
         .when((rule == "lookup_multi") & parts.isNotNull(), wire.lookup_multi_from(parts))
         .when(
             (rule == "taxonomy_multi") & parts.isNotNull(),
@@ -126,13 +129,11 @@ def decode_fields(exploded: DataFrame) -> DataFrame:
         ),
         "v_url": F.when(rule == "url", wire.link(body)),
     }
-    decoded = staged.select(*carried, "_rule", "_body", "_parts", *[c.alias(k) for k, c in slots.items()])
-    code = _warning(rule, body, parts, {k: F.col(k) for k in slots})
-    return decoded.select(
-        *carried,
-        *slots,
-        F.array_compact(F.array(code)).alias("warnings"),
+    decoded = staged.select(
+        *carried, "_rule", "_text", "_plain", "_parts", *[c.alias(k) for k, c in slots.items()]
     )
+    code = _warning(rule, text, plain, parts)
+    return decoded.select(*carried, *slots, F.array_compact(F.array(code)).alias("warnings"))
 
 
 def decode_items(raw_items: DataFrame, list_fields: DataFrame) -> DataFrame:

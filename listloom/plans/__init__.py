@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["decoding"]
+MODULES = ["decoding", "relating", "changing"]
 
 
 def load() -> dict:

@@ -72,7 +72,7 @@ def main() -> int:
     registry = plans.load()
     wanted = args[1:] or list(registry)
     spark = (
-        session.builder("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+        session.builder("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
