@@ -103,10 +103,11 @@ def base_type_name(c: Column) -> Column:
     return out.otherwise(F.concat(F.lit("unknown_"), c))
 
 
-def build_items(raw_items: DataFrame, lists: DataFrame) -> DataFrame:
+def build_items(raw_items: DataFrame, lists: DataFrame, keep_raw: bool = False) -> DataFrame:
     """Item records straight from the raw map: one narrow pass and one join to ``lists``.
 
-    Rows without a usable id are left out; ``split_by_item_id`` lists them.
+    Rows without a usable id are left out; ``split_by_item_id`` lists them. With
+    ``keep_raw`` the raw map stays beside the record, prefixes stripped.
     """
     placed = lists.select(
         F.col("guid").alias("list_guid"),
@@ -141,4 +142,5 @@ def build_items(raw_items: DataFrame, lists: DataFrame) -> DataFrame:
         F.coalesce(wire.folder_flag(attr("FSObjType")) == 1, F.lit(False)).alias("is_folder"),
         wire.lookup(attr("FileRef"))["value"].alias("file_ref"),
         wire.lookup(attr("FileLeafRef"))["value"].alias("file_name"),
+        *([wire.strip_wire_prefix(F.col("raw")).alias("raw")] if keep_raw else []),
     )

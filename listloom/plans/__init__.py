@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["decoding", "relating", "changing"]
+MODULES = ["decoding", "relating", "changing", "reporting", "capturing"]
 
 
 def load() -> dict:

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from ..functions import names, wire
+from ..functions import names
 from ..operators.decode import value_variant
 from ..scale import PART_ROWS, rank_within
-from ..session import require_utc
+from ..session import materialise, require_utc
 
 _PLACE = ["web_slug", "list_slug"]
 
@@ -54,15 +54,12 @@ def _placed(df: DataFrame) -> DataFrame:
     return df.withColumn("web_slug", names.web_slug(F.col("web_url"))).withColumn("list_slug", names.guid_slug(F.col("list_guid")))
 
 
-def _write_lines(lines: DataFrame, places: DataFrame, path: str) -> None:
-    """Replace the partitions of every list in ``places``, empty lists included.
+def _write_lines(lines: DataFrame, blanks: DataFrame, path: str) -> None:
+    """Replace the partitions of all lists in ``lines`` and ``blanks``.
 
-    A list without rows gets one blank line, which readers skip, so that its old rows
-    go and the output is present. Rebalancing splits a huge list over many files and
-    keeps small lists in one.
+    Rebalancing splits a huge list over many files and keeps small lists in one.
     """
-    empty = places.join(lines.select(*_PLACE).distinct(), _PLACE, "left_anti").select(F.lit("").alias("value"), *_PLACE)
-    out = lines.unionByName(empty).hint("rebalance", *[F.col(p) for p in _PLACE])
+    out = lines.unionByName(blanks).hint("rebalance", *[F.col(p) for p in _PLACE])
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*_PLACE).text(path)
 
 
@@ -72,29 +69,24 @@ def write_landing(
     """Write each item to the decoded and to the raw output, replacing what was there.
 
     ``items`` is the contract shape; ``raw`` has doc_id, web_url, list_guid and the raw map
-    without prefixes. ``lists`` names every list of the run, with or without rows.
-    ``more_attachments`` are those an item does not carry itself.
+    without prefixes (``build_items(keep_raw=True)``). ``lists`` names every list of the
+    run: one without rows gets a blank line, which readers skip, so that its old rows go
+    and the output is present. ``more_attachments`` are those an item does not carry itself.
     """
     require_utc(items.sparkSession)
-    places = _placed(lists.select("web_url", F.col("guid").alias("list_guid"))).select(*_PLACE).distinct()
     keep_nulls = {"ignoreNullFields": "false"}
+    occupied = raw.select("web_url", "list_guid").distinct()
+    empty = lists.select("web_url", F.col("guid").alias("list_guid")).join(occupied, ["web_url", "list_guid"], "left_anti")
+    # One row per list at most; both outputs use it.
+    blanks = materialise(_placed(empty).select(F.lit("").alias("value"), *_PLACE))
     body = F.to_json(F.struct(*items.columns), keep_nulls)
-    _write_lines(_placed(items).select(body.alias("value"), *_PLACE), places, f"{root}/items")
+    _write_lines(_placed(items).select(body.alias("value"), *_PLACE), blanks, f"{root}/items")
     raw_body = F.to_json(F.struct("doc_id", "raw"), keep_nulls)
-    _write_lines(_placed(raw).select(raw_body.alias("value"), *_PLACE), places, f"{root}/items_raw")
+    _write_lines(_placed(raw).select(raw_body.alias("value"), *_PLACE), blanks, f"{root}/items_raw")
     if more_attachments is not None:
         more_attachments.write.mode("overwrite").json(f"{root}/attachments")
 
 
-def raw_lines(raw_items: DataFrame, items: DataFrame) -> DataFrame:
-    """Raw rows for ``write_landing``: prefixes stripped, doc_id taken from the item records."""
-    ids = items.select("list_guid", "item_id", "doc_id", "web_url")
-    stripped = raw_items.withColumn("item_id", wire.item_id(F.col("raw"))).select(
-        "list_guid", "item_id", wire.strip_wire_prefix(F.col("raw")).alias("raw")
-    )
-    return stripped.join(ids, ["list_guid", "item_id"])
-
-
 def write_list_schemas(lists: DataFrame, list_fields: DataFrame, root: str) -> None:
     """One JSON document per list with its fields in order."""
     columns = [c for c in list_fields.columns if c not in ("list_guid", "raw_attributes")]

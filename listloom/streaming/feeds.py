@@ -77,7 +77,10 @@ def _pending(spark: SparkSession, table: str, after_batch: int) -> DataFrame | N
 
 
 def current_rows(spark: SparkSession, table: str, keys: Sequence[str] = KEY) -> DataFrame:
-    """The table with all logged changes applied, the last one per key by feed order."""
+    """The table with all logged changes applied, the last one per key by feed order.
+
+    ``seq`` orders the whole log, so pages of one log may arrive in any order.
+    """
     from ..sinks.landing import current_version
 
     base = read_snapshot(spark, table)
@@ -85,7 +88,7 @@ def current_rows(spark: SparkSession, table: str, keys: Sequence[str] = KEY) ->
     log = _pending(spark, table, -1 if folded is None else folded)
     if log is None:
         return base
-    latest = latest_per_key(log.withColumn("_order", F.struct("batch_id", "seq")), keys, "_order")
+    latest = latest_per_key(log, keys)
     upserts, deletes = split_changes(latest)
     return apply_changes(base, upserts, deletes, keys)
 
