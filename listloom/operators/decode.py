@@ -85,7 +85,7 @@ def _warning(rule: Column, text: Column, plain: Column, parts: Column) -> Column
 
 
 _VERBATIM = ["text", "choice", "url", "flag", "unknown", "blank"]
-_LISTED = ["lookup_multi", "taxonomy_multi", "multi_choice", "urls", "folder"]
+_LISTED = ["lookup_multi", "taxonomy_multi", "multi_choice", "urls"]
 
 
 def decode_fields(exploded: DataFrame) -> DataFrame:
@@ -104,7 +104,7 @@ def decode_fields(exploded: DataFrame) -> DataFrame:
     rule, body = F.col("_rule"), F.col("_body")
     staged = staged.select("*", F.when(~rule.isin(_VERBATIM), wire.strip(body)).alias("_text"))
     text = F.col("_text")
-    cut = F.struct(F.when(rule.isin(*_LISTED, "lookup", "taxonomy"), wire.unwrap(text)).alias("_plain"))
+    cut = F.struct(F.when(rule.isin(*_LISTED, "lookup", "taxonomy", "folder"), wire.unwrap(text)).alias("_plain"))
     staged = staged.select("*", F.inline(F.array(cut)))
     plain, parts = F.col("_plain"), F.col("_parts")
     staged = staged.select("*", F.when(rule.isin(_LISTED) & plain.isNotNull(), wire.tokens_from(plain)).alias("_parts"))
@@ -113,7 +113,7 @@ def decode_fields(exploded: DataFrame) -> DataFrame:
         "v_string": F.when(rule.isin("text", "unknown"), body).when(rule == "choice", wire.choice(body)),
         "v_double": F.when(rule == "number", wire.number_from(text)),
         "v_bigint": F.when(rule == "integer", wire.integer_from(text)).when(
-            rule == "folder", F.try_element_at(parts, F.lit(-1)).try_cast("int").cast("bigint")
+            rule == "folder", wire.folder_flag_from(plain).cast("bigint")
         ),
         "v_bool": F.when(rule == "boolean", wire.boolean_from(text)).when(rule == "flag", wire.attachment_flag(body)),
         "v_ts": F.when(rule == "datetime", wire.instant_from(text)),

@@ -85,48 +85,56 @@ def map_odata_rows(pages: DataFrame, list_fields: DataFrame) -> DataFrame:
 
 
 def _typed(merged: DataFrame) -> DataFrame:
-    v, kind = F.col("_own.value"), F.coalesce(F.col("_own._kind"), F.lit("VOID"))
-    text = F.when(kind == "STRING", F.try_variant_get(v, "$", "string"))
-    whole = F.when(kind == "BIGINT", F.try_variant_get(v, "$", "bigint"))
-    wide = F.when(kind.startswith("DECIMAL") | (kind == "DOUBLE") | (kind == "FLOAT"), F.try_variant_get(v, "$", "double"))
+    """Typed slots of merged properties, in stages so that no value is read twice."""
+    keys = ["list_guid", "item_id", "field", "wire_type", "mapped"]
+    v, kind = F.col("_own.value"), F.col("_kind")
+    read = merged.select(*keys, "_ref_id", "_own", F.coalesce("_own._kind", F.lit("VOID")).alias("_kind")).select(
+        *keys,
+        "_ref_id",
+        "_kind",
+        v.alias("_v"),
+        F.when(kind == "STRING", F.try_variant_get(v, "$", "string")).alias("_text"),
+        F.when(kind == "BIGINT", F.try_variant_get(v, "$", "bigint")).alias("_whole"),
+        F.when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), F.try_variant_get(v, "$", "double")).alias("_wide"),
+        F.when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean")).alias("v_bool"),
+        F.when(kind.startswith("OBJECT"), F.try_variant_get(v, "$.results", "array<variant>")).alias("_many"),
+        F.when(kind.startswith("OBJECT"), F.try_variant_get(v, "$.Id", "variant")).isNotNull().alias("_nested"),
+    )
+    v, text, whole, many = F.col("_v"), F.col("_text"), F.col("_whole"), F.col("_many")
+    # The scalar id completes a label, or stands alone where no label came.
+    from_id = F.col("_ref_id").isNotNull() & kind.isin("STRING", "VOID")
     declared = F.coalesce("wire_type", F.lit("Text"))
-    numeric, integral, dated = declared.isin("Number", "Currency"), declared.isin("Integer", "Counter"), declared == "DateTime"
+    first = F.get(many, F.lit(0))
+    staged = read.select(
+        "*",
+        from_id.alias("_from_id"),
+        F.coalesce(F.schema_of_variant(first).startswith("OBJECT"), F.lit(False)).alias("_ref_rows"),
+        F.when(~from_id & declared.isin("Number", "Currency"), wire.number(text)).alias("_number"),
+        F.when(~from_id & declared.isin("Integer", "Counter"), wire.integer(text)).alias("_integer"),
+        F.when(~from_id & (declared == "DateTime"), wire.feed_instant(text)).alias("v_ts"),
+        declared.isin("Number", "Currency").alias("_numeric"),
+    )
 
     def one_ref(x: Column) -> Column:
         label = F.coalesce(*[F.nullif(F.try_variant_get(x, f"$.{k}", "string"), F.lit("")) for k in ("Title", "Value", "Name")])
         return wire.ref(F.try_variant_get(x, "$.Id", "bigint"), label)
 
-    nested = kind.startswith("OBJECT") & F.try_variant_get(v, "$.Id", "variant").isNotNull()
-    many = F.try_variant_get(v, "$.results", "array<variant>")
-    # The scalar id completes a label, or stands alone where no label came.
-    from_id = F.col("_ref_id").isNotNull() & ~nested & ((kind == "STRING") | (kind == "VOID"))
-    ref_rows = many.isNotNull() & (F.size(many) > 0) & F.schema_of_variant(F.get(many, F.lit(0))).startswith("OBJECT")
     refs = (
-        F.when(from_id, F.array(wire.ref(F.col("_ref_id"), text)))
-        .when(nested, F.array(one_ref(v)))
-        .when(ref_rows, F.transform(many, one_ref))
-    )
-    plain = text.isNotNull() & ~from_id
-    as_number = F.when(numeric & plain, wire.number(text))
-    as_integer = F.when(integral & plain, wire.integer(text))
-    as_instant = F.when(dated & plain, wire.feed_instant(text))
-    as_text = F.when(plain & as_number.isNull() & as_integer.isNull() & as_instant.isNull(), text)
-    as_text = as_text.when(
-        kind.startswith("OBJECT") & ~nested & many.isNull(), F.to_json(v)
+        F.when(F.col("_from_id"), F.array(wire.ref(F.col("_ref_id"), text)))
+        .when(F.col("_nested"), F.array(one_ref(v)))
+        .when(F.col("_ref_rows"), F.transform(many, one_ref))
     )
-    return merged.select(
-        "list_guid",
-        "item_id",
-        "field",
-        "wire_type",
-        "mapped",
-        as_text.alias("v_string"),
-        F.coalesce(as_number, wide, F.when(numeric, whole.cast("double"))).alias("v_double"),
-        F.coalesce(as_integer, F.when(~numeric, whole)).alias("v_bigint"),
-        F.when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean")).alias("v_bool"),
-        as_instant.alias("v_ts"),
+    untyped = ~F.col("_from_id") & F.col("_number").isNull() & F.col("_integer").isNull() & F.col("v_ts").isNull()
+    other = kind.startswith("OBJECT") & ~F.col("_nested") & many.isNull()
+    return staged.select(
+        *keys,
+        F.when(untyped & text.isNotNull(), text).when(other, F.to_json(v)).alias("v_string"),
+        F.coalesce("_number", "_wide", F.when(F.col("_numeric"), whole.cast("double"))).alias("v_double"),
+        F.coalesce("_integer", F.when(~F.col("_numeric"), whole)).alias("v_bigint"),
+        "v_bool",
+        "v_ts",
         refs.alias("v_refs"),
-        F.when(many.isNotNull() & ~ref_rows, F.transform(many, lambda x: F.try_variant_get(x, "$", "string"))).alias("v_strings"),
+        F.when(many.isNotNull() & ~F.col("_ref_rows"), F.transform(many, lambda x: F.try_variant_get(x, "$", "string"))).alias("v_strings"),
     )
 
 

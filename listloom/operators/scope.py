@@ -109,13 +109,15 @@ def build_items(raw_items: DataFrame, lists: DataFrame, keep_raw: bool = False)
     Rows without a usable id are left out; ``split_by_item_id`` lists them. With
     ``keep_raw`` the raw map stays beside the record, prefixes stripped.
     """
+    # What depends on the list alone is computed once per list.
     placed = lists.select(
         F.col("guid").alias("list_guid"),
         F.col("title").alias("list_title"),
         "web_url",
-        "base_type",
-        "root_folder",
-        "default_view_url",
+        names.web_id(names.normalise_url(F.col("web_url"))).alias("web_id"),
+        names.display_form(
+            F.col("web_url"), F.col("default_view_url"), F.col("root_folder"), F.col("base_type") == "1"
+        ).alias("_form"),
     )
     rows = raw_items.withColumn("item_id", wire.item_id(F.col("raw"))).filter(F.col("item_id").isNotNull())
     drop = [c for c in rows.columns if c in ("web_url", "list_title")]
@@ -124,23 +126,33 @@ def build_items(raw_items: DataFrame, lists: DataFrame, keep_raw: bool = False)
     def attr(name: str) -> Column:
         return F.try_element_at("raw", F.lit(fixed.WIRE_PREFIX + name))
 
-    url = names.normalise_url(F.col("web_url"))
-    web = names.web_id(url)
+    # Each attribute is read and stripped once, then unwrapped once.
+    kept = [*placed.columns, "item_id", *(["raw"] if keep_raw else [])]
+    rows = rows.select(
+        *kept,
+        attr("ContentType").alias("content_type"),
+        *[wire.strip(attr(n)).alias(f"_{n}") for n in ("Created", "Modified", "FSObjType", "FileRef", "FileLeafRef")],
+    )
+    rows = rows.select(
+        *kept,
+        "content_type",
+        "_Created",
+        "_Modified",
+        *[wire.unwrap(F.col(f"_{n}")).alias(f"_{n}") for n in ("FSObjType", "FileRef", "FileLeafRef")],
+    )
     return rows.select(
-        names.doc_id(web, F.col("list_guid"), F.col("item_id")).alias("doc_id"),
+        names.doc_id(F.col("web_id"), F.col("list_guid"), F.col("item_id")).alias("doc_id"),
         "web_url",
-        web.alias("web_id"),
+        "web_id",
         "list_guid",
         "list_title",
         "item_id",
-        names.display_url(
-            F.col("web_url"), F.col("default_view_url"), F.col("root_folder"), F.col("base_type") == "1", F.col("item_id")
-        ).alias("display_url"),
-        attr("ContentType").alias("content_type"),
-        wire.instant_to_json(wire.instant(attr("Created"))).alias("created"),
-        wire.instant_to_json(wire.instant(attr("Modified"))).alias("modified"),
-        F.coalesce(wire.folder_flag(attr("FSObjType")) == 1, F.lit(False)).alias("is_folder"),
-        wire.lookup(attr("FileRef"))["value"].alias("file_ref"),
-        wire.lookup(attr("FileLeafRef"))["value"].alias("file_name"),
+        F.concat("_form", F.col("item_id").cast("string")).alias("display_url"),
+        "content_type",
+        wire.instant_to_json(wire.instant_from(F.col("_Created"))).alias("created"),
+        wire.instant_to_json(wire.instant_from(F.col("_Modified"))).alias("modified"),
+        F.coalesce(wire.folder_flag_from(F.col("_FSObjType")) == 1, F.lit(False)).alias("is_folder"),
+        wire.lookup_from(F.col("_FileRef"))["value"].alias("file_ref"),
+        wire.lookup_from(F.col("_FileLeafRef"))["value"].alias("file_name"),
         *([wire.strip_wire_prefix(F.col("raw")).alias("raw")] if keep_raw else []),
     )

@@ -324,7 +324,8 @@ def _feed_entities(t: Tables) -> DataFrame:
         F.lit('"Fremd":true,"Erledigt":'), (k % 2 == 0).cast("string"), F.lit(',"Priorität":null,"__metadata":{"etag":"1"}}'),
     )
     guid = F.concat(F.lit("{"), F.col("c_mktsegment"), F.lit("}"))
-    return order_rows(t).select(guid.alias("list_guid"), k.alias("item_id"), F.parse_json(body).alias("row"))
+    rows = t.spread("orders").join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    return rows.select(guid.alias("list_guid"), k.alias("item_id"), F.parse_json(body).alias("row"))
 
 
 @query(

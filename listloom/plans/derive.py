@@ -81,7 +81,8 @@ def raw_orders(t: Tables) -> DataFrame:
     raw = F.map_filter(
         F.map_from_arrays(F.array(*[F.lit(n) for n in entries]), F.array(*entries.values())), lambda _k, v: v.isNotNull()
     )
-    return order_rows(t).select(segment_guid().alias("list_guid"), k.alias("item_id"), raw.alias("raw"))
+    rows = t.spread("orders").join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    return rows.select(segment_guid().alias("list_guid"), k.alias("item_id"), raw.alias("raw"))
 
 
 def segment_guid() -> Column:

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import tune
+
 Plan = Callable[["Tables"], DataFrame]
 
 
@@ -20,6 +22,15 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """A table for CPU-bound work, dealt out when it has fewer splits than there are cores.
+
+        A large table has more splits than cores and is returned as it is.
+        """
+        table = getattr(self, name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
+
 
 @dataclass(frozen=True)
 class Query:
@@ -27,7 +38,7 @@ class Query:
     sql: str | None
 
     def __call__(self, spark: SparkSession, path: str) -> DataFrame:
-        return self.plan(Tables(spark, path))
+        return self.plan(Tables(tune(spark), path))
 
 
 REGISTRY: dict[str, Query] = {}

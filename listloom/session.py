@@ -8,6 +8,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Above this many bytes of bytecode the JVM leaves a method interpreted. Spark splits
+# expressions into smaller methods once a fused stage would exceed the limit.
+JIT_LIMIT = 8000
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Set the one run-time option that wide projections need to be compiled by the JVM."""
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", JIT_LIMIT)
+    return spark
+
+
 def builder(master: str | None = None, app: str = "listloom") -> SparkSession.Builder:
     """A session builder with the settings the library relies on."""
     b = (
@@ -15,7 +26,7 @@ def builder(master: str | None = None, app: str = "listloom") -> SparkSession.Bu
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.sql.codegen.hugeMethodLimit", JIT_LIMIT)
     )
     return b.master(master) if master else b
 
