@@ -74,7 +74,7 @@ def _warning(rule: Column, text: Column, plain: Column, parts: Column) -> Column
     bad = bad.when((rule == "boolean") & F.col("v_bool").isNull(), "boolean_unparseable")
     bad = bad.when((rule == "datetime") & F.col("v_ts").isNull(), "datetime_unparseable")
     delim = F.instr(plain, fixed.DELIM)
-    no_id = (delim == 0) & F.get("v_refs", F.lit(0))["id"].isNull()
+    no_id = (plain != "") & (delim == 0) & F.get("v_refs", F.lit(0))["id"].isNull()
     odd = F.instr(F.substr(plain, delim + len(fixed.DELIM)), fixed.DELIM) > 0
     bad = bad.when(
         rule.isin("lookup", "taxonomy"),
