@@ -66,7 +66,7 @@ def read_run_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         f"operation:string,error_type:string,message:string>>, {_CORRUPT} string"
     )
     docs = spark.read.schema(schema).option("columnNameOfCorruptRecord", _CORRUPT).json(f"{root}/runs")
-    good = docs.filter(F.col(_CORRUPT).isNull())
+    good = docs.filter(F.col(_CORRUPT).isNull() & F.col("command").isNotNull())
     return {
         "runs": good.select("command", "started_at", "finished_at"),
         "counts": good.select("command", "started_at", F.explode("counts").alias("counter", "n")),
