@@ -35,7 +35,9 @@ def explode_fields(raw_items: DataFrame, list_fields: DataFrame) -> DataFrame:
     carried = [c for c in raw_items.columns if c != "raw"]
     n = len(fixed.WIRE_PREFIX)
     rows = (
-        raw_items.select(*carried, F.explode("raw").alias("attribute", "raw"))
+        # The outer form, because the plain one makes the optimizer test the size of the
+        # map first and so compute it twice; the filter drops what an empty map gives.
+        raw_items.select(*carried, F.explode_outer("raw").alias("attribute", "raw"))
         .filter(F.col("attribute").startswith(fixed.WIRE_PREFIX))
         .withColumn("field", F.substr("attribute", F.lit(n + 1)))
         .filter(F.col("field") != fixed.PROPERTY_BAG)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import names
+from ..scale import broadcast_if_small
 from ..session import materialise
 from .scope import base_type_name
 
@@ -81,7 +82,8 @@ def walk_hierarchy(
     """Breadth-first walk over parent to child urls; every url once, so cycles end.
 
     ``edges`` has ``parent``, ``child``, ``title`` and ``pos``; ``unreadable`` has
-    ``url``. Each level is materialised, so the plan does not grow with the depth.
+    ``url``. Each level is materialised, so the plan does not grow with the depth, and
+    while a level is small the edges are read without a shuffle.
     The result has ``url``, ``title``, ``depth`` and ``status``: ``read``,
     ``unreadable`` (subtree lost) or ``depth_limit`` (not visited further).
     """
@@ -99,7 +101,7 @@ def walk_hierarchy(
     levels, titles = [frontier], []
     for depth in range(1, max_depth + 1):
         open_ = frontier.filter(F.col("status") == "read").select(F.col("url").alias("parent"))
-        found = edges.join(open_, "parent")
+        found = edges.join(broadcast_if_small(open_), "parent")
         titled = found.filter(F.coalesce(F.col("title"), F.lit("")) != "").groupBy("child").agg(
             F.min(F.struct(F.lit(depth).alias("depth"), "parent", "pos", "title")).alias("best")
         )

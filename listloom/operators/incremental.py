@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..scale import broadcast_if_small
+from ..session import materialise
 
 KEY = ["list_guid", "item_id"]
 
@@ -38,6 +39,18 @@ def apply_changes(
     return kept.unionByName(upserts.select(*target.columns))
 
 
+def apply_latest(target: DataFrame, latest: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
+    """``apply_changes`` for one change per key, as ``latest_per_key`` gives them.
+
+    The reduced feed is computed once. While its keys are few they are broadcast, so
+    that the target is read without a shuffle.
+    """
+    last = materialise(latest)
+    upserts, _deletes = split_changes(last)
+    kept = target.join(broadcast_if_small(last.select(*keys)), list(keys), "left_anti")
+    return kept.unionByName(upserts.select(*target.columns))
+
+
 def sync_report(
     target: DataFrame, upserts: DataFrame, deletes: DataFrame, keys: Sequence[str] = KEY, by: str = "list_guid"
 ) -> DataFrame:

@@ -423,10 +423,10 @@ UNION ALL SELECT list_guid, item_id, title FROM latest WHERE change_type <> 'Del
 )
 def publish_snapshot(t: Tables) -> DataFrame:
     """A table published, changed through its own snapshot, and published again."""
-    from ..operators.incremental import apply_changes, latest_per_key, split_changes
+    from ..operators.incremental import apply_latest, latest_per_key
 
     table = scratch_path(t.spark, "table")
     sink.publish_snapshot(base_items(t), table)
-    changes = split_changes(latest_per_key(change_feed(t), ["item_id"]))
-    sink.publish_snapshot(apply_changes(sink.read_snapshot(t.spark, table), *changes), table)
+    latest = latest_per_key(change_feed(t), ["item_id"])
+    sink.publish_snapshot(apply_latest(sink.read_snapshot(t.spark, table), latest), table)
     return sink.read_snapshot(t.spark, table)

@@ -26,7 +26,21 @@ def latest_per_key(t: Tables) -> DataFrame:
 UNION ALL SELECT list_guid, item_id, title FROM latest WHERE change_type <> 'Delete'""",
 )
 def apply_changes(t: Tables) -> DataFrame:
-    return inc.apply_changes(base_items(t), *inc.split_changes(_latest(t)))
+    return inc.apply_latest(base_items(t), _latest(t))
+
+
+@query(
+    "apply_unordered_changes",
+    """SELECT c_custkey AS item_id, c_mktsegment AS title FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events WHERE event_type IN ('error', 'signup'))
+UNION ALL SELECT user_id, 'n' || count(*) FROM events WHERE event_type = 'signup' GROUP BY user_id""",
+)
+def apply_unordered_changes(t: Tables) -> DataFrame:
+    """Sets without an order: a key that is both changed and deleted stays, changed."""
+    feed = change_feed(t).drop("title")
+    changed = feed.join(t.events.filter("event_type = 'signup'").select(F.col("event_id").alias("seq")), "seq", "left_semi")
+    upserts = changed.groupBy("list_guid", "item_id").agg(F.concat(F.lit("n"), F.count(F.lit(1)).cast("string")).alias("title"))
+    deletes = feed.filter("change_type = 'Delete'").select("list_guid", "item_id")
+    return inc.apply_changes(base_items(t), upserts, deletes).select("item_id", "title")
 
 
 @query(

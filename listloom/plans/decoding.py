@@ -43,7 +43,7 @@ FROM lineitem GROUP BY ALL""",
 def decode_number(t: Tables) -> DataFrame:
     damaged = F.pmod("l_orderkey", F.lit(17))
     text = F.when(damaged == 0, F.concat(F.lit("EUR "), money("l_extendedprice"))).when(damaged == 1, F.lit(" ")).otherwise(money("l_extendedprice"))
-    keyed = t.lineitem.select("l_returnflag", "l_linestatus", text.alias("raw")).select(
+    keyed = t.spread("lineitem").select("l_returnflag", "l_linestatus", text.alias("raw")).select(
         F.lit("{L}").alias("list_guid"), "l_returnflag", "l_linestatus", F.lit("Price").alias("field"), F.lit("Currency").alias("wire_type"), "raw"
     )
     out = decode.decode_fields(keyed)
@@ -150,7 +150,7 @@ def decode_lookup_multi(t: Tables) -> DataFrame:
     p, s, d = F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"), F.lit(";#")
     good = F.concat(p, d, F.lit("part"), d, s, d, F.lit("supplier"))
     text = pick("l_orderkey", 5, good, F.concat(d, good, d), good, F.concat(good, d, F.lit("9")), F.lit(""))
-    rows = t.lineitem.select("l_returnflag", F.lit("Refs").alias("field"), F.lit("LookupMulti").alias("wire_type"), text.alias("raw"))
+    rows = t.spread("lineitem").select("l_returnflag", F.lit("Refs").alias("field"), F.lit("LookupMulti").alias("wire_type"), text.alias("raw"))
     out = decode.decode_fields(rows)
     ids = F.aggregate("v_refs", F.lit(0).cast("bigint"), lambda a, r: a + r["id"])
     return out.groupBy("l_returnflag").agg(

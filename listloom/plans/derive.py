@@ -23,10 +23,12 @@ def clock(c: str) -> Column:
     return F.date_format(F.col(c).cast("timestamp"), WIRE_CLOCK)
 
 
-def wired(df: DataFrame, key: str, wire_type: str, text: Column, result_type: str | None = None, field: str = "Value") -> DataFrame:
+def wired(
+    df: DataFrame, key: str, wire_type: str, text: Column, result_type: str | None = None, field: str = "Value", guid: Column | None = None
+) -> DataFrame:
     """One wire value per row, ready for the decode job."""
     return df.select(
-        F.lit("{L}").alias("list_guid"),
+        (F.lit("{L}") if guid is None else guid).alias("list_guid"),
         F.col(key).cast("bigint").alias("item_id"),
         F.lit(field).alias("field"),
         F.lit(wire_type).alias("wire_type"),

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions import names
 from ..operators import decode, graph, joins, scope
-from .derive import NATION_LISTS_SQL, nation_lists, order_rows, pick, wired
+from .derive import NATION_LISTS_SQL, nation_lists, order_rows, pick, segment_guid, segments, wired
 from .registry import Tables, query
 
 
@@ -86,7 +86,7 @@ _CANDIDATES_SQL = """scored AS (
 
 def _candidates(t: Tables) -> DataFrame:
     s = F.col("l_suppkey")
-    return t.lineitem.select(
+    return t.spread("lineitem").select(
         F.col("l_orderkey").alias("TicketNumberId"),
         F.concat(F.lit(" "), F.col("l_partkey").cast("string")).alias("PartID"),
         F.when(s % 2 == 0, s.cast("string")).otherwise(F.lit("none")).alias("parent_supplier"),
@@ -189,15 +189,17 @@ def graph_summary(t: Tables) -> DataFrame:
 def _resolved(t: Tables) -> DataFrame:
     """Order lookups to customers; some labels have changed since, some customers are gone."""
     k = F.col("o_custkey").cast("string")
-    refs = decode.decode_fields(wired(order_rows(t), "o_orderkey", "Lookup", F.concat(k, F.lit(";#"), F.col("c_name")), field="Customer"))
-    spark = t.spark
-    edges = spark.range(1).select(
-        F.lit("{L}").alias("source_list_guid"), F.lit("Customer").alias("field_name"), F.lit("{CUSTOMERS}").alias("target_list_guid"), F.lit("Name").alias("show_field")
+    text = F.concat(k, F.lit(";#"), F.col("c_name"))
+    refs = decode.decode_fields(wired(order_rows(t), "o_orderkey", "Lookup", text, field="Customer", guid=segment_guid()))
+    # Every segment has a list of orders that looks up its list of customers.
+    target = F.concat(F.lit("{C-"), F.col("c_mktsegment"), F.lit("}"))
+    edges = segments(t).select(
+        segment_guid().alias("source_list_guid"), F.lit("Customer").alias("field_name"), target.alias("target_list_guid"), F.lit("Name").alias("show_field")
     )
     there = t.customer.filter("c_custkey % 25 <> 3")
     name = F.when(F.col("c_custkey") % 10 == 0, F.concat("c_name", F.lit(" AG"))).otherwise(F.col("c_name"))
-    targets = decode.decode_fields(wired(there, "c_custkey", "Text", name, field="Name")).withColumn("list_guid", F.lit("{CUSTOMERS}"))
-    items = there.select(F.lit("{CUSTOMERS}").alias("list_guid"), F.col("c_custkey").alias("item_id"))
+    targets = decode.decode_fields(wired(there, "c_custkey", "Text", name, field="Name", guid=target))
+    items = there.select(target.alias("list_guid"), F.col("c_custkey").alias("item_id"))
     return joins.resolve_lookups(refs, edges, joins.show_labels(items, targets, edges))
 
 

@@ -27,6 +27,8 @@ def builder(master: str | None = None, app: str = "listloom") -> SparkSession.Bu
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.codegen.hugeMethodLimit", JIT_LIMIT)
+        # Without it every column expression built in Python records its call site.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     return b.master(master) if master else b
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Sequence
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -108,23 +109,26 @@ def write_graph(nodes: DataFrame, edges: DataFrame, root: str) -> None:
 
 
 def write_run_report(
-    spark: SparkSession, root: str, command: str, counts: DataFrame, errors: DataFrame, warnings: Mapping[str, str] | list[str] = ()
-) -> None:
-    """Append one manifest line: counters as a map, errors and warnings as lists.
+    spark: SparkSession, root: str, command: str, counts: DataFrame, errors: DataFrame, warnings: Sequence[str] = ()
+) -> str:
+    """Append a run: one manifest line, its counters and its errors, tied by ``run_id``.
 
-    Errors are one row per failed list or web, a table of the size of the inventory.
+    Errors stay a table of their own, so a run with very many of them needs no giant row.
     """
+    run_id = uuid.uuid4().hex
     now = F.lit(datetime.now(UTC))
-    counted = counts.agg(F.map_from_entries(F.collect_list(F.struct("counter", "n"))).alias("counts"))
-    failed = errors.agg(F.collect_list(F.struct(*errors.columns)).alias("errors"))
+    key = F.lit(run_id).alias("run_id")
     row = spark.range(1).select(
-        F.lit(command).alias("command"), now.alias("started_at"), now.alias("finished_at"),
+        key,
+        F.lit(command).alias("command"),
+        now.alias("finished_at"),
         F.array(*[F.lit(w) for w in warnings]).cast("array<string>").alias("warnings"),
     )
-    # Three single-row tables side by side.
-    key = F.lit(0).alias("_k")
-    out = row.select("*", key).join(counted.select("*", key), "_k").join(failed.select("*", key), "_k").drop("_k")
-    out.coalesce(1).write.mode("append").json(f"{root}/runs")
+    counts.select(key, "counter", "n").write.mode("append").json(f"{root}/run_counts")
+    errors.select(key, *errors.columns).write.mode("append").json(f"{root}/run_errors")
+    # The manifest line comes last: a run without one has not finished.
+    row.coalesce(1).write.mode("append").json(f"{root}/runs")
+    return run_id
 
 
 def _versions(spark: SparkSession, table: str) -> DataFrame | None:

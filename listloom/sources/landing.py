@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
+
+from ..scale import broadcast_if_small
 
 ITEM_SCHEMA = (
     "doc_id string, web_url string, web_id string, list_guid string, list_title string, item_id bigint, "
@@ -58,14 +61,42 @@ def read_stored_schemas(spark: SparkSession, root: str) -> tuple[DataFrame, Data
     return good.select("list_info.*"), fields.select("list_guid", "pos", "f.*")
 
 
+_ERRORS = (
+    "when string, scope string, web_url string, list_guid string, list_title string, operation string, "
+    "error_type string, message string"
+)
+
+
+def _good_lines(spark: SparkSession, path: str, schema: str, required: str) -> DataFrame:
+    """JSON lines without the damaged ones; a folder nobody wrote gives no rows."""
+    try:
+        docs = spark.read.schema(f"{schema}, {_CORRUPT} string").option("columnNameOfCorruptRecord", _CORRUPT).json(path)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+    return docs.filter(F.col(_CORRUPT).isNull() & F.col(required).isNotNull()).drop(_CORRUPT)
+
+
 def read_run_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Manifests, counters, errors and warnings; a damaged document gives no rows."""
+    """Runs, counters, errors and warnings of all finished runs."""
+    runs = _good_lines(spark, f"{root}/runs", "run_id string, command string, finished_at timestamp, warnings array<string>", "run_id")
+    finished = broadcast_if_small(runs.select("run_id"))
+    counts = _good_lines(spark, f"{root}/run_counts", "run_id string, counter string, n bigint", "run_id")
+    errors = _good_lines(spark, f"{root}/run_errors", f"run_id string, {_ERRORS}", "run_id")
+    return {
+        "runs": runs.drop("warnings"),
+        "counts": counts.join(finished, "run_id", "left_semi"),
+        "errors": errors.join(finished, "run_id", "left_semi"),
+        "warnings": runs.select("run_id", F.explode("warnings").alias("warning")),
+    }
+
+
+def read_manifests(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """Captured manifest documents as the same tables; a damaged document gives no rows."""
     schema = (
         "command string, started_at timestamp, finished_at timestamp, counts map<string,bigint>, warnings array<string>, "
-        "errors array<struct<when:string,scope:string,web_url:string,list_guid:string,list_title:string,"
-        f"operation:string,error_type:string,message:string>>, {_CORRUPT} string"
+        f"errors array<struct<{_ERRORS.replace(' string', ':string')}>>, {_CORRUPT} string"
     )
-    docs = spark.read.schema(schema).option("columnNameOfCorruptRecord", _CORRUPT).json(f"{root}/runs")
+    docs = spark.read.schema(schema).option("multiLine", "true").option("columnNameOfCorruptRecord", _CORRUPT).json(path)
     good = docs.filter(F.col(_CORRUPT).isNull() & F.col("command").isNotNull())
     return {
         "runs": good.select("command", "started_at", "finished_at"),
@@ -75,6 +106,18 @@ def read_run_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     }
 
 
+def read_states(spark: SparkSession, path: str) -> DataFrame:
+    """Captured state documents as one row per list; a damaged document gives no rows."""
+    entry = (
+        "struct<web_url:string,list_title:string,last_full_crawl:timestamp,last_sync:timestamp,last_item_id:bigint,"
+        "items_written:bigint,change_token:string,status:string,error:string>"
+    )
+    schema = f"lists map<string,{entry}>, {_CORRUPT} string"
+    docs = spark.read.schema(schema).option("multiLine", "true").option("columnNameOfCorruptRecord", _CORRUPT).json(path)
+    good = docs.filter(F.col(_CORRUPT).isNull() & F.col("lists").isNotNull())
+    return good.select(F.explode("lists").alias("list_guid", "s")).select("list_guid", "s.*")
+
+
 def read_files(spark: SparkSession, path: str, pattern: Column | str | None = None) -> DataFrame:
     """File bytes with path and size, below ``path``."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
-from ..operators.incremental import KEY, apply_changes, latest_per_key, split_changes
+from ..operators.incremental import KEY, apply_latest, latest_per_key
 from ..sinks.landing import publish_snapshot, read_snapshot
 from ..sources import captured
 
@@ -88,9 +88,7 @@ def current_rows(spark: SparkSession, table: str, keys: Sequence[str] = KEY) ->
     log = _pending(spark, table, -1 if folded is None else folded)
     if log is None:
         return base
-    latest = latest_per_key(log, keys)
-    upserts, deletes = split_changes(latest)
-    return apply_changes(base, upserts, deletes, keys)
+    return apply_latest(base, latest_per_key(log, keys), keys)
 
 
 def compact(spark: SparkSession, table: str, keys: Sequence[str] = KEY) -> int:

@@ -125,13 +125,24 @@ def test_damaged_lines_are_skipped_and_counted(spark, tmp_path):
     assert source.skipped_lines(spark, root).count() == 1
 
 
-def test_damaged_run_documents_give_no_rows(spark, tmp_path):
+def test_run_documents(spark, tmp_path):
+    """Damaged documents give no rows; good ones give manifests and states."""
     root = str(tmp_path / "r")
-    put(tmp_path / "r" / "runs" / "bad.json", '{"command": "crawl", "counts": ')
-    tables = source.read_run_tables(spark, root)
-    assert all(t.count() == 0 for t in tables.values())
+    put(tmp_path / "r" / "runs" / "bad.json", '{"run_id": "1", "warnings": ')
+    assert all(t.count() == 0 for t in source.read_run_tables(spark, root).values())
     put(tmp_path / "r" / "lists" / "bad.json", "no json\n")
     assert all(t.count() == 0 for t in source.read_stored_schemas(spark, root))
+    manifest = {"command": "crawl", "counts": {"lists_failed": 1}, "warnings": ["w"], "errors": [{"scope": "items", "message": "m", "list_guid": "{A}"}]}
+    put(tmp_path / "m" / "one.json", json.dumps(manifest, indent=2))
+    path = put(tmp_path / "m" / "two.json", '{"command": "sync"')
+    tables = source.read_manifests(spark, path)
+    assert [(r["counter"], r["n"]) for r in tables["counts"].collect()] == [("lists_failed", 1)]
+    assert [r["message"] for r in tables["errors"].collect()] == ["m"] and tables["runs"].count() == 1
+    state = {"lists": {"{A}": {"status": "failed", "last_item_id": 7}, "{B}": {"status": "complete"}}}
+    put(tmp_path / "s" / "state.json", json.dumps(state, indent=1))
+    path = put(tmp_path / "s" / "bad.json", "{")
+    got = {r["list_guid"]: (r["status"], r["last_item_id"]) for r in source.read_states(spark, path).collect()}
+    assert got == {"{A}": ("failed", 7), "{B}": ("complete", None)}
 
 
 def test_snapshots(spark, tmp_path):
