@@ -155,11 +155,13 @@ def change_stream(t: Tables) -> DataFrame:
     spark, table = t.spark, scratch_path(t.spark, "table")
     base = t.customer.select(F.lit("{E}").alias("list_guid"), F.col("c_custkey").alias("item_id"), F.col("c_mktsegment").alias("title"))
     sink.publish_snapshot(base, table)
-    stream = feeds._xml_stream(spark, _change_files(t), "listitems", captured.change_schema(CHANGE_COLUMNS), 3)
-    pages = captured.change_pages(stream, CHANGE_COLUMNS).withColumn("page_no", _token_page(F.col("last_change_token")))
-    rows = captured.change_rows(pages, F.lit("{E}"))
-    changes = rows.select("list_guid", "item_id", "change_type", F.try_element_at("raw", F.lit("ows_Title")).alias("title"), "seq")
-    feeds.change_stream(changes, table, scratch_path(spark, "progress")).awaitTermination()
+    pages = feeds.stream_change_pages(spark, _change_files(t), CHANGE_COLUMNS, F.lit("{E}"), 3)
+    pages = pages.withColumn("page_no", _token_page(F.col("last_change_token")))
+
+    def shape(rows: DataFrame) -> DataFrame:
+        return rows.select("list_guid", "item_id", "change_type", F.try_element_at("raw", F.lit("ows_Title")).alias("title"), "seq")
+
+    feeds.change_stream(pages, table, scratch_path(spark, "progress"), shape).awaitTermination()
     feeds.compact(spark, table)
     return feeds.current_rows(spark, table).select("item_id", "title")
 

@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
 from ..operators.incremental import KEY, apply_latest, latest_per_key
-from ..sinks.landing import publish_snapshot, read_snapshot
+from ..scale import broadcast_if_small
+from ..sinks.landing import current_version, publish_snapshot, read_snapshot
 from ..sources import captured
 
 
@@ -32,12 +33,12 @@ def stream_pages(spark: SparkSession, path: str, columns: Sequence[str], per_bat
     return captured.page_rows(captured.rowset_pages(stream, columns))
 
 
-def stream_changes(
+def stream_change_pages(
     spark: SparkSession, path: str, columns: Sequence[str], list_guid: Column, per_batch: int | None = None
 ) -> DataFrame:
-    """Change rows as their pages arrive."""
+    """Change pages as they arrive, with the list they belong to."""
     stream = _xml_stream(spark, path, "listitems", captured.change_schema(columns), per_batch)
-    return captured.change_rows(captured.change_pages(stream, columns), list_guid)
+    return captured.change_pages(stream, columns).withColumn("list_guid", list_guid)
 
 
 def page_stream(
@@ -53,24 +54,53 @@ def page_stream(
     )
 
 
-def change_stream(changes: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """Append each batch of changes, reduced to the last per key, to the table's change log.
+def change_stream(
+    pages: DataFrame, table: str, checkpoint: str, shape: Callable[[DataFrame], DataFrame] = lambda d: d
+) -> StreamingQuery:
+    """Append each batch of change pages, reduced to the last change per key, to the change log.
 
-    A batch owns one directory, so a replay replaces it and the base is not rewritten
-    per batch. ``current_rows`` reads base and log, ``compact`` folds the log in.
+    A page with an invalid token ends its list: that page and later ones of the batch
+    are left out and the list is noted for a full reload (``lists_to_reload``). A batch
+    owns its directories, so a replay replaces them and the base is not rewritten per
+    batch. ``current_rows`` reads base and log, ``compact`` folds the log in. ``shape``
+    turns change rows into the columns of the table. Table and checkpoint belong together.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        latest_per_key(batch).write.mode("overwrite").parquet(f"{table}/changes/batch_id={batch_id}")
+        batch.persist()
+        stops = batch.filter("token_invalid").groupBy("list_guid").agg(F.min("page_no").alias("stop_page"))
+        stops.write.mode("overwrite").parquet(f"{table}/reload/batch_id={batch_id}")
+        joined = batch.join(broadcast_if_small(stops), "list_guid", "left")
+        good = joined.filter(F.col("stop_page").isNull() | (F.col("page_no") < F.col("stop_page")))
+        rows = shape(captured.change_rows(good, F.col("list_guid")))
+        latest_per_key(rows).write.mode("overwrite").parquet(f"{table}/changes/batch_id={batch_id}")
+        batch.unpersist()
 
     return (
-        changes.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        pages.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 
-def _pending(spark: SparkSession, table: str, after_batch: int) -> DataFrame | None:
+def lists_to_reload(spark: SparkSession, table: str, after_batch: int = -1) -> DataFrame:
+    """Lists whose token was refused, with the last batch that says so.
+
+    Pass the batch of the previous reload as ``after_batch`` to see only what came since.
+    """
+    stops = _pending(spark, table, after_batch, "reload")
+    if stops is None:
+        return spark.createDataFrame([], "list_guid string, batch_id int")
+    return stops.groupBy("list_guid").agg(F.max("batch_id").alias("batch_id"))
+
+
+def _folded(spark: SparkSession, table: str) -> int:
+    """The last batch that the published base contains."""
+    last = current_version(spark, table)
+    return -1 if last is None or last["batch_id"] is None else last["batch_id"]
+
+
+def _pending(spark: SparkSession, table: str, after_batch: int, part: str = "changes") -> DataFrame | None:
     try:
-        log = spark.read.parquet(f"{table}/changes")
+        log = spark.read.parquet(f"{table}/{part}")
     except AnalysisException:
         return None
     return log.filter(F.col("batch_id") > after_batch)
@@ -81,14 +111,9 @@ def current_rows(spark: SparkSession, table: str, keys: Sequence[str] = KEY) ->
 
     ``seq`` orders the whole log, so pages of one log may arrive in any order.
     """
-    from ..sinks.landing import current_version
-
     base = read_snapshot(spark, table)
-    folded = current_version(spark, table)["batch_id"]
-    log = _pending(spark, table, -1 if folded is None else folded)
-    if log is None:
-        return base
-    return apply_latest(base, latest_per_key(log, keys), keys)
+    log = _pending(spark, table, _folded(spark, table))
+    return base if log is None else apply_latest(base, latest_per_key(log, keys), keys)
 
 
 def compact(spark: SparkSession, table: str, keys: Sequence[str] = KEY) -> int:

@@ -173,12 +173,12 @@ def test_change_stream(spark, tmp_path, per_batch):
     put(pages / "p1.xml", change_page(1, [(1, "ONE"), (2, "TWO")]))
     path = put(pages / "p2.xml", change_page(2, [(4, "four")], deletes=[2]))
 
+    def shape(rows):
+        return rows.select("list_guid", "item_id", "change_type", F.try_element_at("raw", F.lit("ows_Title")).alias("title"), "seq")
+
     def load():
-        rows = feeds.stream_changes(spark, path, ["ID", "Title"], F.lit("{A}"), per_batch)
-        rows = rows.select("list_guid", "item_id", "change_type", F.try_element_at("raw", F.lit("ows_Title")).alias("title"), "seq")
-        query = feeds.change_stream(rows, table, progress)
-        query.awaitTermination()
-        return query.lastProgress
+        rows = feeds.stream_change_pages(spark, path, ["ID", "Title"], F.lit("{A}"), per_batch)
+        feeds.change_stream(rows, table, progress, shape).awaitTermination()
 
     def table_rows():
         return {(r["item_id"], r["title"]) for r in feeds.current_rows(spark, table).collect()}
@@ -190,9 +190,16 @@ def test_change_stream(spark, tmp_path, per_batch):
     put(pages / "p3.xml", change_page(3, [(2, "again")], deletes=[1]))
     load()
     assert table_rows() == {(2, "again"), (3, "three"), (4, "four")}
+    assert feeds.lists_to_reload(spark, table).count() == 0
+    put(pages / "p4.xml", ENVELOPE.format('<listitems><Changes><Id ChangeType="InvalidToken"/></Changes></listitems>'))
+    put(pages / "p5.xml", change_page(5, [(9, "too late")])) if per_batch is None else None
     load()
+    assert table_rows() == {(2, "again"), (3, "three"), (4, "four")}
+    flagged = feeds.lists_to_reload(spark, table).collect()
+    assert [r["list_guid"] for r in flagged] == ["{A}"]
     feeds.compact(spark, table)
     assert table_rows() == {(2, "again"), (3, "three"), (4, "four")}
+    assert feeds.lists_to_reload(spark, table, flagged[0]["batch_id"]).count() == 0
 
 
 def test_page_stream_resumes(spark, tmp_path):
