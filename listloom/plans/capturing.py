@@ -191,13 +191,13 @@ _FEED_ROWS_SQL = """SELECT o_orderkey AS item_id, 'Order "' || o_orderkey || '"'
   CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS total, o_orderkey % 3 = 0 AS closed FROM orders JOIN customer ON o_custkey = c_custkey"""
 
 
-def _feed_shown(rows: DataFrame) -> DataFrame:
+def _feed_shown(rows: DataFrame, *more: Column) -> DataFrame:
     def get(path: str, kind: str) -> Column:
         return F.try_variant_get("row", path, kind)
 
     return rows.select(
         get("$.Id", "bigint").alias("item_id"), get("$.Title", "string").alias("title"), get("$.KundeId", "bigint").alias("customer"),
-        get("$.Kunde.Title", "string").alias("label"), get("$.Summe", "string").alias("total"), get("$.Erledigt", "boolean").alias("closed"),
+        get("$.Kunde.Title", "string").alias("label"), get("$.Summe", "string").alias("total"), get("$.Erledigt", "boolean").alias("closed"), *more,
     )
 
 
@@ -261,9 +261,7 @@ def read_odata_atom(t: Tables) -> DataFrame:
         status.alias("status"), F.is_variant_null(F.try_variant_get("row", "$.Leer", "variant")).alias("empty_is_null"),
         F.try_variant_get("row", "$.Kunde.__deferred.uri", "string").isNotNull().alias("deferred"),
     ]
-    return _feed_shown(rows.select("row")).select("*").join(
-        rows.select(F.try_variant_get("row", "$.Id", "bigint").alias("item_id"), *more), "item_id"
-    )
+    return _feed_shown(rows, *more)
 
 
 def _schema_files(t: Tables) -> str:

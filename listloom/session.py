@@ -14,7 +14,8 @@ JIT_LIMIT = 8000
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Set the one run-time option that wide projections need to be compiled by the JVM."""
+    """Set what every job here relies on: UTC, and methods small enough to be compiled."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", JIT_LIMIT)
     return spark
 

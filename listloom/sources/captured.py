@@ -194,9 +194,12 @@ def atom_schema(properties: Sequence[str], nested: Sequence[str]) -> T.StructTyp
 
 
 def _json_text(c: Column) -> Column:
-    """A text as JSON string, quotes included."""
+    """A text as JSON string, quotes included; most texts need no escaping."""
     wrapped = F.to_json(F.array(c))
-    return F.substr(wrapped, F.lit(2), F.length(wrapped) - 2)
+    special = c.rlike(r'["\\\x00-\x1f]')
+    return F.when(special, F.substr(wrapped, F.lit(2), F.length(wrapped) - 2)).otherwise(
+        F.concat(F.lit('"'), c, F.lit('"'))
+    )
 
 
 def _cell_json(cell: Column) -> Column:
@@ -207,8 +210,8 @@ def _cell_json(cell: Column) -> Column:
     real = F.to_json(F.struct(wire.number(text).alias("n")))
     elements = F.transform(cell["d:element"], lambda e: F.coalesce(e, F.lit("")))
     return (
-        F.when(F.lower(wire.strip(F.coalesce(cell["_m:null"], F.lit("")))) == "true", F.lit("null"))
-        .when(F.size(elements) > 0, F.concat(F.lit('{"results":'), F.to_json(elements), F.lit("}")))
+        F.when(F.lower(wire.strip(cell["_m:null"])) == "true", F.lit("null"))
+        .when(F.size(cell["d:element"]) > 0, F.concat(F.lit('{"results":'), F.to_json(elements), F.lit("}")))
         .when(edm == "Edm.Boolean", (F.lower(wire.strip(text)) == "true").cast("string"))
         .when(edm.isin("Edm.Int16", "Edm.Int32", "Edm.Byte", "Edm.SByte"), F.coalesce(whole, _json_text(text)))
         .when(
