@@ -216,7 +216,10 @@ def verify_datetimes(item_fields: DataFrame, list_fields: DataFrame, items: Data
 
 
 def project_view_fields(raw_items: DataFrame, list_fields: DataFrame) -> DataFrame:
-    """Wide rows of one list: its schema columns in order, then the system columns."""
+    """Wide rows of one list: its schema columns in order, then the system columns.
+
+    Only the column names of that one list come to the driver, to build the projection.
+    """
     listed = [
         r["name"]
         for r in list_fields.filter(F.coalesce(F.col("name"), F.lit("")) != "").orderBy("pos").select("name").collect()

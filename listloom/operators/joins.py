@@ -124,23 +124,20 @@ def candidate_parent_keys(columns: Sequence[str]) -> list[str]:
     return [c for c in columns if fits(c)]
 
 
-def score_parent_keys(
-    children: DataFrame, parents: DataFrame | None, pk: str | None = None, sample_rows: int | None = None
-) -> DataFrame:
+def score_parent_keys(children: DataFrame, parents: DataFrame | None, pk: str | None = None) -> DataFrame:
     """Per candidate column: how many values are parent ids, and how many are filled.
 
     Equal values are counted before the join, so a value shared by many children
-    travels once per task. All rows are scored unless ``sample_rows`` is set.
+    travels once per task. All rows are scored.
     """
     found = candidate_parent_keys(children.columns)
-    rows = children if sample_rows is None else children.limit(sample_rows)
     if not found:
         return children.sparkSession.createDataFrame([], "candidate string, hits bigint, populated bigint")
     entries = [
         F.struct(F.lit(c).alias("candidate"), parent_value(F.col(f"`{c}`"), children.schema[c].dataType).alias("v"))
         for c in found
     ]
-    values = rows.select(F.inline(F.array(*entries))).filter(F.col("v").isNotNull())
+    values = children.select(F.inline(F.array(*entries))).filter(F.col("v").isNotNull())
     counted = values.groupBy("candidate", "v").agg(F.count(F.lit(1)).alias("n"))
     if parents is None:
         hit = F.col("n")
