@@ -52,26 +52,31 @@ def order_rows(t: Tables) -> DataFrame:
 
 def raw_orders(t: Tables) -> DataFrame:
     """Orders as raw list items; about one in a hundred has lost its id."""
-    k = F.col("o_orderkey")
-    key = k.cast("string")
+    rows = t.spread("orders").join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    # Texts used more than once are columns of their own.
+    rows = rows.select(
+        "*", F.col("o_orderkey").cast("string").alias("key"), clock("o_orderdate").alias("day"), money("o_totalprice").alias("total")
+    )
+    k, key, day, total = F.col("o_orderkey"), F.col("key"), F.col("day"), F.col("total")
     pair = F.concat(key, F.lit(";#"), key)
     files = F.concat(
         F.lit("http://farm/a/"), key, F.lit("/scan%20one.pdf;#http://farm/a/"), key, F.lit("/log.txt")
     )
+    lost = k % 101 == 3
     entries = {
-        "ows_ID": F.when(k % 101 == 3, F.lit(None)).when(k % 50 == 7, pair).otherwise(key),
+        "ows_ID": F.when(lost, F.lit(None)).when(k % 50 == 7, pair).otherwise(key),
         "ows_Title": F.concat(F.lit("Order "), key),
         "ows_Customer": F.concat(F.col("o_custkey").cast("string"), F.lit(";#"), F.col("c_name")),
-        "ows_Total": F.when(k % 17 == 0, F.lit("n/a")).otherwise(money("o_totalprice")),
-        "ows_Opened": F.when(k % 19 == 0, F.lit("someday")).otherwise(clock("o_orderdate")),
+        "ows_Total": F.when(k % 17 == 0, F.lit("n/a")).otherwise(total),
+        "ows_Opened": F.when(k % 19 == 0, F.lit("someday")).otherwise(day),
         "ows_Status": F.concat(F.lit(";#"), F.col("o_orderstatus"), F.lit(";#")),
         "ows_Priority": F.col("o_orderpriority"),
-        "ows_Estimate": F.concat(F.when(k % 23 == 0, F.lit("odd;#")).otherwise(F.lit("float;#")), money("o_totalprice")),
+        "ows_Estimate": F.concat(F.when(k % 23 == 0, F.lit("odd;#")).otherwise(F.lit("float;#")), total),
         "ows_Closed": F.when(k % 2 == 0, F.lit("1")).otherwise(F.lit("0")),
         "ows_FSObjType": F.concat(key, F.when(k % 40 == 0, F.lit(";#1")).otherwise(F.lit(";#0"))),
         "ows_ContentType": F.lit("Order"),
-        "ows_Created": clock("o_orderdate"),
-        "ows_Modified": clock("o_orderdate"),
+        "ows_Created": day,
+        "ows_Modified": day,
         "ows_FileRef": F.concat(key, F.lit(";#sites/x/Lists/Orders/"), key, F.lit("_.000")),
         "ows_FileLeafRef": F.concat(key, F.lit(";#"), key, F.lit("_.000")),
         "ows_EncodedAbsUrl": F.concat(F.lit("http://farm/sites/x/"), key, F.lit("_.000")),
@@ -80,11 +85,10 @@ def raw_orders(t: Tables) -> DataFrame:
         "ows_AttachmentUrls": F.when(k % 6 == 0, files).otherwise(F.lit("")),
         "other": F.lit("not wire data"),
     }
-    raw = F.map_filter(
-        F.map_from_arrays(F.array(*[F.lit(n) for n in entries]), F.array(*entries.values())), lambda _k, v: v.isNotNull()
-    )
-    rows = t.spread("orders").join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    return rows.select(segment_guid().alias("list_guid"), k.alias("item_id"), raw.alias("raw"))
+    attributes = F.map_from_arrays(F.array(*[F.lit(n) for n in entries]), F.array(*entries.values()))
+    rows = rows.select(segment_guid().alias("list_guid"), k.alias("item_id"), lost.alias("lost"), attributes.alias("m"))
+    raw = F.when(F.col("lost"), F.map_filter("m", lambda _k, v: v.isNotNull())).otherwise(F.col("m"))
+    return rows.select("list_guid", "item_id", raw.alias("raw"))
 
 
 def segment_guid() -> Column:
