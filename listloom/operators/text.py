@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import fixed, names, wire
+from ..functions import fixed, wire
 from ..scale import broadcast_if_small
 
 # Markers count only where the body's head ends; the whole body is searched.

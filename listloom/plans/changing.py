@@ -235,7 +235,7 @@ def limit_new_rows(t: Tables) -> DataFrame:
 SELECT source, doc_id, turn FROM r ORDER BY turn, first_seen LIMIT 50""",
 )
 def stratified_pick(t: Tables) -> DataFrame:
-    return ordering.stratified_pick(t.documents.select("source", "doc_id"), "source", "doc_id", 50).select("source", "doc_id", "turn")
+    return ordering.stratified_pick(t.documents.select("source", "doc_id"), "source", "doc_id", 50).select("source", "doc_id", F.col("turn").cast("bigint").alias("turn"))
 
 
 @query(

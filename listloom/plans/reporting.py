@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import names
 from ..operators import decode, files, graph, reports, scope, text
-from .derive import NATION_LISTS_SQL, nation_lists, order_fields, pick, raw_orders, segment_lists, wired
+from .derive import NATION_LISTS_SQL, nation_lists, pick, raw_orders, segment_lists
 from .registry import Tables, query
 from .relating import customer_lists
 
