@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, sharding, token_counts
+from . import packing, sharding, token_counts, toxicity, url_filter, warc
 from .common import prepare
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -24,6 +24,28 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+# The rules of the query.
+URL_RULES = (
+    url_filter.rule("allow", "org/"),
+    url_filter.rule("block", "example.org/es/"),
+    url_filter.rule("block", "example.org/en/1"),
+    url_filter.rule("allow", "com/fr/"),
+    url_filter.rule("block", "com/de/"),
+)
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -34,6 +56,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op5_url_filter": op5_url_filter,
+    "op6_warc": op6_warc,
+    "op9_toxicity": op9_toxicity,
     "op8_token_counts": op8_token_counts,
     "op10_sharding": op10_sharding,
 }
