@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, sharding, token_counts, toxicity, url_filter, warc
+from . import decontamination, packing, quality, sharding, token_counts, toxicity, url_filter, warc
 from .common import prepare
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -24,6 +24,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 # The rules of the query.
 URL_RULES = (
     url_filter.rule("allow", "org/"),
@@ -46,6 +50,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -56,9 +64,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op4_decontamination": op4_decontamination,
     "op5_url_filter": op5_url_filter,
     "op6_warc": op6_warc,
     "op9_toxicity": op9_toxicity,
+    "op7_quality": op7_quality,
     "op8_token_counts": op8_token_counts,
     "op10_sharding": op10_sharding,
 }
