@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, language_model, packing, quality, sharding, token_counts, toxicity, url_filter, warc
+from . import decontamination, language_model, ngram_join, packing, quality, sharding, token_counts, toxicity, url_filter, warc
 from .common import prepare
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -24,6 +24,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_documents(table(spark, sf_dir, "documents"), ngram_join.Similarity(words=4, percent=85))
+
+
 def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_documents(table(spark, sf_dir, "documents"))
 
@@ -68,6 +72,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_ngram_join": op2_ngram_join,
     "op3_language_model": op3_language_model,
     "op4_decontamination": op4_decontamination,
     "op5_url_filter": op5_url_filter,
