@@ -215,14 +215,16 @@ def verify_datetimes(item_fields: DataFrame, list_fields: DataFrame, items: Data
     )
 
 
-def project_view_fields(raw_items: DataFrame, list_fields: DataFrame) -> DataFrame:
+def project_view_fields(raw_items: DataFrame, list_fields: DataFrame, list_guid: str) -> DataFrame:
     """Wide rows of one list: its schema columns in order, then the system columns.
 
     Only the column names of that one list come to the driver, to build the projection.
     """
+    raw_items = raw_items.filter(F.col("list_guid") == list_guid)
+    own = list_fields.filter(F.col("list_guid") == list_guid)
     listed = [
         r["name"]
-        for r in list_fields.filter(F.coalesce(F.col("name"), F.lit("")) != "").orderBy("pos").select("name").collect()
+        for r in own.filter(F.coalesce(F.col("name"), F.lit("")) != "").orderBy("pos").select("name").collect()
     ]
     wanted = list(dict.fromkeys(n for n in listed + fixed.ALWAYS_PROJECTED if n != fixed.PROPERTY_BAG))
     return raw_items.select(

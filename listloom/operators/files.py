@@ -14,11 +14,12 @@ from ..scale import broadcast_if_small
 def plan_files(raw_items: DataFrame, lists: DataFrame) -> DataFrame:
     """One row per file to fetch, or a ``needs_listing`` row where only the flag says so.
 
-    Library rows carry their own url; other rows carry attachment urls. Narrow but
-    for the join with ``lists``.
+    Library rows carry their own url; other rows carry attachment urls, as do rows of a
+    list that nobody described. Narrow but for the join with ``lists``.
     """
     base = lists.select(F.col("guid").alias("list_guid"), (F.col("base_type") == "1").alias("is_library"))
-    rows = raw_items.join(broadcast_if_small(base), "list_guid")
+    rows = raw_items.join(broadcast_if_small(base), "list_guid", "left")
+    rows = rows.withColumn("is_library", F.coalesce("is_library", F.lit(False)))
 
     def attr(name: str) -> Column:
         return F.try_element_at("raw", F.lit(fixed.WIRE_PREFIX + name))

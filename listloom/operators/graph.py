@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -77,13 +78,14 @@ def graph_summary(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def walk_hierarchy(
-    edges: DataFrame, root: str, unreadable: DataFrame | None = None, max_depth: int = 32
+    edges: DataFrame, root: str, unreadable: DataFrame | None = None, max_depth: int | None = None
 ) -> DataFrame:
     """Breadth-first walk over parent to child urls; every url once, so cycles end.
 
     ``edges`` has ``parent``, ``child``, ``title`` and ``pos``; ``unreadable`` has
-    ``url``. Each level is materialised, so the plan does not grow with the depth, and
-    while a level is small the edges are read without a shuffle.
+    ``url``. Without ``max_depth`` the whole tree is walked. The edges of a level are stored
+    once, for its titles and for the next level, so each level reads ``edges`` once and the
+    plan does not grow with the depth; while a level is small they are read without a shuffle.
     The result has ``url``, ``title``, ``depth`` and ``status``: ``read``,
     ``unreadable`` (subtree lost) or ``depth_limit`` (not visited further).
     """
@@ -99,13 +101,13 @@ def walk_hierarchy(
         F.lit(root).alias("url"), F.lit("").alias("title"), F.lit(0).alias("depth"), F.lit("read").alias("status")
     )
     levels, titles = [frontier], []
-    for depth in range(1, max_depth + 1):
+    for depth in count(1) if max_depth is None else range(1, max_depth + 1):
         open_ = frontier.filter(F.col("status") == "read").select(F.col("url").alias("parent"))
-        found = edges.join(broadcast_if_small(open_), "parent")
+        found = materialise(edges.select("parent", "child", "title", "pos").join(broadcast_if_small(open_), "parent"))
         titled = found.filter(F.coalesce(F.col("title"), F.lit("")) != "").groupBy("child").agg(
             F.min(F.struct(F.lit(depth).alias("depth"), "parent", "pos", "title")).alias("best")
         )
-        titles.append(materialise(titled))
+        titles.append(titled)
         seen = reduce(DataFrame.unionByName, levels).select("url")
         fresh = found.select(F.col("child").alias("url")).distinct()
         fresh = fresh.join(seen, "url", "left_anti").join(lost, "url", "left")
@@ -115,7 +117,7 @@ def walk_hierarchy(
                 F.lit("").alias("title"),
                 F.lit(depth).alias("depth"),
                 F.when(F.col("_lost"), "unreadable")
-                .when(F.lit(depth >= max_depth), "depth_limit")
+                .when(F.lit(max_depth is not None and depth >= max_depth), "depth_limit")
                 .otherwise("read")
                 .alias("status"),
             )
@@ -139,5 +141,5 @@ def walk_summary(walked: DataFrame) -> DataFrame:
         F.max(F.when(F.col("status") == "read", F.col("depth"))).alias("depth_reached"),
         F.count_if(F.col("status") == "unreadable").alias("unreadable"),
         F.count_if(F.col("status") == "depth_limit").alias("depth_limited"),
-        F.coalesce(F.every(F.col("status") != "unreadable"), F.lit(True)).alias("complete"),
+        F.coalesce(F.every(F.col("status") == "read"), F.lit(True)).alias("complete"),
     )

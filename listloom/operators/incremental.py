@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..scale import broadcast_if_small
 from ..session import materialise
@@ -14,12 +15,21 @@ KEY = ["list_guid", "item_id"]
 
 
 def latest_per_key(changes: DataFrame, keys: Sequence[str] = KEY, seq: str = "seq") -> DataFrame:
-    """The last change of each key in feed order, combined on the map side."""
+    """The last change of each key in feed order, combined on the map side.
+
+    ``seq`` may be a number or a struct; a change without one comes before all others and is not lost.
+    """
     rest = [c for c in changes.columns if c not in keys]
-    last = F.max_by(F.struct(*rest), F.col(seq)).alias("_last")
+    last = F.max_by(F.struct(*rest), F.struct(seq)).alias("_last")
     return changes.groupBy(*keys).agg(last).select(*[*keys, "_last.*"]).select(*changes.columns)
 
 
+def latest_items(raw_items: DataFrame, order: Sequence[str], keys: Sequence[str] = KEY) -> DataFrame:
+    """The last version of items that came more than once (overlapping pages, a resumed run), whole rows only."""
+    place = F.struct(*order).alias("_place")
+    return latest_per_key(raw_items.withColumn("_place", place), keys, "_place").drop("_place")
+
+
 def split_changes(latest: DataFrame, change_type: str = "change_type") -> tuple[DataFrame, DataFrame]:
     """Latest changes as rows to write and keys to delete."""
     deleted = F.lower(F.col(change_type)) == "delete"
@@ -74,14 +84,19 @@ def sync_report(
 
 
 def truncate_after(target: DataFrame, list_state: DataFrame) -> DataFrame:
-    """Rows up to the checkpoint of their list; rows without an id go."""
-    marks = list_state.select("list_guid", F.coalesce("last_item_id", F.lit(0)).alias("_mark"))
-    return target.join(broadcast_if_small(marks), "list_guid").filter(F.col("item_id") <= F.col("_mark")).drop("_mark")
+    """Rows up to the checkpoint of lists that go on behind one; rows of all other lists stay as they are.
+
+    Of a list that goes on, rows without an id go too.
+    """
+    going_on = route_resume(list_state).filter(F.col("action") == "continue").select("list_guid", F.col("after_id").alias("_mark"))
+    joined = target.join(broadcast_if_small(going_on), "list_guid", "left")
+    return joined.filter(F.col("_mark").isNull() | (F.col("item_id") <= F.col("_mark"))).select(*target.columns)
 
 
 def append_new(target: DataFrame, source: DataFrame, by: str = "list_guid", key: str = "item_id") -> DataFrame:
     """Source rows above the highest key already stored for their collection."""
-    high = target.groupBy(by).agg(F.max(key).alias("_high"))
+    # One row per collection; stored, so that measuring it does not read the target again.
+    high = materialise(target.groupBy(by).agg(F.max(key).alias("_high")))
     joined = source.join(broadcast_if_small(high), by, "left")
     return joined.filter(F.col("_high").isNull() | (F.col(key) > F.col("_high"))).select(*source.columns)
 
@@ -115,21 +130,35 @@ def route_changes(batches: DataFrame, list_state: DataFrame, major: int | None)
     return per_list.join(state, "list_guid", "left").select("list_guid", action.alias("action"), reason.alias("reason"))
 
 
-def route_resume(list_state: DataFrame) -> DataFrame:
-    """Per list: skip when complete, continue behind a checkpoint, else reset."""
+def route_resume(list_state: DataFrame, lists: DataFrame | None = None) -> DataFrame:
+    """Per list: skip when complete, continue behind a checkpoint, else reset.
+
+    ``lists`` (``list_guid``) adds lists that have no state yet; they are reset.
+    """
+    if "status" not in list_state.columns:
+        list_state = list_state.withColumn("status", F.lit(None).cast("string"))
+    if lists is not None:
+        list_state = lists.select("list_guid").distinct().join(list_state, "list_guid", "full")
     mark = F.coalesce(F.col("last_item_id"), F.lit(0))
     action = F.when(F.col("status") == "complete", "skip").when(mark != 0, "continue").otherwise("reset")
     return list_state.select("list_guid", action.alias("action"), F.when(action == "continue", mark).otherwise(F.lit(0)).alias("after_id"))
 
 
 def pages_to_load(pages: DataFrame, routes: DataFrame) -> DataFrame:
-    """Rows that a resumed run still has to take in."""
-    joined = pages.join(broadcast_if_small(routes), "list_guid")
-    return joined.filter((F.col("action") != "skip") & (F.col("item_id") > F.col("after_id"))).drop("action", "after_id")
+    """Rows that a resumed run still has to take in; a list without a route is loaded whole."""
+    joined = pages.join(broadcast_if_small(routes.select("list_guid", "action", "after_id")), "list_guid", "left")
+    behind = F.col("action").isNull() | (F.col("action") == "reset") | (F.col("item_id") > F.col("after_id"))
+    return joined.filter(behind & (F.coalesce("action", F.lit("reset")) != "skip")).select(*pages.columns)
+
 
+def advance_state(
+    list_state: DataFrame, changed: DataFrame, tokens: DataFrame, target: DataFrame, at: Column | None = None
+) -> DataFrame:
+    """State after a sync: highest id seen, new token, status, and rows counted afresh.
 
-def advance_state(list_state: DataFrame, changed: DataFrame, tokens: DataFrame, target: DataFrame) -> DataFrame:
-    """State after a sync: highest id seen, new token, status, and rows counted afresh."""
+    The other columns of the state stay (url, title, instants); a list that was synced loses its error and, given
+    ``at``, has it as ``last_sync``.
+    """
     high = changed.groupBy("list_guid").agg(F.max("item_id").alias("_high"))
     count = target.groupBy("list_guid").agg(F.count(F.lit(1)).alias("_rows"))
     joined = (
@@ -137,15 +166,32 @@ def advance_state(list_state: DataFrame, changed: DataFrame, tokens: DataFrame,
             tokens.select("list_guid", F.col("change_token").alias("_token")), "list_guid", "full"
         )
     )
+    synced = F.col("_high").isNotNull() | F.col("_token").isNotNull()
+    own = {"list_guid", "status", "last_item_id", "items_written", "change_token"}
+    rest = {c: F.col(c) for c in list_state.columns if c not in own}
+    if "error" in rest:
+        rest["error"] = F.when(~synced, F.col("error"))
+    if at is not None:
+        before = rest.get("last_sync", F.lit(None).cast("timestamp"))
+        rest["last_sync"] = F.when(synced, at).otherwise(before)
     return joined.select(
         "list_guid",
-        F.when(F.col("_high").isNotNull() | F.col("_token").isNotNull(), "complete").otherwise(F.coalesce("status", F.lit("pending"))).alias("status"),
+        F.when(synced, "complete").otherwise(F.coalesce("status", F.lit("pending"))).alias("status"),
         F.greatest(F.coalesce("last_item_id", F.lit(0)), F.coalesce("_high", F.lit(0))).alias("last_item_id"),
         F.coalesce("_rows", F.lit(0)).alias("items_written"),
         F.coalesce("_token", "change_token").alias("change_token"),
+        *[c.alias(name) for name, c in rest.items()],
     )
 
 
+def append_schema_report(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key column that the stored or the incoming rows lack, and which of them does."""
+    sides = [("stored", existing.columns), ("incoming", incoming.columns)]
+    missing = [F.struct(F.lit(k).alias("key"), F.lit(side).alias("side")) for k in keys for side, columns in sides if k not in columns]
+    rows = F.array(*missing) if missing else F.array().cast("array<struct<key:string,side:string>>")
+    return existing.sparkSession.range(1).select(F.inline(rows))
+
+
 def check_append_schema(existing: DataFrame, incoming: DataFrame, key: str) -> None:
     """Refuse to append when the stored rows lack the key column in use now."""
     if key not in incoming.columns:
@@ -155,12 +201,32 @@ def check_append_schema(existing: DataFrame, incoming: DataFrame, key: str) -> N
         raise ValueError(f"stored rows have no column {key!r}; they have: {stored}")
 
 
+def _comparable(c: Column, dtype: T.DataType) -> Column:
+    """The value with map entries in the order of their keys, so that equal values have equal texts."""
+    if isinstance(dtype, T.MapType):
+        return F.transform(
+            F.array_sort(F.map_keys(c)),
+            lambda k: F.struct(k.alias("k"), _comparable(F.try_element_at(c, k), dtype.valueType).alias("v")),
+        )
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(c, lambda x: _comparable(x, dtype.elementType))
+    if isinstance(dtype, T.StructType):
+        parts = [_comparable(c[f.name], f.dataType).alias(f.name) for f in dtype.fields]
+        return F.when(c.isNotNull(), F.struct(*parts))
+    return c
+
+
+def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
+    """A digest of the named columns; NULLs count with their place, variants and maps by content."""
+    parts = [_comparable(F.col(f"`{c}`"), df.schema[c].dataType).alias(c) for c in columns]
+    return F.sha2(F.to_json(F.struct(*parts), {"ignoreNullFields": "false"}), 256)
+
+
 def snapshot_diff(before: DataFrame, after: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Keys added, removed or changed between two runs, compared by row hash."""
+    """Keys added, removed or changed between two runs, compared by digests of whole rows."""
     columns = sorted(c for c in before.columns if c != key)
-    row_hash = F.xxhash64(*[F.col(c) for c in columns])
-    a = before.select(key, row_hash.alias("_a"))
-    b = after.select(key, row_hash.alias("_b"))
+    a = before.select(key, row_digest(before, columns).alias("_a"))
+    b = after.select(key, row_digest(after, columns).alias("_b"))
     change = (
         F.when(F.col("_a").isNull(), "added").when(F.col("_b").isNull(), "removed").when(F.col("_a") != F.col("_b"), "changed")
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import fixed, names, wire
-from ..scale import HOT_ROWS, PART_ROWS, broadcast_if_small, collect_in_parts, rank_within
+from ..scale import HOT_ROWS, broadcast_if_small, collect_in_parts, rank_within
 
 
 def thread_order(
@@ -20,7 +20,7 @@ def thread_order(
     return rank_within(children.filter(F.col(fk).isNotNull()), [fk], order, name, hot_rows)
 
 
-def attach_children(
+def attach_children_in_parts(
     parents: DataFrame,
     children: DataFrame,
     pk: str,
@@ -28,14 +28,13 @@ def attach_children(
     created: Column,
     ids: Sequence[Column],
     columns: Sequence[str],
+    part_rows: int,
     name: str = "comments",
-    part_rows: int = PART_ROWS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Every parent row with its ordered children; without children an empty array.
+    """One row per parent and part, with the ordered children of that part; without children one empty array.
 
-    A thread longer than ``part_rows`` continues in further rows of the same
-    parent, numbered by ``part``; all children are kept.
+    The caller says how many children make a part; all children are kept. ``thread_order`` is the long form, a row per child.
     """
     ranked = thread_order(children, fk, created, ids, "_rank", hot_rows)
     entry = F.struct(*[F.col(c) for c in columns])

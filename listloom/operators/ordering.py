@@ -57,12 +57,10 @@ def accepted_pages(pages: DataFrame, keys: Sequence[str], start: int = 0, keep_s
 def stratified_pick(files: DataFrame, kind: str, order: str, n: int) -> DataFrame:
     """Round robin over the kinds in first-seen order, ``n`` rows in all.
 
-    Only the first ``n`` of a kind can be picked, so each task keeps ``n`` per kind
-    before anything is shuffled.
+    Rows are ranked within their kind, a large kind over many tasks.
     """
     first = files.groupBy(kind).agg(F.min(order).alias("first_seen"))
-    turn = F.row_number().over(Window.partitionBy(kind).orderBy(order))
-    nearest = files.withColumn("turn", turn).filter(F.col("turn") <= n)
+    nearest = rank_within(files, [kind], [F.col(order)], "turn").filter(F.col("turn") <= n)
     return nearest.join(first, kind).orderBy("turn", "first_seen").limit(n)
 
 

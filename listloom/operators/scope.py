@@ -48,16 +48,17 @@ def scope_lists(
 def normalise_webs(webs: DataFrame, root_url: str | None = None) -> DataFrame:
     """One row per normalised url; the first title that is not empty wins.
 
-    Reads ``title``, ``url`` and ``pos``. The called root is always present.
+    Reads ``title``, ``url`` and ``pos``, which may be anything that orders the entries. The called root is
+    always present.
     """
     listed = webs.filter(F.coalesce(F.col("url"), F.lit("")) != "").select(
-        names.normalise_url(F.col("url")).alias("url"), F.col("title"), F.col("pos").cast("bigint").alias("pos")
+        names.normalise_url(F.col("url")).alias("url"), "title", "pos"
     )
     if root_url is not None:
         root = webs.sparkSession.range(1).select(
             names.normalise_url(F.lit(root_url)).alias("url"),
             F.lit("").alias("title"),
-            F.lit(-1).cast("bigint").alias("pos"),
+            F.lit(None).cast(listed.schema["pos"].dataType).alias("pos"),
         )
         listed = listed.unionByName(root)
     titled = F.coalesce(F.col("title"), F.lit("")) != ""

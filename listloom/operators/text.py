@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import json
 from collections.abc import Sequence
 from urllib.parse import quote
 
@@ -13,24 +14,21 @@ from pyspark.sql import types as T
 from ..functions import fixed, wire
 from ..scale import broadcast_if_small
 
-# Markers count only where the body's head ends; the whole body is searched.
-HEAD = 8192
-PAGE_HEAD = 512
-DOCUMENT_PART_LINES = 4096
-
-
-def _starts_within(body: Column, marker: str, head: int) -> Column:
-    """Whether the first occurrence of ``marker`` lies inside the first ``head`` characters."""
+def _starts_within(body: Column, marker: str, head: int | None) -> Column:
+    """Whether ``marker`` occurs, given ``head`` inside the first ``head`` characters."""
     at = F.locate(marker, body)
-    return (at > 0) & (at <= head - len(marker) + 1)
+    return at > 0 if head is None else (at > 0) & (at <= head - len(marker) + 1)
 
 
-def classify_payloads(pages: DataFrame, body: str = "body", head: int = HEAD) -> DataFrame:
-    """Add ``payload``: why a body is not the reply that was asked for, first match wins."""
+def classify_payloads(pages: DataFrame, body: str = "body", head: int | None = None, page_head: int | None = None) -> DataFrame:
+    """Add ``payload``: why a body is not the reply that was asked for, first match wins.
+
+    Whole bodies are looked at; ``head`` and ``page_head`` limit that to their first characters.
+    """
     low = F.lower(F.col(body))
     blank = F.btrim(F.coalesce(F.col(body), F.lit("")), F.lit(" \t\n\r\x0b\x0c")) == ""
     form = _starts_within(low, "<form", head) & _starts_within(low, 'name="__viewstate"', head)
-    page = F.ltrim(low, F.lit(" \t\n\r\x0b\x0c")).startswith("<html") | _starts_within(low, "<html", min(PAGE_HEAD, head))
+    page = F.ltrim(low, F.lit(" \t\n\r\x0b\x0c")).startswith("<html") | _starts_within(low, "<html", page_head)
     kind = (
         F.when(blank, "empty")
         .when(_starts_within(low, fixed.UNKNOWN_OPERATION_MARKER, head), "unsupported_operation")
@@ -46,8 +44,8 @@ def fold_space(c: Column) -> Column:
     return F.regexp_replace(wire.strip(c), r"(?U)[\s\x1c-\x1f]+", " ")
 
 
-def extract_error_message(bodies: DataFrame, body: str = "body", snippet: int = 300) -> DataFrame:
-    """Add ``message``: the server's own reason, from a JSON or XML error or the body's start."""
+def extract_error_message(bodies: DataFrame, body: str = "body", snippet: int | None = None) -> DataFrame:
+    """Add ``message``: the server's own reason, from a JSON or XML error, else the body (its first ``snippet`` characters)."""
     text = wire.strip(F.coalesce(F.col(body), F.lit("")))
     node = F.try_variant_get(F.try_parse_json(text), "$.error.message", "variant")
     nested = F.schema_of_variant(node).startswith("OBJECT")
@@ -59,7 +57,7 @@ def extract_error_message(bodies: DataFrame, body: str = "body", snippet: int =
     from_xml = F.when(low.contains("<m:message"), F.regexp_extract(text, spaced, 1)).when(
         low.contains("<message"), F.regexp_extract(text, bare, 1)
     )
-    start = F.substring(fold_space(text), 1, snippet)
+    start = fold_space(text) if snippet is None else F.substring(fold_space(text), 1, snippet)
     message = (
         F.when(fold_space(from_json) != "", fold_space(from_json))
         .when(fold_space(from_xml) != "", fold_space(from_xml))
@@ -79,7 +77,7 @@ _FAULT = r"(?i)<\s*(?:[a-z0-9_.-]+:)?fault(?:string)?[\s>/]"
 _FAULT_BODY = r"(?is)<(?:[\w.-]+:)?Fault(?:\s[^>]*)?>(.*?)</(?:[\w.-]+:)?Fault\s*>"
 
 
-def extract_faults(pages: DataFrame, body: str = "body", head: int = HEAD) -> DataFrame:
+def extract_faults(pages: DataFrame, body: str = "body", head: int | None = None) -> DataFrame:
     """Add the four fault texts and whether the reply is an application error or worth a retry.
 
     Patterns instead of an XML parser, so a damaged body gives NULL and not an error.
@@ -94,7 +92,8 @@ def extract_faults(pages: DataFrame, body: str = "body", head: int = HEAD) -> Da
 
     at = F.regexp_instr(whole, F.lit(_FAULT))
     mark = F.length(F.regexp_extract(whole, _FAULT, 0))
-    application = F.coalesce((at > 0) & (at + mark - 1 <= head), F.lit(False))
+    near = at > 0 if head is None else (at > 0) & (at + mark - 1 <= head)
+    application = F.coalesce(near, F.lit(False))
     return pages.select(
         "*",
         F.when(inner.isNotNull(), F.coalesce(text_of("faultstring"), F.lit("unknown SOAP fault"))).alias("faultstring"),
@@ -125,15 +124,29 @@ def secret_forms(secrets: Sequence[str], user: str | None = None) -> list[str]:
     return sorted(forms, key=lambda f: (-len(f), f))
 
 
+def _json_forms(forms: Sequence[str]) -> list[str]:
+    """The forms as they stand inside JSON text, plain and with everything but ASCII escaped."""
+    inside = {json.dumps(f, ensure_ascii=ascii_only)[1:-1] for f in forms for ascii_only in (False, True)}
+    inside |= {f.replace("/", "\\/") for f in inside}
+    return sorted(inside, key=lambda f: (-len(f), f))
+
+
+def _replaced(c: Column, forms: Sequence[str]) -> Column:
+    for form in forms:
+        c = F.replace(c, F.lit(form), F.lit(fixed.REDACTED))
+    return c
+
+
 def _scrub(c: Column, dtype: T.DataType, forms: Sequence[str]) -> Column:
     if isinstance(dtype, T.StringType):
-        for form in forms:
-            c = F.replace(c, F.lit(form), F.lit(fixed.REDACTED))
-        return c
+        return _replaced(c, forms)
+    if isinstance(dtype, T.VariantType):
+        return F.parse_json(_replaced(F.to_json(c), _json_forms(forms)))
     if isinstance(dtype, T.ArrayType) and _holds_text(dtype.elementType):
         return F.transform(c, lambda x: _scrub(x, dtype.elementType, forms))
-    if isinstance(dtype, T.MapType) and _holds_text(dtype.valueType):
-        return F.transform_values(c, lambda _k, v: _scrub(v, dtype.valueType, forms))
+    if isinstance(dtype, T.MapType) and _holds_text(dtype):
+        values = F.transform_values(c, lambda _k, v: _scrub(v, dtype.valueType, forms))
+        return F.transform_keys(values, lambda k, _v: _scrub(k, dtype.keyType, forms))
     if isinstance(dtype, T.StructType) and _holds_text(dtype):
         parts = [_scrub(c[f.name], f.dataType, forms).alias(f.name) for f in dtype.fields]
         return F.when(c.isNotNull(), F.struct(*parts))
@@ -146,12 +159,12 @@ def _holds_text(dtype: T.DataType) -> bool:
     if isinstance(dtype, T.ArrayType):
         return _holds_text(dtype.elementType)
     if isinstance(dtype, T.MapType):
-        return _holds_text(dtype.valueType)
-    return isinstance(dtype, T.StringType)
+        return _holds_text(dtype.keyType) or _holds_text(dtype.valueType)
+    return isinstance(dtype, (T.StringType, T.VariantType))
 
 
 def redact(df: DataFrame, secrets: Sequence[str], user: str | None = None) -> DataFrame:
-    """Replace every form of every secret in all texts, nested ones included."""
+    """Replace every form of every secret in all texts: nested ones, map keys and variants included."""
     forms = secret_forms(secrets, user)
     return df.select(*[_scrub(F.col(f"`{f.name}`"), f.dataType, forms).alias(f.name) for f in df.schema.fields])
 
@@ -173,13 +186,11 @@ def display_text(item_fields: DataFrame) -> Column:
     return F.when(text != "", text)
 
 
-def build_documents(
-    items: DataFrame, item_fields: DataFrame, list_fields: DataFrame, part_lines: int = DOCUMENT_PART_LINES
-) -> DataFrame:
+def build_documents(items: DataFrame, item_fields: DataFrame, list_fields: DataFrame) -> DataFrame:
     """One text per item: a ``display name: value`` line per filled field, folders left out.
 
-    Lines follow the schema order. An item with more columns than ``part_lines``
-    continues in further rows, numbered by ``part``.
+    Lines follow the schema order, undeclared fields come last by name. An item has as
+    many lines as its list has columns.
     """
     shown = list_fields.select(
         "list_guid", F.col("name").alias("field"), F.col("pos").alias("_pos"), "display_name"
@@ -188,12 +199,10 @@ def build_documents(
     pos = F.coalesce("_pos", F.lit(2**31 - 1))
     line = F.concat(F.coalesce("display_name", "field"), F.lit(": "), display_text(item_fields))
     lines = rows.select("list_guid", "item_id", pos.alias("_pos"), "field", line.alias("_line")).filter(F.col("_line").isNotNull())
-    part = F.when(F.col("_pos") == 2**31 - 1, -1).otherwise(F.floor(F.col("_pos") / part_lines)).cast("bigint")
     texts = (
-        lines.withColumn("part", part)
-        .groupBy("list_guid", "item_id", "part")
+        lines.groupBy("list_guid", "item_id")
         .agg(F.array_sort(F.collect_list(F.struct("_pos", "field", "_line"))).alias("_l"))
-        .select("list_guid", "item_id", "part", F.concat_ws("\n", F.col("_l._line")).alias("text"))
+        .select("list_guid", "item_id", F.concat_ws("\n", F.col("_l._line")).alias("text"))
     )
     heads = items.filter(~F.col("is_folder")).select(
         "list_guid",
@@ -204,6 +213,18 @@ def build_documents(
         "modified",
     )
     joined = heads.join(texts, ["list_guid", "item_id"], "left")
-    return joined.select(
-        "id", F.coalesce("part", F.lit(0)).cast("bigint").alias("part"), F.coalesce("text", F.lit("")).alias("text"), "source_url", "list", "modified"
-    )
+    return joined.select("id", F.coalesce("text", F.lit("")).alias("text"), "source_url", "list", "modified")
+
+
+def document_lookups(item_fields: DataFrame, edges: DataFrame, items: DataFrame) -> DataFrame:
+    """Which items a document refers to: one row per document, field and id, with the list the id belongs to."""
+    targets = edges.select(F.col("source_list_guid").alias("list_guid"), F.col("field_name").alias("field"), "target_list_guid")
+    refs = item_fields.select("list_guid", "item_id", "field", F.explode("v_refs").alias("r")).filter("r.id IS NOT NULL")
+    named = refs.join(broadcast_if_small(targets), ["list_guid", "field"])
+    heads = items.filter(~F.col("is_folder")).select("list_guid", "item_id", F.col("doc_id").alias("id"))
+    return named.join(heads, ["list_guid", "item_id"]).select("id", "field", "target_list_guid", F.col("r.id").alias("target_item_id"))
+
+
+def document_files(attachments: DataFrame) -> DataFrame:
+    """Files that were downloaded for a document, one row each."""
+    return attachments.filter("downloaded").select(F.col("doc_id").alias("id"), "filename", "local_path")

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import decode, graph, scope
+from ..operators import files as file_rows
+from ..operators.incremental import latest_items
 from ..session import scratch_path
 from ..sinks import landing as sink
 from ..sources import captured
@@ -20,6 +22,8 @@ from .registry import Tables, query
 from .relating import customer_lists
 
 PAGE = 200
+# The extension whose files are not fetched.
+EXCLUDED = ".pdf"
 ORDER_COLUMNS = ["ID", "Title", "Customer", "Total", "Opened"]
 
 
@@ -166,6 +170,36 @@ def change_stream(t: Tables) -> DataFrame:
     return feeds.current_rows(spark, table).select("item_id", "title")
 
 
+_REFUSED = 3
+
+
+@query(
+    "change_stream_refused",
+    """WITH feed AS (SELECT user_id AS item_id, event_type AS title, event_type = 'error' AS gone, event_id // 100 AS page, event_id FROM events WHERE event_id // 100 < 3),
+latest AS (SELECT * FROM feed QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY page DESC, gone, event_id DESC) = 1),
+rows AS (SELECT c_custkey AS item_id, c_mktsegment AS title FROM customer WHERE c_custkey NOT IN (SELECT item_id FROM latest) UNION ALL SELECT item_id, title FROM latest WHERE NOT gone)
+SELECT 'one file a batch' AS run, * FROM rows UNION ALL SELECT 'one batch', * FROM rows""",
+)
+def change_stream_refused(t: Tables) -> DataFrame:
+    """A refused token ends the list at its page, however the pages are cut into batches."""
+    base = t.customer.select(F.lit("{E}").alias("list_guid"), F.col("c_custkey").alias("item_id"), F.col("c_mktsegment").alias("title"))
+    files = _change_files(t)
+
+    def shape(rows: DataFrame) -> DataFrame:
+        return rows.select("list_guid", "item_id", "change_type", F.try_element_at("raw", F.lit("ows_Title")).alias("title"), "seq")
+
+    def load(per_batch: int | None, run: str) -> DataFrame:
+        table = scratch_path(t.spark, "table")
+        sink.publish_snapshot(base, table)
+        pages = feeds.stream_change_pages(t.spark, files, CHANGE_COLUMNS, F.lit("{E}"), per_batch)
+        pages = pages.withColumn("page_no", _token_page(F.col("last_change_token")))
+        pages = pages.withColumn("token_invalid", F.col("page_no") == _REFUSED)
+        feeds.change_stream(pages, table, scratch_path(t.spark, "progress"), shape).awaitTermination()
+        return feeds.current_rows(t.spark, table).select(F.lit(run).alias("run"), "item_id", "title")
+
+    return load(1, "one file a batch").unionByName(load(None, "one batch"))
+
+
 @query("page_stream", _ROWSET_SQL)
 def page_stream(t: Tables) -> DataFrame:
     spark, out = t.spark, scratch_path(t.spark, "streamed")
@@ -314,13 +348,25 @@ def read_web_inventory(t: Tables) -> DataFrame:
 def _landing(t: Tables) -> str:
     """A full run: decode, item records, both outputs, schemas, graph and a run report."""
     root = scratch_path(t.spark, "landing")
-    raw, fields, lists = raw_orders(t), order_fields(t), segment_lists(t)
-    kept, _dropped = decode.split_by_item_id(raw)
+    fields, lists = order_fields(t), segment_lists(t)
+    # Every fifth item was sent before, in an older version.
+    sent = raw_orders(t).withColumn("page", F.lit(2))
+    older = F.map_from_arrays(F.array(F.lit("ows_ID"), F.lit("ows_Title")), F.array(F.col("item_id").cast("string"), F.lit("outdated")))
+    resent = sent.filter("item_id % 5 = 0 AND item_id % 101 <> 3").withColumns({"page": F.lit(1), "raw": older})
+    kept, _dropped = decode.split_by_item_id(sent.unionByName(resent))
+    kept = latest_items(kept, ["page"]).drop("page")
     records = scope.build_items(kept, lists, keep_raw=True)
     decoded = decode.decode_items(kept, fields)
     empty = lists.limit(1).select(F.lit("{EMPTY}").alias("guid"), F.lit("http://farm/empty").alias("web_url"))
     all_lists = lists.select("guid", "web_url").unionByName(empty)
-    sink.write_landing(sink.contract_items(records.drop("raw"), decoded, fields), records, all_lists, root)
+    named = records.select("doc_id", "web_url", "list_guid", "item_id")
+    planned = file_rows.plan_files(kept, lists).filter(~F.col("needs_listing")).withColumn("bytes", F.lit(None).cast("bigint"))
+    judged = file_rows.skip_policy(planned, "file_name", "bytes", 1_000_000, [EXCLUDED])
+    files = judged.join(named, ["list_guid", "item_id"]).select(
+        "doc_id", "web_url", "list_guid", F.col("file_name").alias("filename"), "url", F.lit(None).cast("string").alias("local_path"),
+        "bytes", F.lit(None).cast("string").alias("sha256"), F.lit(False).alias("downloaded"), "skip_reason",
+    )
+    sink.write_landing(sink.contract_items(records.drop("raw"), decoded, fields), records, all_lists, root, files)
     sink.write_list_schemas(lists, fields, root)
     return root
 
@@ -343,6 +389,18 @@ def write_landing(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "landing_attachments",
+    f"""WITH o AS (SELECT o_orderkey, lower(c_mktsegment) AS list_slug, length(c_mktsegment) % 2 = 1 AS library FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 101 <> 3)
+SELECT list_slug, o_orderkey || '_.000' AS filename, 'http://farm/sites/x/' || o_orderkey || '_.000' AS url, NULL AS skip_reason, false AS downloaded FROM o WHERE library AND o_orderkey % 40 <> 0
+UNION ALL SELECT list_slug, 'scan one.pdf', 'http://farm/a/' || o_orderkey || '/scan%20one.pdf', 'extension_excluded:{EXCLUDED}', false FROM o WHERE NOT library AND o_orderkey % 6 = 0
+UNION ALL SELECT list_slug, 'log.txt', 'http://farm/a/' || o_orderkey || '/log.txt', NULL, false FROM o WHERE NOT library AND o_orderkey % 6 = 0""",
+)
+def landing_attachments(t: Tables) -> DataFrame:
+    """Planned, judged by the policy, written beside the items and read back."""
+    return source.read_attachments(t.spark, _landing(t)).select("list_slug", "filename", "url", "skip_reason", "downloaded")
+
+
 @query("landing_completeness", "SELECT count(*) AS raw_rows, CAST(0 AS BIGINT) AS one_sided, CAST(0 AS BIGINT) AS skipped FROM orders WHERE o_orderkey % 101 <> 3")
 def landing_completeness(t: Tables) -> DataFrame:
     from ..operators.incremental import dual_completeness

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import incremental as inc
@@ -75,9 +75,22 @@ def _state(t: Tables) -> DataFrame:
     )
 
 
-@query("truncate_after", f"WITH {_ITEMS_SQL}, {_STATE_SQL} SELECT i.list_guid, item_id, title FROM items i JOIN state USING (list_guid) WHERE item_id <= last_item_id")
+# One list has no state, and one no checkpoint.
+_GAPS_SQL = f"{_STATE_SQL}, gaps AS (SELECT list_guid, status, CASE WHEN substr(list_guid, 1, 1) <> '3' THEN last_item_id END AS last_item_id FROM state WHERE substr(list_guid, 1, 1) <> '4')"
+
+
+def _gaps(t: Tables) -> DataFrame:
+    head = F.substring("list_guid", 1, 1)
+    return _state(t).filter(head != "4").withColumn("last_item_id", F.when(head != "3", F.col("last_item_id")))
+
+
+@query(
+    "truncate_after",
+    f"""WITH {_ITEMS_SQL}, {_GAPS_SQL} SELECT i.list_guid, item_id, title FROM items i LEFT JOIN gaps USING (list_guid)
+WHERE status IS NULL OR status = 'complete' OR coalesce(last_item_id, 0) = 0 OR item_id <= last_item_id""",
+)
 def truncate_after(t: Tables) -> DataFrame:
-    return inc.truncate_after(_items(t), _state(t)).select("list_guid", "item_id", "title")
+    return inc.truncate_after(_items(t), _gaps(t)).select("list_guid", "item_id", "title")
 
 
 @query(
@@ -112,13 +125,14 @@ def route_changes_old_server(t: Tables) -> DataFrame:
 
 @query(
     "route_resume",
-    f"""WITH {_ITEMS_SQL}, {_STATE_SQL}, r AS (SELECT list_guid, CASE WHEN status = 'complete' THEN 'skip' WHEN last_item_id <> 0 THEN 'continue' ELSE 'reset' END AS action,
-  CASE WHEN status <> 'complete' THEN last_item_id ELSE 0 END AS after_id FROM state)
+    f"""WITH {_ITEMS_SQL}, {_GAPS_SQL}, r AS (SELECT list_guid, CASE WHEN status = 'complete' THEN 'skip' WHEN last_item_id <> 0 THEN 'continue' ELSE 'reset' END AS action,
+  CASE WHEN status <> 'complete' THEN coalesce(last_item_id, 0) ELSE 0 END AS after_id FROM (SELECT DISTINCT list_guid FROM items) LEFT JOIN gaps USING (list_guid))
 SELECT r.list_guid, action, CAST(after_id AS BIGINT) AS after_id, count(i.item_id) AS to_load FROM r LEFT JOIN items i ON r.list_guid = i.list_guid AND action <> 'skip' AND item_id > after_id GROUP BY ALL""",
 )
 def route_resume(t: Tables) -> DataFrame:
-    routes = inc.route_resume(_state(t))
-    loads = inc.pages_to_load(_items(t), routes).groupBy("list_guid").agg(F.count(F.lit(1)).alias("n"))
+    routes = inc.route_resume(_gaps(t), _items(t))
+    known = inc.route_resume(_gaps(t))
+    loads = inc.pages_to_load(_items(t), known).groupBy("list_guid").agg(F.count(F.lit(1)).alias("n"))
     return routes.join(loads, "list_guid", "left").select("list_guid", "action", "after_id", F.coalesce("n", F.lit(0)).alias("to_load"))
 
 
@@ -126,12 +140,20 @@ def route_resume(t: Tables) -> DataFrame:
     "advance_state",
     f"""WITH {_ITEMS_SQL}, {_STATE_SQL}, changed AS (SELECT list_guid, max(item_id) AS high FROM items WHERE item_id % 7 = 0 AND list_guid < '4' GROUP BY 1), cnt AS (SELECT list_guid, count(*) AS n FROM items WHERE item_id % 2 = 0 GROUP BY 1)
 SELECT list_guid, CASE WHEN high IS NOT NULL THEN 'complete' ELSE status END AS status, greatest(last_item_id, coalesce(high, 0)) AS last_item_id, n AS items_written,
-  CASE WHEN list_guid < '4' THEN 'next' ELSE change_token END AS change_token FROM state LEFT JOIN changed USING (list_guid) LEFT JOIN cnt USING (list_guid)""",
+  CASE WHEN list_guid < '4' THEN 'next' ELSE change_token END AS change_token, CAST(NULL AS VARCHAR) AS error,
+  CASE WHEN list_guid < '4' THEN TIMESTAMP '2024-01-31 12:00:00' END AS last_sync FROM state LEFT JOIN changed USING (list_guid) LEFT JOIN cnt USING (list_guid)""",
 )
 def advance_state(t: Tables) -> DataFrame:
     changed = _items(t).filter("item_id % 7 = 0 AND list_guid < '4'")
     tokens = changed.select("list_guid").distinct().withColumn("change_token", F.lit("next"))
-    return inc.advance_state(_state(t), changed, tokens, _items(t).filter("item_id % 2 = 0"))
+    at = F.lit("2024-01-31 12:00:00").cast("timestamp")
+    after = inc.advance_state(_state(t), changed, tokens, _items(t).filter("item_id % 2 = 0"), at)
+    return after.withColumn("last_sync", F.col("last_sync").cast("timestamp_ntz"))
+
+
+@query("append_schema_report", "SELECT 'web' AS key, 'stored' AS side FROM (SELECT count(*) FROM orders) UNION ALL SELECT 'lost', 'stored' UNION ALL SELECT 'lost', 'incoming'")
+def append_schema_report(t: Tables) -> DataFrame:
+    return inc.append_schema_report(_items(t), _items(t).withColumn("web", F.lit("w")), ["list_guid", "web", "lost"])
 
 
 @query("state_summary", f"WITH {_ITEMS_SQL}, {_STATE_SQL} SELECT status, count(*) AS lists FROM state GROUP BY status")
@@ -154,8 +176,18 @@ def failed_lists(t: Tables) -> DataFrame:
 WHERE (doc_id % 5 = 0) <> (doc_id % 7 = 0) OR (doc_id % 5 <> 0 AND doc_id % 7 <> 0 AND doc_id % 11 = 0)""",
 )
 def snapshot_diff(t: Tables) -> DataFrame:
-    d = t.documents.select("doc_id", "text", "lang")
-    edited = d.withColumn("text", F.when(F.col("doc_id") % 11 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")))
+    def shaped(text: Column, moved: Column) -> DataFrame:
+        """The same values in a map, a variant, and one of two columns."""
+        names = F.create_map(F.lit("text"), text, F.lit("lang"), F.col("lang"))
+        fields = F.parse_json(F.to_json(F.struct(text.alias("text"))))
+        here, there = F.when(moved, None).otherwise(F.col("lang")), F.when(moved, F.col("lang"))
+        return t.documents.select("doc_id", names.alias("names"), fields.alias("fields"), here.alias("a"), there.alias("b"))
+
+    # Of the changed rows, every second one has its text edited, the others a value moved to the next column.
+    changed = F.col("doc_id") % 11 == 0
+    even = F.col("doc_id") % 2 == 0
+    d = shaped(F.col("text"), F.lit(False))
+    edited = shaped(F.when(changed & even, F.concat("text", F.lit("!"))).otherwise(F.col("text")), changed & ~even)
     # Documents divisible by both are in neither run.
     return inc.snapshot_diff(d.filter("doc_id % 5 <> 0"), edited.filter("doc_id % 7 <> 0"))
 

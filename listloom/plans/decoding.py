@@ -43,7 +43,7 @@ FROM lineitem GROUP BY ALL""",
 def decode_number(t: Tables) -> DataFrame:
     damaged = F.pmod("l_orderkey", F.lit(17))
     text = F.when(damaged == 0, F.concat(F.lit("EUR "), money("l_extendedprice"))).when(damaged == 1, F.lit(" ")).otherwise(money("l_extendedprice"))
-    keyed = t.spread("lineitem").select("l_returnflag", "l_linestatus", text.alias("raw")).select(
+    keyed = t.lineitem.select("l_returnflag", "l_linestatus", text.alias("raw")).select(
         F.lit("{L}").alias("list_guid"), "l_returnflag", "l_linestatus", F.lit("Price").alias("field"), F.lit("Currency").alias("wire_type"), "raw"
     )
     out = decode.decode_fields(keyed)
@@ -150,7 +150,7 @@ def decode_lookup_multi(t: Tables) -> DataFrame:
     p, s, d = F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"), F.lit(";#")
     good = F.concat(p, d, F.lit("part"), d, s, d, F.lit("supplier"))
     text = pick("l_orderkey", 5, good, F.concat(d, good, d), good, F.concat(good, d, F.lit("9")), F.lit(""))
-    rows = t.spread("lineitem").select("l_returnflag", F.lit("Refs").alias("field"), F.lit("LookupMulti").alias("wire_type"), text.alias("raw"))
+    rows = t.lineitem.select("l_returnflag", F.lit("Refs").alias("field"), F.lit("LookupMulti").alias("wire_type"), text.alias("raw"))
     out = decode.decode_fields(rows)
     ids = F.aggregate("v_refs", F.lit(0).cast("bigint"), lambda a, r: a + r["id"])
     return out.groupBy("l_returnflag").agg(
@@ -324,7 +324,7 @@ def _feed_entities(t: Tables) -> DataFrame:
         F.lit('"Fremd":true,"Erledigt":'), (k % 2 == 0).cast("string"), F.lit(',"Priorität":null,"__metadata":{"etag":"1"}}'),
     )
     guid = F.concat(F.lit("{"), F.col("c_mktsegment"), F.lit("}"))
-    rows = t.spread("orders").join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     return rows.select(guid.alias("list_guid"), k.alias("item_id"), F.parse_json(body).alias("row"))
 
 
@@ -406,11 +406,10 @@ def explode_fields(t: Tables) -> DataFrame:
     """SELECT o_orderkey AS item_id, 'Order ' || o_orderkey AS "Title", o_custkey || ';#' || c_name AS "Customer", o_orderpriority AS "Priority",
   CAST(NULL AS VARCHAR) AS "Parent", CAST(NULL AS VARCHAR) AS "Author", CAST(CASE WHEN o_orderkey % 3 = 0 THEN '1' ELSE '0' END AS VARCHAR) AS "Attachments",
   CAST(24 AS INTEGER) AS n_columns
-FROM orders JOIN customer ON o_custkey = c_custkey""",
+FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING'""",
 )
 def project_view_fields(t: Tables) -> DataFrame:
-    fields = order_fields(t).filter("list_guid = '{BUILDING}'")
-    wide = decode.project_view_fields(raw_orders(t), fields)
+    wide = decode.project_view_fields(raw_orders(t), order_fields(t), "{BUILDING}")
     return wide.select("item_id", "Title", "Customer", "Priority", "Parent", "Author", "Attachments", F.lit(len(wide.columns) - 1).alias("n_columns"))
 
 

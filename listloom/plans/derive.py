@@ -52,7 +52,7 @@ def order_rows(t: Tables) -> DataFrame:
 
 def raw_orders(t: Tables) -> DataFrame:
     """Orders as raw list items; about one in a hundred has lost its id."""
-    rows = t.spread("orders").join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     # Texts used more than once are columns of their own.
     rows = rows.select(
         "*", F.col("o_orderkey").cast("string").alias("key"), clock("o_orderdate").alias("day"), money("o_totalprice").alias("total")

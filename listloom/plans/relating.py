@@ -28,8 +28,8 @@ _LINES_SQL = "lines AS (SELECT *, CASE WHEN l_linenumber % 7 <> 0 THEN l_shipdat
 SELECT o_orderkey, CAST(0 AS BIGINT) AS part, coalesce(n, 0) AS n, coalesce(parts, '') AS parts FROM orders LEFT JOIN threads ON o_orderkey = l_orderkey""",
 )
 def attach_children(t: Tables) -> DataFrame:
-    out = joins.attach_children(
-        t.orders.select("o_orderkey"), _lines(t), "o_orderkey", "l_orderkey", F.col("created"), [F.col(c) for c in _LINE_IDS], ["l_partkey"]
+    out = joins.attach_children_in_parts(
+        t.orders.select("o_orderkey"), _lines(t), "o_orderkey", "l_orderkey", F.col("created"), [F.col(c) for c in _LINE_IDS], ["l_partkey"], 10_000
     )
     parts = F.array_join(F.transform("comments", lambda c: c["l_partkey"].cast("string")), ",")
     return out.select("o_orderkey", "part", F.size("comments").cast("bigint").alias("n"), parts.alias("parts"))
@@ -86,7 +86,7 @@ _CANDIDATES_SQL = """scored AS (
 
 def _candidates(t: Tables) -> DataFrame:
     s = F.col("l_suppkey")
-    return t.spread("lineitem").select(
+    return t.lineitem.select(
         F.col("l_orderkey").alias("TicketNumberId"),
         F.concat(F.lit(" "), F.col("l_partkey").cast("string")).alias("PartID"),
         F.when(s % 2 == 0, s.cast("string")).otherwise(F.lit("none")).alias("parent_supplier"),
@@ -374,6 +374,6 @@ def walk_hierarchy(t: Tables) -> DataFrame:
     return graph.walk_hierarchy(hierarchy(t), "root", closed)
 
 
-@query("walk_depth_limit", "SELECT count(*) + 1 + (SELECT count(*) FROM region) AS webs, 1 AS depth_reached, CAST(0 AS BIGINT) AS unreadable, count(*) AS depth_limited, true AS complete FROM nation")
+@query("walk_depth_limit", "SELECT count(*) + 1 + (SELECT count(*) FROM region) AS webs, 1 AS depth_reached, CAST(0 AS BIGINT) AS unreadable, count(*) AS depth_limited, false AS complete FROM nation")
 def walk_depth_limit(t: Tables) -> DataFrame:
     return graph.walk_summary(graph.walk_hierarchy(hierarchy(t), "root", max_depth=2))

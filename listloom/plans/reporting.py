@@ -68,7 +68,7 @@ def skip_reasons(t: Tables) -> DataFrame:
 
 
 def _binary(t: Tables) -> DataFrame:
-    return t.spread("documents").select(F.col("doc_id").cast("string").alias("path"), F.encode("text", "UTF-8").alias("content"))
+    return t.documents.select(F.col("doc_id").cast("string").alias("path"), F.encode("text", "UTF-8").alias("content"))
 
 
 @query("hash_inventory", "SELECT CAST(doc_id AS VARCHAR) AS path, CAST(octet_length(encode(text)) AS BIGINT) AS bytes, sha256(text) AS sha256 FROM documents")
@@ -125,9 +125,9 @@ def _bodies(t: Tables) -> DataFrame:
 
 @query(
     "classify_payloads",
-    """SELECT page_id, CASE page_id % 6 WHEN 0 THEN CASE WHEN instr(lower(html), 'login.aspx') BETWEEN 1 AND 8183 THEN 'login_form'
-      WHEN instr(lower(html), '<html') BETWEEN 1 AND 508 THEN 'html_page' ELSE 'not_an_envelope' END
-  WHEN 1 THEN 'envelope_without_result' WHEN 2 THEN 'unsupported_operation' WHEN 3 THEN 'login_form' WHEN 4 THEN 'empty' ELSE 'not_an_envelope' END AS payload FROM pages""",
+    """SELECT page_id, CASE page_id % 6 WHEN 0 THEN CASE WHEN instr(lower(html), 'login.aspx') > 0 THEN 'login_form'
+      WHEN instr(lower(html), '<html') > 0 THEN 'html_page' ELSE 'not_an_envelope' END
+  WHEN 1 THEN 'envelope_without_result' WHEN 2 THEN 'unsupported_operation' WHEN 3 THEN 'login_form' WHEN 4 THEN 'empty' ELSE 'html_page' END AS payload FROM pages""",
 )
 def classify_payloads(t: Tables) -> DataFrame:
     return text.classify_payloads(_bodies(t)).select("page_id", "payload")
@@ -136,7 +136,7 @@ def classify_payloads(t: Tables) -> DataFrame:
 @query(
     "extract_error_message",
     r"""WITH f AS (SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS folded FROM documents)
-SELECT doc_id, md5(CASE doc_id % 5 WHEN 0 THEN folded WHEN 1 THEN 'plain ' || doc_id WHEN 2 THEN 'xml reason ' || doc_id WHEN 3 THEN '(empty body)' ELSE substr(folded, 1, 300) END) AS message_md5 FROM f""",
+SELECT doc_id, md5(CASE doc_id % 5 WHEN 0 THEN folded WHEN 1 THEN 'plain ' || doc_id WHEN 2 THEN 'xml reason ' || doc_id WHEN 3 THEN '(empty body)' ELSE folded END) AS message_md5 FROM f""",
 )
 def extract_error_message(t: Tables) -> DataFrame:
     k = F.col("doc_id").cast("string")
@@ -145,7 +145,7 @@ def extract_error_message(t: Tables) -> DataFrame:
         "doc_id", 5, nested, F.concat(F.lit('{"error":{"message":"plain '), k, F.lit('"}}')),
         F.concat(F.lit("<m:error><m:message xml:lang='de'> xml\n reason "), k, F.lit("</m:message></m:error>")), F.lit(" "), F.col("text"),
     )
-    out = text.extract_error_message(t.spread("documents").select("doc_id", body.alias("body")))
+    out = text.extract_error_message(t.documents.select("doc_id", body.alias("body")))
     return out.select("doc_id", F.md5("message").alias("message_md5"))
 
 
@@ -168,14 +168,21 @@ def extract_faults(t: Tables) -> DataFrame:
 
 @query(
     "redact",
-    """SELECT doc_id, md5(replace(replace(replace(replace(text, 'Passwort', '***REDACTED***'), 'token', '***REDACTED***'), 'que', '***REDACTED***'), 'the', '***REDACTED***')) AS text_md5,
-  md5(CASE doc_id % 2 WHEN 0 THEN 'Basic ***REDACTED***' ELSE 'pw=***REDACTED***' END) AS header_md5 FROM documents""",
+    """WITH r AS (SELECT doc_id, replace(replace(replace(replace(text, 'Passwort', '***REDACTED***'), 'token', '***REDACTED***'), 'que', '***REDACTED***'), 'the', '***REDACTED***') AS t,
+  CASE doc_id % 2 WHEN 0 THEN 'Basic ***REDACTED***' ELSE 'pw=***REDACTED***' END AS h FROM documents)
+SELECT doc_id, md5(t) AS text_md5, md5(h) AS header_md5, md5(t) AS variant_md5, 'h ***REDACTED***' AS map_key FROM r""",
 )
 def redact(t: Tables) -> DataFrame:
     header = F.when(F.col("doc_id") % 2 == 0, F.lit("Basic dXNlcjpQYXNzd29ydA==")).otherwise(F.lit("pw=Passwort"))
-    rows = t.spread("documents").select("doc_id", "text", F.struct(F.map_from_arrays(F.array(F.lit("auth")), F.array(header)).alias("headers")).alias("request"))
+    rows = t.documents.select(
+        "doc_id", "text", F.struct(F.map_from_arrays(F.array(F.lit("auth")), F.array(header)).alias("headers")).alias("request"),
+        F.parse_json(F.to_json(F.struct(F.col("text").alias("body")))).alias("fields"), F.create_map(F.lit("h Passwort"), F.lit(1)).alias("named"),
+    )
     out = text.redact(rows, ["Passwort", "token", "que", "the", "x"], "user")
-    return out.select("doc_id", F.md5("text").alias("text_md5"), F.md5(F.col("request.headers")["auth"]).alias("header_md5"))
+    return out.select(
+        "doc_id", F.md5("text").alias("text_md5"), F.md5(F.col("request.headers")["auth"]).alias("header_md5"),
+        F.md5(F.try_variant_get("fields", "$.body", "string")).alias("variant_md5"), F.map_keys("named")[0].alias("map_key"),
+    )
 
 
 _PEOPLE = [("Name", "Name", "Text"), ("Segment", "Sparte", "Choice"), ("Balance", "Saldo", "Integer"), ("Nation", "Land", "Lookup"), ("Empty", "Leer", "Text")]
@@ -183,7 +190,7 @@ _PEOPLE = [("Name", "Name", "Text"), ("Segment", "Sparte", "Choice"), ("Balance"
 
 @query(
     "build_documents",
-    """SELECT '{L}:' || c_custkey AS id, CAST(0 AS BIGINT) AS part, 'Name: ' || c_name || chr(10) || 'Sparte: ' || c_mktsegment || chr(10) ||
+    """SELECT '{L}:' || c_custkey AS id, 'Name: ' || c_name || chr(10) || 'Sparte: ' || c_mktsegment || chr(10) ||
   CASE WHEN c_custkey % 4 = 0 THEN '' ELSE 'Saldo: ' || c_custkey || chr(10) END || 'Land: ' || n_name AS text FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 10 <> 0""",
 )
 def build_documents(t: Tables) -> DataFrame:
@@ -202,7 +209,7 @@ def build_documents(t: Tables) -> DataFrame:
         F.lit("{L}").alias("list_guid"), k.alias("item_id"), F.concat(F.lit("{L}:"), k.cast("string")).alias("doc_id"), F.lit("u").alias("display_url"),
         F.lit("Kunden").alias("list_title"), F.lit("m").alias("modified"), (k % 10 == 0).alias("is_folder"),
     )
-    return text.build_documents(items, decode.decode_fields(exploded), list_fields).select("id", "part", "text")
+    return text.build_documents(items, decode.decode_fields(exploded), list_fields).select("id", "text")
 
 
 @query(

@@ -15,8 +15,6 @@ HOT_ROWS = 1_000_000
 # A table is only hinted for broadcast below both bounds.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Children per nested array; longer threads continue in further parts.
-PART_ROWS = 10_000
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
@@ -97,7 +95,7 @@ def global_index(df: DataFrame, order: Sequence[Column], name: str = "idx") -> D
 
 
 def collect_in_parts(
-    df: DataFrame, keys: Sequence[str], rank: str, value: Column, name: str, part_rows: int = PART_ROWS
+    df: DataFrame, keys: Sequence[str], rank: str, value: Column, name: str, part_rows: int
 ) -> DataFrame:
     """Ordered arrays per key in parts of at most ``part_rows`` elements.
 

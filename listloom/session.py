@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 
 
 # Above this many bytes of bytecode the JVM leaves a method interpreted. Spark splits
@@ -28,6 +28,8 @@ def builder(master: str | None = None, app: str = "listloom") -> SparkSession.Bu
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.codegen.hugeMethodLimit", JIT_LIMIT)
+        # Intermediate tables go when nothing refers to them any more.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # Without it every column expression built in Python records its call site.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
@@ -42,10 +44,9 @@ def require_utc(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors reach, taken from ``spark.checkpoint.dir``.
+    """The folder all executors reach: ``spark.checkpoint.dir``, else one below the warehouse.
 
-    Only a local session without that setting gets a folder of its own; a cluster
-    has to name one, because executors do not share the driver's disk.
+    The rule is the same for every master; the driver's own disk is never used.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
@@ -55,16 +56,36 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if sc.getCheckpointDir():
         return sc.getCheckpointDir().rstrip("/")
-    if not sc.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    own = tempfile.mkdtemp(prefix="listloom-")
+    own = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_listloom"
     sc.setCheckpointDir(own)
     return sc.getCheckpointDir().rstrip("/")
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """Where this application keeps its intermediate tables."""
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application, once no result of it is needed any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def load_if_there(reader: DataFrameReader, path: str, kind: str) -> DataFrame | None:
+    """``None`` for a folder nobody has written; any other fault is raised."""
+    try:
+        return reader.format(kind).load(path)
+    except AnalysisException as fault:
+        if fault.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def materialise(df: DataFrame) -> DataFrame:

@@ -8,23 +8,26 @@ from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..functions import names
 from ..operators.decode import value_variant
-from ..scale import PART_ROWS, rank_within
-from ..session import materialise, require_utc
+from ..session import load_if_there, materialise, require_utc
 
 _PLACE = ["web_slug", "list_slug"]
+_FILE = ["filename", "url", "local_path", "bytes", "sha256", "downloaded", "skip_reason"]
 
 
-def contract_items(items: DataFrame, item_fields: DataFrame, list_fields: DataFrame, attachments: DataFrame | None = None) -> DataFrame:
-    """Item records in their contract shape: fields as one object, names, attachments.
+def contract_items(items: DataFrame, item_fields: DataFrame, list_fields: DataFrame) -> DataFrame:
+    """Item records in their contract shape: fields as one object, and the names of the fields.
 
     An item has one row per column of its list, so the per-item maps are bounded by
-    the schema and not by the data.
+    the schema and not by the data. Attachments have an output of their own (``write_landing``).
+    Items that were sent more than once must be reduced to their last version first
+    (``latest_items``); what is left twice here, with equal values or not, keeps one line per item.
     """
     valued = value_variant(item_fields).select("list_guid", "item_id", "field", "value")
+    valued = valued.groupBy("list_guid", "item_id", "field").agg(F.max_by("value", F.to_json("value")).alias("value"))
+    items = items.dropDuplicates(["list_guid", "item_id"])
     merged = valued.groupBy("list_guid", "item_id").agg(
         F.map_from_entries(F.collect_list(F.struct("field", "value"))).alias("_f")
     )
@@ -32,23 +35,7 @@ def contract_items(items: DataFrame, item_fields: DataFrame, list_fields: DataFr
     shown = list_fields.groupBy("list_guid").agg(
         F.map_from_entries(F.collect_list(F.struct("name", "display_name"))).alias("field_display_names")
     )
-    out = items.join(merged, ["list_guid", "item_id"], "left").join(shown, "list_guid", "left")
-    if attachments is None:
-        return out
-    near, _ = split_attachments(attachments)
-    entry = F.struct("filename", "url", "local_path", "bytes", "sha256", "downloaded", "skip_reason")
-    per_item = near.groupBy("doc_id").agg(F.array_sort(F.collect_list(entry)).alias("attachments"))
-    return out.join(per_item, "doc_id", "left")
-
-
-def split_attachments(attachments: DataFrame, limit: int = PART_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Attachments that travel inside their item, and those beyond ``limit`` per item.
-
-    The rest goes to an output of its own (``write_landing``), so nothing is lost and
-    no item grows without bound.
-    """
-    ranked = rank_within(attachments, ["doc_id"], [F.col("filename"), F.col("url")], "_rank")
-    return ranked.filter(F.col("_rank") <= limit).drop("_rank"), ranked.filter(F.col("_rank") > limit).drop("_rank")
+    return items.join(merged, ["list_guid", "item_id"], "left").join(shown, "list_guid", "left")
 
 
 def _placed(df: DataFrame) -> DataFrame:
@@ -65,14 +52,15 @@ def _write_lines(lines: DataFrame, blanks: DataFrame, path: str) -> None:
 
 
 def write_landing(
-    items: DataFrame, raw: DataFrame, lists: DataFrame, root: str, more_attachments: DataFrame | None = None
+    items: DataFrame, raw: DataFrame, lists: DataFrame, root: str, attachments: DataFrame | None = None
 ) -> None:
     """Write each item to the decoded and to the raw output, replacing what was there.
 
     ``items`` is the contract shape; ``raw`` has doc_id, web_url, list_guid and the raw map
     without prefixes (``build_items(keep_raw=True)``). ``lists`` names every list of the
     run: one without rows gets a blank line, which readers skip, so that its old rows go
-    and the output is present. ``more_attachments`` are those an item does not carry itself.
+    and the output is present. ``attachments`` has one row per file of an item (``doc_id,
+    web_url, list_guid`` and the file's columns) and replaces those of the same lists.
     """
     require_utc(items.sparkSession)
     keep_nulls = {"ignoreNullFields": "false"}
@@ -84,8 +72,10 @@ def write_landing(
     _write_lines(_placed(items).select(body.alias("value"), *_PLACE), blanks, f"{root}/items")
     raw_body = F.to_json(F.struct("doc_id", "raw"), keep_nulls)
     _write_lines(_placed(raw).select(raw_body.alias("value"), *_PLACE), blanks, f"{root}/items_raw")
-    if more_attachments is not None:
-        more_attachments.write.mode("overwrite").json(f"{root}/attachments")
+    if attachments is not None:
+        rows = _placed(attachments.select("doc_id", "web_url", "list_guid", *_FILE))
+        body = F.to_json(F.struct("doc_id", *_FILE), keep_nulls)
+        _write_lines(rows.select(body.alias("value"), *_PLACE), blanks, f"{root}/attachments")
 
 
 def write_list_schemas(lists: DataFrame, list_fields: DataFrame, root: str) -> None:
@@ -131,11 +121,11 @@ def write_run_report(
     return run_id
 
 
+_POINTER = "path string, batch_id bigint, version bigint"
+
+
 def _versions(spark: SparkSession, table: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(f"{table}/_versions")
-    except AnalysisException:
-        return None
+    return load_if_there(spark.read.schema(_POINTER), f"{table}/_versions", "parquet")
 
 
 def current_version(spark: SparkSession, table: str) -> dict | None:
@@ -148,16 +138,18 @@ def current_version(spark: SparkSession, table: str) -> dict | None:
 
 
 def publish_snapshot(df: DataFrame, table: str, batch_id: int | None = None) -> int:
-    """Write a full new version, then add its pointer row; readers see either version whole."""
+    """Write a full new version, then add its pointer; readers see either version whole.
+
+    Data has a path of its own, so two writers never touch each other's files; the pointer of a version is
+    written once, and the later of two writers fails.
+    """
     spark = df.sparkSession
     last = current_version(spark, table)
     version = (last["version"] if last else 0) + 1
-    path = f"{table}/version={version}"
-    df.write.mode("overwrite").parquet(path)
-    pointer = spark.range(1).select(
-        F.lit(version).alias("version"), F.lit(path).alias("path"), F.lit(batch_id).cast("bigint").alias("batch_id")
-    )
-    pointer.coalesce(1).write.mode("append").parquet(f"{table}/_versions")
+    path = f"{table}/data/{version}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    pointer = spark.range(1).select(F.lit(path).alias("path"), F.lit(batch_id).cast("bigint").alias("batch_id"))
+    pointer.coalesce(1).write.mode("errorifexists").parquet(f"{table}/_versions/version={version}")
     return version
 
 

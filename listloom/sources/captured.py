@@ -105,15 +105,26 @@ def change_pages(captured: DataFrame, columns: Sequence[str]) -> DataFrame:
         (F.size(of_type("invalidtoken", "invalid")) > 0).alias("token_invalid"),
         F.transform(of_type("delete"), lambda i: wire.strip(i["_VALUE"])).alias("deleted"),
         F.coalesce(rows, F.array().cast(f"array<{RAW}>")).alias("rows"),
+        F.col("_metadata.file_block_start").alias("block"),
     ).withColumn("page_no", _page_no())
 
 
+def page_key() -> Column:
+    """What orders pages: their number, then their file; pages without a number come first."""
+    return F.struct(F.coalesce("page_no", F.lit(-1)).cast("bigint").alias("page_no"), F.col("path").alias("path"))
+
+
 def read_change_pages(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     return change_pages(_xml(spark, "listitems", change_schema(columns)).load(path), columns)
 
 
 def change_rows(pages: DataFrame, list_guid: Column) -> DataFrame:
-    """Upserts and deletes of all pages in feed order; within a page the rows come last."""
+    """Upserts and deletes of all pages in feed order; within a page the rows come last.
+
+    ``seq`` is a struct: page number and file, place of the page in its file, place in the page. It is never
+    NULL, holds pages of any size and several pages of one file.
+    """
+    pages = pages.withColumn("_row", F.monotonically_increasing_id())
     gone = F.transform(
         "deleted",
         lambda d, i: F.struct(d.try_cast("bigint").alias("item_id"), F.lit("delete").alias("change_type"), F.lit(None).cast(RAW).alias("raw"), i.alias("pos")),
@@ -122,8 +133,10 @@ def change_rows(pages: DataFrame, list_guid: Column) -> DataFrame:
         "rows",
         lambda r, i: F.struct(wire.item_id(r).alias("item_id"), F.lit("update").alias("change_type"), r.alias("raw"), (i + F.size("deleted")).alias("pos")),
     )
-    rows = pages.select(list_guid.alias("list_guid"), "page_no", F.inline(F.concat(gone, kept)))
-    seq = F.col("page_no") * 1_000_000 + F.col("pos")
+    block = F.col("block") if "block" in pages.columns else F.lit(0).cast("bigint")
+    place = F.struct(page_key().alias("page"), block.alias("block"), F.col("_row").alias("row"))
+    rows = pages.select(list_guid.alias("list_guid"), place.alias("place"), F.inline(F.concat(gone, kept)))
+    seq = F.struct("place.page", "place.block", "place.row", "pos")
     return rows.filter(F.col("item_id").isNotNull()).select("list_guid", "item_id", "change_type", "raw", seq.alias("seq"))
 
 
@@ -315,10 +328,14 @@ def read_list_inventory(spark: SparkSession, path: str, web_url: Column | None =
 
 
 def read_web_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """``<Web>`` entries with a url, in file order per file."""
+    """``<Web>`` entries with a url; ``pos`` orders them by file, part of the file, and place in it."""
     rows = _xml(spark, "Web", _text_struct(["_Title", "_Url"])).load(path)
-    return rows.filter(F.coalesce(F.col("_Url"), F.lit("")) != "").select(
-        F.coalesce("_Title", F.lit("")).alias("title"), F.col("_Url").alias("url"), F.monotonically_increasing_id().alias("pos")
+    pos = F.struct(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    return rows.select(F.coalesce("_Title", F.lit("")).alias("title"), F.col("_Url").alias("url"), pos.alias("pos")).filter(
+        F.coalesce(F.col("url"), F.lit("")) != ""
     )
 
 

@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..scale import broadcast_if_small
+from ..session import load_if_there
 
 ITEM_SCHEMA = (
     "doc_id string, web_url string, web_id string, list_guid string, list_title string, item_id bigint, "
     "display_url string, content_type string, created string, modified string, is_folder boolean, file_ref string, "
-    "file_name string, fields variant, field_display_names map<string,string>, "
-    "attachments array<struct<filename:string,url:string,local_path:string,bytes:bigint,sha256:string,"
-    "downloaded:boolean,skip_reason:string>>"
+    "file_name string, fields variant, field_display_names map<string,string>"
 )
 LIST_SCHEMA = (
     "list_info struct<guid:string,title:string,description:string,base_type:string,server_template:string,"
@@ -24,6 +22,9 @@ LIST_SCHEMA = (
     "choices:array<string>,formula:string>>"
 )
 _CORRUPT = "_corrupt_record"
+# Slugs are texts, also where they look like numbers.
+_LINES = "value string, web_slug string, list_slug string"
+ATTACHMENT = "filename:string,url:string,local_path:string,bytes:bigint,sha256:string,downloaded:boolean,skip_reason:string"
 
 
 def _item_lines(spark: SparkSession, root: str) -> DataFrame:
@@ -37,16 +38,22 @@ def read_items(spark: SparkSession, root: str) -> DataFrame:
     return lines.filter(F.col(_CORRUPT).isNull() & F.col("item_id").isNotNull()).drop(_CORRUPT)
 
 
+def read_attachments(spark: SparkSession, root: str) -> DataFrame:
+    """Attachments of a landing, one row each with the ``doc_id`` of their item; a landing without any gives no rows."""
+    schema = f"doc_id string, {ATTACHMENT.replace(':', ' ').replace(',', ', ')}, web_slug string, list_slug string"
+    return _good_lines(spark, f"{root}/attachments", schema, "doc_id")
+
+
 def skipped_lines(spark: SparkSession, root: str) -> DataFrame:
     """Malformed item lines, to be counted per list."""
-    lines = spark.read.text(f"{root}/items")
+    lines = spark.read.schema(_LINES).text(f"{root}/items")
     parsed = F.try_variant_get(F.try_parse_json("value"), "$.item_id", "bigint")
     return lines.filter((F.trim("value") != "") & parsed.isNull()).select("web_slug", "list_slug", "value")
 
 
 def read_raw_items(spark: SparkSession, root: str) -> DataFrame:
     """Raw rows of a landing; the id is accepted under any of its spellings."""
-    lines = spark.read.text(f"{root}/items_raw")
+    lines = spark.read.schema(_LINES).text(f"{root}/items_raw")
     row = F.from_json("value", "doc_id string, raw map<string,string>")
     return lines.filter(F.trim("value") != "").select(row.alias("_r"), "web_slug", "list_slug").select("_r.*", "web_slug", "list_slug").filter(
         F.col("doc_id").isNotNull()
@@ -69,9 +76,9 @@ _ERRORS = (
 
 def _good_lines(spark: SparkSession, path: str, schema: str, required: str) -> DataFrame:
     """JSON lines without the damaged ones; a folder nobody wrote gives no rows."""
-    try:
-        docs = spark.read.schema(f"{schema}, {_CORRUPT} string").option("columnNameOfCorruptRecord", _CORRUPT).json(path)
-    except AnalysisException:
+    reader = spark.read.schema(f"{schema}, {_CORRUPT} string").option("columnNameOfCorruptRecord", _CORRUPT)
+    docs = load_if_there(reader, path, "json")
+    if docs is None:
         return spark.createDataFrame([], schema)
     return docs.filter(F.col(_CORRUPT).isNull() & F.col(required).isNotNull()).drop(_CORRUPT)
 

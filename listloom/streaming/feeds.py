@@ -6,11 +6,12 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from ..operators.incremental import KEY, apply_latest, latest_per_key
 from ..scale import broadcast_if_small
+from ..session import load_if_there
 from ..sinks.landing import current_version, publish_snapshot, read_snapshot
 from ..sources import captured
 
@@ -57,39 +58,81 @@ def page_stream(
 def change_stream(
     pages: DataFrame, table: str, checkpoint: str, shape: Callable[[DataFrame], DataFrame] = lambda d: d
 ) -> StreamingQuery:
-    """Append each batch of change pages, reduced to the last change per key, to the change log.
-
-    A page with an invalid token ends its list: that page and later ones of the batch
-    are left out and the list is noted for a full reload (``lists_to_reload``). A batch
-    owns its directories, so a replay replaces them and the base is not rewritten per
-    batch. ``current_rows`` reads base and log, ``compact`` folds the log in. ``shape``
-    turns change rows into the columns of the table. Table and checkpoint belong together.
+    """Append each batch of change pages, reduced to the last change per key and page, to the change log.
+
+    A page with an invalid token ends its list: that page and later ones, of this batch or
+    any other one, are left out until the list has been reloaded (``lists_to_reload``,
+    ``note_reload`` after ``compact``), in whatever order the pages came. A batch owns its directories, so a replay replaces them and the base
+    is not rewritten per batch. ``current_rows`` reads base and log, ``compact`` folds the
+    log in. ``shape`` turns change rows into the columns of the table. Table and checkpoint
+    belong together.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        stops = batch.filter("token_invalid").groupBy("list_guid").agg(F.min("page_no").alias("stop_page"))
-        stops.write.mode("overwrite").parquet(f"{table}/reload/batch_id={batch_id}")
-        joined = batch.join(broadcast_if_small(stops), "list_guid", "left")
-        good = joined.filter(F.col("stop_page").isNull() | (F.col("page_no") < F.col("stop_page")))
-        rows = shape(captured.change_rows(good, F.col("list_guid")))
-        latest_per_key(rows).write.mode("overwrite").parquet(f"{table}/changes/batch_id={batch_id}")
-        batch.unpersist()
+        try:
+            stops = batch.filter("token_invalid").groupBy("list_guid").agg(F.min(captured.page_key()).alias("stop"))
+            stops.write.mode("overwrite").parquet(f"{table}/reload/batch_id={batch_id}")
+            known = _stopped(batch.sparkSession, table, batch_id)
+            joined = batch.join(broadcast_if_small(known.select("list_guid", "stop")), "list_guid", "left")
+            good = joined.filter(F.col("stop").isNull() | (captured.page_key() < F.col("stop"))).drop("stop")
+            rows = shape(captured.change_rows(good, F.col("list_guid")))
+            _last_of_page(rows).write.mode("overwrite").parquet(f"{table}/changes/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     return (
         pages.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 
+def _last_of_page(rows: DataFrame) -> DataFrame:
+    """The last change per key and page; rows whose ``seq`` names no page are kept."""
+    seq = rows.schema["seq"].dataType
+    if not isinstance(seq, T.StructType) or "page" not in seq.names:
+        return rows
+    return latest_per_key(rows.withColumn("_page", F.col("seq.page")), [*KEY, "_page"]).drop("_page")
+
+
+def _before_stops(spark: SparkSession, table: str, log: DataFrame) -> DataFrame:
+    """Logged changes of pages in front of the refused page of their list."""
+    seq = log.schema["seq"].dataType
+    if not isinstance(seq, T.StructType) or "page" not in seq.names:
+        return log
+    stops = broadcast_if_small(_stopped(spark, table).select("list_guid", "stop"))
+    joined = log.join(stops, "list_guid", "left")
+    return joined.filter(F.col("stop").isNull() | (F.col("seq.page") < F.col("stop"))).drop("stop")
+
+
 def lists_to_reload(spark: SparkSession, table: str, after_batch: int = -1) -> DataFrame:
     """Lists whose token was refused, with the last batch that says so.
 
-    Pass the batch of the previous reload as ``after_batch`` to see only what came since.
+    Lists noted as reloaded are left out. Pass the batch of the previous reload as ``after_batch`` to
+    see only what came since.
     """
-    stops = _pending(spark, table, after_batch, "reload")
-    if stops is None:
-        return spark.createDataFrame([], "list_guid string, batch_id int")
-    return stops.groupBy("list_guid").agg(F.max("batch_id").alias("batch_id"))
+    return _stopped(spark, table).filter(F.col("batch_id") > after_batch).select("list_guid", "batch_id")
+
+
+def note_reload(spark: SparkSession, table: str, reloaded: DataFrame) -> None:
+    """Note lists that were read in full again: ``list_guid`` and the ``batch_id`` of ``lists_to_reload``."""
+    reloaded.select("list_guid", F.col("batch_id").cast("int")).write.mode("append").parquet(f"{table}/reloaded")
+
+
+_STOPS = "list_guid string, stop struct<page_no:bigint,path:string>, batch_id int"
+
+
+def _stopped(spark: SparkSession, table: str, last_batch: int | None = None) -> DataFrame:
+    """Lists that are stopped: their first refused page since the last reload, and the last batch that says so."""
+    log = load_if_there(spark.read.schema(_STOPS), f"{table}/reload", "parquet")
+    if log is None:
+        return spark.createDataFrame([], _STOPS)
+    if last_batch is not None:
+        log = log.filter(F.col("batch_id") <= last_batch)
+    done = load_if_there(spark.read, f"{table}/reloaded", "parquet")
+    if done is not None:
+        upto = done.groupBy("list_guid").agg(F.max("batch_id").alias("_done"))
+        log = log.join(upto, "list_guid", "left").filter(F.col("_done").isNull() | (F.col("batch_id") > F.col("_done")))
+    return log.groupBy("list_guid").agg(F.min("stop").alias("stop"), F.max("batch_id").alias("batch_id"))
 
 
 def _folded(spark: SparkSession, table: str) -> int:
@@ -99,11 +142,8 @@ def _folded(spark: SparkSession, table: str) -> int:
 
 
 def _pending(spark: SparkSession, table: str, after_batch: int, part: str = "changes") -> DataFrame | None:
-    try:
-        log = spark.read.parquet(f"{table}/{part}")
-    except AnalysisException:
-        return None
-    return log.filter(F.col("batch_id") > after_batch)
+    log = load_if_there(spark.read, f"{table}/{part}", "parquet")
+    return None if log is None else log.filter(F.col("batch_id") > after_batch)
 
 
 def current_rows(spark: SparkSession, table: str, keys: Sequence[str] = KEY) -> DataFrame:
@@ -113,15 +153,13 @@ def current_rows(spark: SparkSession, table: str, keys: Sequence[str] = KEY) ->
     """
     base = read_snapshot(spark, table)
     log = _pending(spark, table, _folded(spark, table))
-    return base if log is None else apply_latest(base, latest_per_key(log, keys), keys)
+    return base if log is None else apply_latest(base, latest_per_key(_before_stops(spark, table, log), keys), keys)
 
 
 def compact(spark: SparkSession, table: str, keys: Sequence[str] = KEY) -> int:
     """Publish base plus log as the new base."""
-    try:
-        top = spark.read.parquet(f"{table}/changes").agg(F.max("batch_id")).first()[0]
-    except AnalysisException:
-        top = None
+    log = load_if_there(spark.read, f"{table}/changes", "parquet")
+    top = None if log is None else log.agg(F.max("batch_id")).first()[0]
     return publish_snapshot(current_rows(spark, table, keys), table, top)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from listloom import session
 from listloom.operators import decode, scope
+from listloom.operators.incremental import latest_per_key
 from listloom.sinks import landing as sink
 from listloom.sources import captured
 from listloom.sources import landing as source
@@ -42,7 +43,7 @@ def test_change_pages(spark, tmp_path):
     got = {r["page_no"]: (r["last_change_token"], r["more_changes"], r["token_invalid"]) for r in pages.collect()}
     assert got == {10: ("1;3;a", True, False), 11: (None, False, True)}
     rows = captured.change_rows(pages, F.lit("{A}")).orderBy("seq").collect()
-    assert [(r["item_id"], r["change_type"], r["seq"]) for r in rows] == [(2, "delete", 10_000_000), (1, "update", 10_000_002)]
+    assert [(r["item_id"], r["change_type"], r["seq"]["page"]["page_no"], r["seq"]["pos"]) for r in rows] == [(2, "delete", 10, 0), (1, "update", 10, 2)]
     assert [r["raw"] for r in captured.undecodable_deletes(pages).collect()] == ["zwei"]
 
 
@@ -154,7 +155,7 @@ def test_snapshots(spark, tmp_path):
     sink.publish_snapshot(old.filter("id > 0"), table)
     assert sink.read_snapshot(spark, table).count() == 2 and old.count() == 3
     # A version without its pointer row is never seen.
-    spark.range(9).write.parquet(f"{table}/version=3")
+    spark.range(9).write.parquet(f"{table}/data/3-x")
     assert sink.read_snapshot(spark, table).count() == 2
 
 
@@ -164,6 +165,41 @@ def change_page(n, rows, deletes=()):
     return ENVELOPE.format(f'<listitems><Changes LastChangeToken="t{n}" MoreChanges="FALSE">{ids}</Changes><rs:data ItemCount="{len(rows)}">{body}</rs:data></listitems>')
 
 
+def test_changes_of_any_file_name_and_several_pages_in_a_file(spark, tmp_path):
+    def listitems(page):
+        return page[page.index("<listitems>") : page.index("</r>")]
+
+    one, two = listitems(change_page(1, [(1, "old"), (2, "b")])), listitems(change_page(2, [(1, "new")]))
+    path = put(tmp_path / "p" / "changes.xml", ENVELOPE.format(one + two))
+    put(tmp_path / "p" / "changes_20240131120000.xml", change_page(3, [(2, "c")]))
+    rows = captured.change_rows(captured.read_change_pages(spark, path, ["ID", "Title"]), F.lit("{A}"))
+    last = latest_per_key(rows.withColumn("title", F.try_element_at("raw", F.lit("ows_Title"))).drop("raw"))
+    assert {(r["item_id"], r["title"]) for r in last.collect()} == {(1, "new"), (2, "c")}
+    assert rows.filter("seq IS NULL").count() == 0
+
+
+def test_attachments_are_written_whole_and_read_back(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    items, records, lists = landing_inputs(spark, [("{A}", 1, "eins"), ("{B}", 1, "b")])
+    one = records.select("doc_id", "web_url", "list_guid")
+    files = one.join(spark.range(10_050), F.col("list_guid") == "{A}").select(
+        "*", F.concat(F.lit("f"), F.col("id").cast("string")).alias("filename"), F.lit("u").alias("url"), F.lit(None).cast("string").alias("local_path"),
+        F.lit(1).cast("bigint").alias("bytes"), F.lit(None).cast("string").alias("sha256"), F.lit(True).alias("downloaded"), F.lit(None).cast("string").alias("skip_reason"),
+    )
+    sink.write_landing(items, records, lists, root, files)
+    assert source.read_attachments(spark, root).agg(F.count_distinct("filename")).first()[0] == 10_050
+    # Another run of list B leaves the files of list A alone.
+    sink.write_landing(items.filter("list_guid = '{B}'"), records.filter("list_guid = '{B}'"), lists.filter("guid = '{B}'"), root, files.limit(0))
+    assert source.read_attachments(spark, root).count() == 10_050
+
+
+def test_items_sent_twice_are_one_line(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    items, records, lists = landing_inputs(spark, [("{A}", 1, "eins"), ("{A}", 1, "eins")])
+    sink.write_landing(items, records.dropDuplicates(["doc_id"]), lists, root)
+    assert source.read_items(spark, root).count() == 1
+
+
 @pytest.mark.parametrize("per_batch", [1, None])
 def test_change_stream(spark, tmp_path, per_batch):
     """The same pages in many or one batch give the same table; a restart takes only what is new."""
@@ -192,7 +228,7 @@ def test_change_stream(spark, tmp_path, per_batch):
     assert table_rows() == {(2, "again"), (3, "three"), (4, "four")}
     assert feeds.lists_to_reload(spark, table).count() == 0
     put(pages / "p4.xml", ENVELOPE.format('<listitems><Changes><Id ChangeType="InvalidToken"/></Changes></listitems>'))
-    put(pages / "p5.xml", change_page(5, [(9, "too late")])) if per_batch is None else None
+    put(pages / "p5.xml", change_page(5, [(9, "too late")]))
     load()
     assert table_rows() == {(2, "again"), (3, "three"), (4, "four")}
     flagged = feeds.lists_to_reload(spark, table).collect()

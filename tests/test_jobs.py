@@ -12,12 +12,12 @@ def test_thread_puts_undated_first(spark):
     kids = spark.createDataFrame(
         [(1, "2020-01-02", 5), (1, None, 9), (1, "2020-01-01", 7), (1, "2020-01-02", 4), (None, None, 1), (3, None, 2)], "fk bigint, at string, cid int"
     )
-    out = joins.attach_children(parents, kids, "id", "fk", F.col("at").try_cast("timestamp"), [F.col("cid")], ["cid"]).collect()
+    out = joins.attach_children_in_parts(parents, kids, "id", "fk", F.col("at").try_cast("timestamp"), [F.col("cid")], ["cid"], 10).collect()
     got = sorted((r["id"], [c["cid"] for c in r["comments"]]) for r in out)
     assert got == [(1, [9, 7, 4, 5]), (1, [9, 7, 4, 5]), (2, [])]
     cover = joins.join_coverage(parents, kids, "id", "fk").first().asDict()
     assert cover == {"parents": 3, "matched_parents": 2, "children": 6, "orphans": 1, "unmatched_parents": 1}
-    none = joins.attach_children(parents, kids.limit(0), "id", "fk", F.col("at").try_cast("timestamp"), [F.col("cid")], ["cid"])
+    none = joins.attach_children_in_parts(parents, kids.limit(0), "id", "fk", F.col("at").try_cast("timestamp"), [F.col("cid")], ["cid"], 10)
     assert [r["comments"] for r in none.collect()] == [[], [], []]
 
 
@@ -71,6 +71,10 @@ def test_hierarchy(spark):
     assert (summary["webs"], summary["depth_reached"], summary["complete"]) == (5, 2, False)
     limited = {r["url"]: r["status"] for r in graph.walk_hierarchy(edges, "r", max_depth=1).collect()}
     assert limited == {"r": "read", "a": "depth_limit", "b": "depth_limit"}
+    assert graph.walk_summary(graph.walk_hierarchy(edges, "r", max_depth=1)).first()["complete"] is False
+    chain = spark.range(40).select(F.col("id").cast("string").alias("parent"), (F.col("id") + 1).cast("string").alias("child"), F.lit("").alias("title"), F.lit(0).alias("pos"))
+    deep = graph.walk_summary(graph.walk_hierarchy(chain, "0")).first()
+    assert (deep["depth_reached"], deep["complete"]) == (40, True)
     with pytest.raises(ValueError):
         graph.walk_hierarchy(edges, "d", closed)
 
@@ -97,7 +101,7 @@ def test_changes(spark):
 def test_truncate_and_schema_check(spark):
     rows = spark.createDataFrame([("{A}", 1), ("{A}", None), ("{A}", 9), ("{B}", 1)], "list_guid string, item_id bigint")
     state = spark.createDataFrame([("{A}", 5)], "list_guid string, last_item_id bigint")
-    assert [tuple(r) for r in inc.truncate_after(rows, state).collect()] == [("{A}", 1)]
+    assert {tuple(r) for r in inc.truncate_after(rows, state).collect()} == {("{A}", 1), ("{B}", 1)}
     inc.check_append_schema(rows, rows, "item_id")
     with pytest.raises(ValueError, match="have: item_id, list_guid"):
         inc.check_append_schema(rows, rows.withColumn("ID", F.lit(1)), "ID")
@@ -127,6 +131,9 @@ def test_redaction_is_longest_first_and_nested(spark):
     got = text.redact(df, ["s3cret!", "ab"], "user").first()
     assert got["a"] == "pw ***REDACTED*** ***REDACTED***"
     assert got["m"] == {"auth": ["***REDACTED***", "ok"]} and got["n"] == 5
+    nested = df.select(F.parse_json(F.lit('{"k s3cret!":["x s3cret!",1]}')).alias("v"), F.create_map(F.lit("s3cret!"), F.lit(1)).alias("keys"))
+    got = text.redact(nested, ["s3cret!"]).select(F.to_json("v").alias("v"), "keys").first()
+    assert got["v"] == '{"k ***REDACTED***":["x ***REDACTED***",1]}' and got["keys"] == {"***REDACTED***": 1}
 
 
 def test_payload_windows(spark):
@@ -135,15 +142,17 @@ def test_payload_windows(spark):
         ("x" * 8185 + "envelope", "not_an_envelope"), ("<HTML><a href='/Login.aspx'>", "login_form"),
     ]
     df = spark.createDataFrame([(i, b) for i, (b, _e) in enumerate(bodies)], "i int, body string")
-    got = {r["i"]: r["payload"] for r in text.classify_payloads(df).collect()}
+    got = {r["i"]: r["payload"] for r in text.classify_payloads(df, head=8192, page_head=512).collect()}
     assert got == {i: e for i, (_b, e) in enumerate(bodies)}
+    whole = {r["i"]: r["payload"] for r in text.classify_payloads(df).collect()}
+    assert whole[2] == "html_page" and whole[4] == "envelope_without_result"
 
 
 def test_error_messages(spark):
     cases = [
         ('{"error":{"code":"","message":{"lang":"de","value":" Ein\\n Fehler "}}}', "Ein Fehler"), ('{"error":{"message":"kurz"}}', "kurz"),
         ('{"error":{"message":{"value":5}}}', '{"error":{"message":{"value":5}}}'), ("<error><message xml:lang='x'>a  b</message></error>", "a b"),
-        ("", "(empty body)"), (None, "(empty body)"), ("[1", "[1"), ("y" * 400, "y" * 300),
+        ("", "(empty body)"), (None, "(empty body)"), ("[1", "[1"), ("y" * 400, "y" * 400),
     ]
     df = spark.createDataFrame([(i, b) for i, (b, _e) in enumerate(cases)], "i int, body string")
     got = {r["i"]: r["message"] for r in text.extract_error_message(df).collect()}
@@ -157,8 +166,12 @@ def test_documents_skip_empty_values_and_folders(spark):
     )
     fields = spark.createDataFrame([("{L}", 0, "A", "Alpha"), ("{L}", 5000, "B", "Beta")], "list_guid string, pos int, name string, display_name string")
     items = spark.createDataFrame([("{L}", 1, "d1", "u", "L", "m", False), ("{L}", 2, "d2", "u", "L", "m", True), ("{L}", 3, "d3", "u", "L", "m", False)], "list_guid string, item_id bigint, doc_id string, display_url string, list_title string, modified string, is_folder boolean")
-    got = {(r["id"], r["part"]): r["text"] for r in text.build_documents(items, decode.decode_fields(exploded), fields).collect()}
-    assert got == {("d1", 0): "Alpha: x, y", ("d1", 1): "Beta: b", ("d1", -1): "E: true", ("d3", 0): ""}
+    decoded = decode.decode_fields(exploded)
+    got = [(r["id"], r["text"]) for r in text.build_documents(items, decoded, fields).orderBy("id").collect()]
+    assert got == [("d1", "Alpha: x, y\nBeta: b\nE: true"), ("d3", "")]
+    edges = spark.createDataFrame([("{L}", "A", "{T}")], "source_list_guid string, field_name string, target_list_guid string")
+    refs = {tuple(r) for r in text.document_lookups(decoded, edges, items).collect()}
+    assert refs == {("d1", "A", "{T}", 1), ("d1", "A", "{T}", 2)}
 
 
 def test_feed_rows_keep_what_they_cannot_map(spark):
@@ -196,3 +209,29 @@ def test_web_titles(spark):
     webs = spark.createDataFrame([("", "http://SP/a/", 0), ("First", "http://sp/a", 1), ("Second", "http://sp/a", 2), ("None", "", 3)], "title string, url string, pos int")
     got = {r["url"]: r["title"] for r in scope.normalise_webs(webs, "http://sp").collect()}
     assert got == {"http://sp/a": "First", "http://sp": ""}
+
+
+def test_changes_without_an_order_are_not_lost(spark):
+    feed = spark.createDataFrame([("{A}", 1, "update", "x", None)], CHANGES)
+    base = spark.createDataFrame([("{A}", 1, "old")], "list_guid string, item_id bigint, title string")
+    assert [r["title"] for r in inc.apply_latest(base, inc.latest_per_key(feed)).collect()] == ["x"]
+
+
+def test_resume_leaves_other_lists_alone(spark):
+    rows = spark.createDataFrame([("{A}", 1), ("{A}", 9), ("{B}", 5), ("{C}", 3)], "list_guid string, item_id bigint")
+    state = spark.createDataFrame([("{A}", "in_progress", 4), ("{B}", "complete", None)], "list_guid string, status string, last_item_id bigint")
+    assert {tuple(r) for r in inc.truncate_after(rows, state).collect()} == {("{A}", 1), ("{B}", 5), ("{C}", 3)}
+    routes = inc.route_resume(state, rows)
+    assert {r["list_guid"]: r["action"] for r in routes.collect()} == {"{A}": "continue", "{B}": "skip", "{C}": "reset"}
+    assert {tuple(r) for r in inc.pages_to_load(rows, inc.route_resume(state)).collect()} == {("{A}", 9), ("{C}", 3)}
+
+
+def test_snapshot_diff_sees_moved_values_and_maps(spark):
+    def rows(a, b, names, v):
+        df = spark.createDataFrame([("d", a, b, names, v)], "doc_id string, a string, b string, names map<string,int>, v string")
+        return df.withColumn("v", F.parse_json("v"))
+
+    before = rows("x", None, {"p": 1, "q": 2}, '{"k":1}')
+    assert inc.snapshot_diff(before, rows("x", None, {"q": 2, "p": 1}, '{"k":1}')).count() == 0
+    for after in (rows(None, "x", {"p": 1, "q": 2}, '{"k":1}'), rows("x", None, {"p": 2, "q": 1}, '{"k":1}'), rows("x", None, {"p": 1, "q": 2}, '{"k":2}')):
+        assert [r["change"] for r in inc.snapshot_diff(before, after).collect()] == ["changed"]

@@ -54,7 +54,7 @@ def test_threads_shuffle_each_side_once(spark):
     parents = spark.range(7).withColumnRenamed("id", "pk")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        out = joins.attach_children(parents, kids, "pk", "fk", F.col("id"), [F.col("id")], ["id"])
+        out = joins.attach_children_in_parts(parents, kids, "pk", "fk", F.col("id"), [F.col("id")], ["id"], 1000)
         assert shuffles(out) == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

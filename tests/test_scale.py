@@ -36,8 +36,8 @@ def test_long_threads_continue_in_parts(spark):
     parents = spark.createDataFrame([(0,), (1,), (99,)], "pk bigint")
     children = skewed(spark)
     args = (parents, children, "pk", "k", F.col("v"), [F.col("id")], ["id"])
-    whole = joins.attach_children(*args)
-    parts = joins.attach_children(*args, part_rows=64, hot_rows=100)
+    whole = joins.attach_children_in_parts(*args, 1_000_000)
+    parts = joins.attach_children_in_parts(*args, 64, hot_rows=100)
     assert [r["part"] for r in whole.filter("pk = 0").collect()] == [0]
     rows = parts.filter("pk = 0").orderBy("part").collect()
     glued = [c["id"] for r in rows for c in r["comments"]]
