@@ -326,9 +326,9 @@ def frequent_links(entries: DataFrame, sets: DataFrame, similarity: Similarity)
 
 
 def near_duplicate_groups(docs: DataFrame, similarity: Similarity, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, mark, n_shingles, component_id`` of every row; ``mark`` is a 64-bit hash of the text.
+    """``key, mark, n_shingles, component_id, group`` of every row; ``mark`` is a 64-bit hash of the text.
 
-    A component is what links reach; its id is the smallest key in it. Rows with equal sets are one class, so copies
+    ``group`` numbers the groups of several rows; it is null for a row that is alone. A component is what links reach; its id is the smallest key in it. Rows with equal sets are one class, so copies
     are never paired. A text of fewer words than an n-gram is one n-gram; a null text or one without words has
     none and stays alone. Null keys don't name a component unless it has no other. Repeated rows get equal results.
     """
@@ -365,29 +365,29 @@ def near_duplicate_groups(docs: DataFrame, similarity: Similarity, key: str = "d
     grouped = classes.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left")
     reached = grouped.where("root is not null").groupBy("root").agg(F.min("least").alias("reached"))
     several = grouped.where("root is not null or copies > 1").join(reached, "root", "left")
-    names = stored(several.select("digest", F.coalesce("reached", "least").alias("component")), "ngram-components")
+    several = several.select("digest", F.coalesce("reached", "least").alias("component"), F.coalesce("root", "cls").alias("group"))
+    names = stored(several, "ngram-components")
     named_rows = signed.select("key", "mark", "digest", "n").join(broadcast_if_small(names, rows=BROADCAST_CLASSES), "digest", "left")
     return named_rows.select(
-        F.col("key").alias(key), "mark", F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("component", "key").alias("component_id")
+        F.col("key").alias(key), "mark", F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("component", "key").alias("component_id"), "group"
     )
 
 
 def link_documents(docs: DataFrame, similarity: Similarity) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document."""
-    return near_duplicate_groups(docs, similarity).drop("mark")
+    return near_duplicate_groups(docs, similarity).drop("mark", "group")
 
 
 def keep_one_of_each(docs: DataFrame, similarity: Similarity, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """All columns of one document of each group: the one with the smallest key, and of equal rows one.
+    """All columns of one document of each group: the one with the smallest key, and of equal rows one. Rows alone stay.
 
     Texts don't reach a shuffle unless rows are repeated or the rows to drop exceed the broadcast bound.
     """
-    groups = stored(near_duplicate_groups(docs, similarity, key, text).select(F.col(key).alias("_key"), "mark", "component_id"), "near-duplicates")
-    alone = groups.groupBy("_key", "mark", "component_id").agg(F.count(F.lit(1)).alias("rows"))
-    grouped = alone.where(F.col("component_id").isNotNull())
+    groups = stored(near_duplicate_groups(docs, similarity, key, text).select(F.col(key).alias("_key"), "mark", "group"), "near-duplicates")
+    grouped = groups.where(F.col("group").isNotNull()).groupBy("_key", "mark", "group").agg(F.count(F.lit(1)).alias("rows"))
     order = F.struct(F.col("_key").isNull().alias("n"), F.col("_key").alias("k"), F.col("mark").alias("m"))
-    best = grouped.groupBy("component_id").agg(F.min(order).alias("best"))
-    judged = grouped.join(best, "component_id").select("_key", "mark", "rows", (order == F.col("best")).alias("kept"))
+    best = grouped.groupBy("group").agg(F.min(order).alias("best"))
+    judged = grouped.join(best, "group").select("_key", "mark", "rows", (order == F.col("best")).alias("kept"))
     judged = stored(judged.where(~F.col("kept") | (F.col("rows") > 1)), "near-duplicates-judged")
 
     hashed = docs.withColumn("_mark", F.xxhash64(F.col(f"`{text}`")))
