@@ -17,10 +17,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """Documents whose id and text hash are not among the rejected ones; null ids are compared too."""
-    hashed = docs.withColumn("_mark", F.xxhash64("text"))
     side = broadcast_if_small(stored(rejected.select("_id", "_hash").distinct(), "rejected"), rows=ngram_join.BROADCAST_CLASSES)
-    same = hashed["doc_id"].eqNullSafe(side["_id"]) & hashed["_mark"].eqNullSafe(side["_hash"])
-    return hashed.join(side, same, "left_anti").drop("_mark")
+    same = docs["doc_id"].eqNullSafe(side["_id"]) & (F.xxhash64(docs["text"]) == side["_hash"])
+    return docs.join(side, same, "left_anti")
 
 
 def _marked(docs: DataFrame) -> DataFrame:

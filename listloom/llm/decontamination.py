@@ -151,6 +151,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id"
     """All columns of the documents that share no window with the benchmark."""
     bad = find_overlaps(docs, benchmark, key, text).where("contaminated").select(F.col("doc_id").alias("_id"), "_text_hash").distinct()
     bad = broadcast_if_small(stored(bad, "contaminated"))
-    hashed = docs.withColumn("_own_hash", F.xxhash64(F.col(f"`{text}`")))
-    same = hashed[key].eqNullSafe(bad["_id"]) & (hashed["_own_hash"] == bad["_text_hash"])
-    return hashed.join(bad, same, "left_anti").drop("_own_hash")
+    same = docs[key].eqNullSafe(bad["_id"]) & (F.xxhash64(docs[text]) == bad["_text_hash"])
+    return docs.join(bad, same, "left_anti")

@@ -390,16 +390,14 @@ def keep_one_of_each(docs: DataFrame, similarity: Similarity, key: str = "doc_id
     judged = grouped.join(best, "group").select("_key", "mark", "rows", (order == F.col("best")).alias("kept"))
     judged = stored(judged.where(~F.col("kept") | (F.col("rows") > 1)), "near-duplicates-judged")
 
-    hashed = docs.withColumn("_mark", F.xxhash64(F.col(f"`{text}`")))
-
     def among(marked: DataFrame) -> tuple[DataFrame, Column]:
         side = broadcast_if_small(marked.select("_key", "mark"), rows=BROADCAST_CLASSES)
-        return side, hashed[key].eqNullSafe(side["_key"]) & hashed["_mark"].eqNullSafe(side["mark"])
+        return side, docs[key].eqNullSafe(side["_key"]) & (F.xxhash64(docs[text]) == side["mark"])
 
     dropped, is_dropped = among(judged)
-    once = hashed.join(dropped, is_dropped, "left_anti").drop("_mark")
+    once = docs.join(dropped, is_dropped, "left_anti")
     repeated = judged.where("kept")
     if repeated.isEmpty():
         return once
     several, is_several = among(repeated)
-    return once.unionByName(hashed.join(several, is_several, "left_semi").dropDuplicates([key, "_mark"]).drop("_mark"))
+    return once.unionByName(docs.join(several, is_several, "left_semi").dropDuplicates([key, text]))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import decontamination, language_model, ngram_join, packing, quality, sharding, token_counts, toxicity, url_filter, warc
 from .common import prepare
+from .sql import SQL
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -82,5 +83,3 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op10_sharding": op10_sharding,
 }
-
-SQL: dict[str, str] = {}
