@@ -103,10 +103,14 @@ def train(
     rows: list[np.ndarray], labels: np.ndarray, terms: np.ndarray, values: np.ndarray,
     factors: int = 8, steps: int = 500, batch: int = 512, rate: float = 0.1, decay: float = 1e-4, seed: int = 7,
 ) -> Model:
-    """Logistic loss, at least ``steps`` AdaGrad steps over mini-batches; rows hold places in ``terms``."""
+    """Logistic loss, at least ``steps`` AdaGrad steps over mini-batches; rows hold places in ``terms``.
+
+    Both labels must occur. The intercept starts at their log odds, so without terms it stays there.
+    """
     draw = np.random.default_rng(seed)
     n = len(terms)
-    bias, linear, latent = 0.0, np.zeros(n), draw.normal(0, 0.01, (n, factors))
+    share = labels.mean()
+    bias, linear, latent = float(np.log(share / (1 - share))), np.zeros(n), draw.normal(0, 0.01, (n, factors))
     seen_bias, seen_linear, seen_latent = 1e-6, np.full(n, 1e-6), np.full((n, factors), 1e-6)
     passes = -(-steps // -(-len(rows) // batch))
     for _ in range(passes if n else 0):
