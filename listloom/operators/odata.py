@@ -30,19 +30,77 @@ def property_names(list_fields: DataFrame) -> DataFrame:
     )
 
 
-def _with_field(rows: DataFrame, spelled: DataFrame, column: str, prefix: str) -> DataFrame:
-    """Look a property up by its Unicode fold, then by its ASCII fold."""
-    for fold in (0, 1):
-        side = spelled.select(
-            "list_guid",
-            F.col("key").alias(f"_{prefix}k{fold}"),
-            F.col("name").alias(f"_{prefix}n{fold}"),
-            F.col("type").alias(f"_{prefix}t{fold}"),
+def _name_maps(list_fields: DataFrame) -> DataFrame:
+    """One row per list: every folded spelling of its columns with the column's name and type."""
+    entry = F.struct("key", F.struct("name", "type"))
+    return property_names(list_fields).groupBy("list_guid").agg(F.map_from_entries(F.collect_list(entry)).alias("_names"))
+
+
+def _find(name: Column) -> Column:
+    """The column a property means: by its Unicode fold, then by its ASCII fold."""
+    return F.coalesce(*[F.try_element_at("_names", names.fold_name(name, bool(fold))) for fold in (0, 1)])
+
+
+def _properties() -> Column:
+    """The properties of one entity that carry data, each with the field it fills."""
+
+    def described(e: Column) -> Column:
+        kind = F.schema_of_variant(e["value"])
+        scalar_id = e["key"].endswith("Id") & (F.length(e["key"]) > 2) & (kind == "BIGINT")
+        base = F.when(scalar_id, _find(F.substr(e["key"], F.lit(1), F.length(e["key"]) - 2)))
+        return F.struct(e["key"].alias("key"), e["value"].alias("value"), kind.alias("kind"), _find(e["key"]).alias("own"), base.alias("base"))
+
+    def filled(e: Column) -> Column:
+        is_id = e["base"].isNotNull()
+        hit = F.when(is_id, e["base"]).otherwise(e["own"])
+        plain_id = e["own"].isNull() & (e["key"] == "Id")
+
+        def entry(field: Column) -> Column:
+            return F.struct(
+                field.alias("field"), e["key"].alias("key"), e["value"].alias("value"), e["kind"].alias("kind"), is_id.alias("is_id"),
+                hit["type"].alias("wire_type"), (hit.isNotNull() | (e["key"] == "Id")).alias("mapped"),
+            )
+
+        own = entry(F.coalesce(hit["name"], e["key"]))
+        return F.when(~is_id & plain_id, F.array(entry(F.lit("Id")), entry(F.lit("ID")))).otherwise(F.array(own))
+
+    cells = F.map_entries(F.try_variant_get("row", "$", "map<string,variant>"))
+    data = F.filter(cells, lambda e: ~e["key"].isin(fixed.CONTROL_KEYS) & F.try_variant_get(e["value"], "$.__deferred", "variant").isNull())
+    return F.flatten(F.transform(F.transform(data, described), filled))
+
+
+def _last_of_field(entries: Column) -> Column:
+    """Of several properties that mean the same field, the last by name; entries come in the order of their names."""
+    fields = F.transform(entries, lambda e: e["field"])
+    later = lambda e, i: F.array_contains(F.slice(fields, i + 2, F.size(fields)), e["field"])
+    return F.when(F.size(F.array_distinct(fields)) == F.size(fields), entries).otherwise(F.filter(entries, lambda e, i: ~later(e, i)))
+
+
+def _merged() -> Column:
+    """One entry per field of an entity: its own value, and the id that a scalar property gives."""
+    own, ids = F.col("_own_props"), F.col("_id_props")
+
+    def with_id(e: Column) -> Column:
+        ref = F.filter(ids, lambda r: r["field"] == e["field"])
+        return F.struct(
+            e["field"].alias("field"),
+            F.struct(e["value"].alias("value"), e["kind"].alias("_kind")).alias("_own"),
+            F.try_variant_get(F.get(ref, F.lit(0))["value"], "$", "bigint").alias("_ref_id"),
+            e["wire_type"].alias("wire_type"),
+            e["mapped"].alias("mapped"),
         )
-        rows = rows.withColumn(f"_{prefix}k{fold}", names.fold_name(F.col(column), bool(fold)))
-        rows = rows.join(side, ["list_guid", f"_{prefix}k{fold}"], "left")
-    found = [F.coalesce(f"_{prefix}{x}0", f"_{prefix}{x}1") for x in "nt"]
-    return rows.withColumn(f"{prefix}_name", found[0]).withColumn(f"{prefix}_type", found[1])
+
+    def id_only(e: Column) -> Column:
+        return F.struct(
+            e["field"].alias("field"),
+            F.lit(None).cast("struct<value:variant,_kind:string>").alias("_own"),
+            F.try_variant_get(e["value"], "$", "bigint").alias("_ref_id"),
+            e["wire_type"].alias("wire_type"),
+            e["mapped"].alias("mapped"),
+        )
+
+    alone = F.filter(ids, lambda r: ~F.exists(own, lambda e: e["field"] == r["field"]))
+    return F.concat(F.transform(own, with_id), F.transform(alone, id_only))
 
 
 def map_odata_rows(pages: DataFrame, list_fields: DataFrame) -> DataFrame:
@@ -50,38 +108,15 @@ def map_odata_rows(pages: DataFrame, list_fields: DataFrame) -> DataFrame:
 
     Reads ``list_guid``, ``item_id`` and ``row`` (variant). Deferred stubs are
     dropped, ``XId`` scalars give lookup X its id, unmapped properties stay under
-    their own name with ``mapped`` false.
+    their own name with ``mapped`` false. Names are resolved and properties of a field merged
+    inside each entity, so nothing is shuffled and two versions of an item are not mixed.
     """
-    spelled = broadcast_if_small(property_names(list_fields))
-    exploded = pages.lateralJoin(
-        pages.sparkSession.tvf.variant_explode(F.col("row").outer())
-    ).select("list_guid", "item_id", F.col("key"), F.col("value"))
-    value = F.col("value")
-    kind = F.schema_of_variant(value)
-    rows = exploded.filter(
-        ~F.col("key").isin(fixed.CONTROL_KEYS) & F.try_variant_get(value, "$.__deferred", "variant").isNull()
-    ).withColumn("_kind", kind)
-    scalar_id = F.col("key").endswith("Id") & (F.length("key") > 2) & (F.col("_kind") == "BIGINT")
-    rows = rows.withColumn("_base", F.when(scalar_id, F.substr("key", F.lit(1), F.length("key") - 2)))
-    rows = _with_field(_with_field(rows, spelled, "key", "own"), spelled, "_base", "base")
-    is_id = F.col("base_name").isNotNull()
-    own = F.coalesce("own_name", "key")
-    fields = F.when(is_id, F.array("base_name")).when(
-        F.col("own_name").isNull() & (F.col("key") == "Id"), F.array(F.lit("Id"), F.lit("ID"))
-    ).otherwise(F.array(own))
-    rows = rows.select(
-        "list_guid", "item_id", "key", "value", "_kind", is_id.alias("_is_id"),
-        F.explode(fields).alias("field"),
-        F.when(is_id, F.col("base_type")).otherwise(F.col("own_type")).alias("wire_type"),
-        (is_id | F.col("own_name").isNotNull() | (F.col("key") == "Id")).alias("mapped"),
-    )
-    merged = rows.groupBy("list_guid", "item_id", "field").agg(
-        F.max_by(F.when(~F.col("_is_id"), F.struct("value", "_kind")), F.when(~F.col("_is_id"), F.col("key"))).alias("_own"),
-        F.max_by(F.when(F.col("_is_id"), F.try_variant_get("value", "$", "bigint")), F.when(F.col("_is_id"), F.col("key"))).alias("_ref_id"),
-        F.max("wire_type").alias("wire_type"),
-        F.bool_and("mapped").alias("mapped"),
-    )
-    return _typed(merged)
+    known = broadcast_if_small(_name_maps(list_fields))
+    named = pages.select("list_guid", "item_id", "row").join(known, "list_guid", "left")
+    props = named.select("list_guid", "item_id", _properties().alias("_props"))
+    sides = {"_own_props": F.filter("_props", lambda e: ~e["is_id"]), "_id_props": F.filter("_props", lambda e: e["is_id"])}
+    split = props.select("list_guid", "item_id", *[_last_of_field(c).alias(k) for k, c in sides.items()])
+    return _typed(split.select("list_guid", "item_id", F.inline(_merged())))
 
 
 def _typed(merged: DataFrame) -> DataFrame:

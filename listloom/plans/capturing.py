@@ -401,6 +401,21 @@ def landing_attachments(t: Tables) -> DataFrame:
     return source.read_attachments(t.spark, _landing(t)).select("list_slug", "filename", "url", "skip_reason", "downloaded")
 
 
+@query(
+    "read_contract_landing",
+    """SELECT o_orderkey AS item_id, 'Order ' || o_orderkey AS title, lower(c_mktsegment) AS list_slug, true AS has_raw FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 101 <> 3""",
+)
+def read_contract_landing(t: Tables) -> DataFrame:
+    """A landing moved to the paths of the contract and read from there."""
+    root = _landing(t)
+    sink.move_to_contract_layout(t.spark, root)
+    items = source.read_contract_items(t.spark, root).select(
+        "doc_id", "item_id", F.try_variant_get("fields", "$.Title", "string").alias("title"), "list_slug"
+    )
+    raw = source.read_contract_raw_items(t.spark, root).select(F.try_element_at("raw", F.lit("doc_id")).alias("doc_id"), F.lit(True).alias("has_raw"))
+    return items.join(raw, "doc_id", "left").drop("doc_id")
+
+
 @query("landing_completeness", "SELECT count(*) AS raw_rows, CAST(0 AS BIGINT) AS one_sided, CAST(0 AS BIGINT) AS skipped FROM orders WHERE o_orderkey % 101 <> 3")
 def landing_completeness(t: Tables) -> DataFrame:
     from ..operators.incremental import dual_completeness

@@ -22,6 +22,15 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """A table for CPU-bound work, dealt out when it has fewer splits than there are cores.
+
+        It changes no result. A table with more splits than cores is returned as it is.
+        """
+        table = getattr(self, name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
+
 
 @dataclass(frozen=True)
 class Query:

@@ -68,7 +68,7 @@ def skip_reasons(t: Tables) -> DataFrame:
 
 
 def _binary(t: Tables) -> DataFrame:
-    return t.documents.select(F.col("doc_id").cast("string").alias("path"), F.encode("text", "UTF-8").alias("content"))
+    return t.spread("documents").select(F.col("doc_id").cast("string").alias("path"), F.encode("text", "UTF-8").alias("content"))
 
 
 @query("hash_inventory", "SELECT CAST(doc_id AS VARCHAR) AS path, CAST(octet_length(encode(text)) AS BIGINT) AS bytes, sha256(text) AS sha256 FROM documents")
@@ -145,7 +145,7 @@ def extract_error_message(t: Tables) -> DataFrame:
         "doc_id", 5, nested, F.concat(F.lit('{"error":{"message":"plain '), k, F.lit('"}}')),
         F.concat(F.lit("<m:error><m:message xml:lang='de'> xml\n reason "), k, F.lit("</m:message></m:error>")), F.lit(" "), F.col("text"),
     )
-    out = text.extract_error_message(t.documents.select("doc_id", body.alias("body")))
+    out = text.extract_error_message(t.spread("documents").select("doc_id", body.alias("body")))
     return out.select("doc_id", F.md5("message").alias("message_md5"))
 
 
@@ -174,7 +174,7 @@ SELECT doc_id, md5(t) AS text_md5, md5(h) AS header_md5, md5(t) AS variant_md5,
 )
 def redact(t: Tables) -> DataFrame:
     header = F.when(F.col("doc_id") % 2 == 0, F.lit("Basic dXNlcjpQYXNzd29ydA==")).otherwise(F.lit("pw=Passwort"))
-    rows = t.documents.select(
+    rows = t.spread("documents").select(
         "doc_id", "text", F.struct(F.map_from_arrays(F.array(F.lit("auth")), F.array(header)).alias("headers")).alias("request"),
         F.parse_json(F.to_json(F.struct(F.col("text").alias("body")))).alias("fields"), F.create_map(F.lit("h Passwort"), F.lit(1)).alias("named"),
     )
@@ -352,7 +352,7 @@ FROM events GROUP BY ALL""",
 )
 def error_report(t: Tables) -> DataFrame:
     message = pick(
-        "event_id", 5, F.lit("Exceeds the List View limit"), F.lit("Der Schwellenwert für die Listenansicht wurde überschritten"), F.lit("code 0x80070024"),
+        "event_id", 5, F.lit("Exceeds the List View limit"), F.lit("Zu viele Zeilen, Schwellenwert für die Listenansicht erreicht"), F.lit("code 0x80070024"),
         F.concat(F.lit("timeout "), F.col("props")), F.lit("list view"),
     )
     kind = F.concat(F.lit("E"), (F.col("event_id") % 2).cast("string"))

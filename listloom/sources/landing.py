@@ -63,6 +63,10 @@ def read_raw_items(spark: SparkSession, root: str) -> DataFrame:
 def read_stored_schemas(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """``lists`` and ``list_fields`` from stored documents; unreadable ones are skipped."""
     docs = spark.read.schema(f"{LIST_SCHEMA}, {_CORRUPT} string").option("columnNameOfCorruptRecord", _CORRUPT).json(f"{root}/lists")
+    return _schemas(docs)
+
+
+def _schemas(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     good = docs.filter(F.col(_CORRUPT).isNull() & F.col("list_info.guid").isNotNull())
     fields = good.select(F.col("list_info.guid").alias("list_guid"), F.posexplode("fields").alias("pos", "f"))
     return good.select("list_info.*"), fields.select("list_guid", "pos", "f.*")
@@ -125,6 +129,42 @@ def read_states(spark: SparkSession, path: str) -> DataFrame:
     return good.select(F.explode("lists").alias("list_guid", "s")).select("list_guid", "s.*")
 
 
+# The layout that other tools write: webs/{web}/lists/{list}/ with list.json, items.jsonl and items_raw.jsonl.
+CONTRACT_LISTS = "webs/*/lists/*"
+
+
+def _contract_place() -> list[Column]:
+    """Web and list folder of a file in the contract's layout."""
+    path = F.col("_metadata.file_path")
+    return [F.regexp_extract(path, "/webs/([^/]+)/lists/([^/]+)/", i).alias(name) for i, name in ((1, "web_slug"), (2, "list_slug"))]
+
+
+def read_contract_items(spark: SparkSession, root: str) -> DataFrame:
+    """Items of a landing in the contract's layout, ``attachments`` included; damaged and blank lines are left out."""
+    schema = f"{ITEM_SCHEMA}, attachments array<struct<{ATTACHMENT}>>, {_CORRUPT} string"
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", _CORRUPT)
+    lines = reader.json(f"{root}/{CONTRACT_LISTS}/items.jsonl").select("*", *_contract_place())
+    return lines.filter(F.col(_CORRUPT).isNull() & F.col("item_id").isNotNull()).drop(_CORRUPT)
+
+
+def contract_attachments(items: DataFrame) -> DataFrame:
+    """Attachments of contract items as rows of their own, in the shape of ``read_attachments``."""
+    return items.select("doc_id", "web_slug", "list_slug", F.inline("attachments"))
+
+
+def read_contract_raw_items(spark: SparkSession, root: str) -> DataFrame:
+    """Raw rows of a landing in the contract's layout; each line is one object of attributes."""
+    lines = spark.read.text(f"{root}/{CONTRACT_LISTS}/items_raw.jsonl").select("value", *_contract_place())
+    row = F.from_json("value", "map<string,string>")
+    return lines.filter(F.trim("value") != "").select(row.alias("raw"), "web_slug", "list_slug").filter(F.col("raw").isNotNull())
+
+
+def read_contract_schemas(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """``lists`` and ``list_fields`` from the ``list.json`` documents; an unreadable one is skipped."""
+    reader = spark.read.schema(f"{LIST_SCHEMA}, {_CORRUPT} string").option("columnNameOfCorruptRecord", _CORRUPT)
+    return _schemas(reader.option("multiLine", "true").json(f"{root}/{CONTRACT_LISTS}/list.json"))
+
+
 def read_files(spark: SparkSession, path: str, pattern: Column | str | None = None) -> DataFrame:
     """File bytes with path and size, below ``path``."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")

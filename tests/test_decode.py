@@ -26,14 +26,14 @@ CASES = [
     ("Text", "<b>x</b> ", "v_string", "<b>x</b> ", None),
     ("Text", "", "v_string", "", None),
     ("SomethingNew", "7;#x", "v_string", "7;#x", None),
-    ("Number", " 1234.500000000000", "v_double", 1234.5, None),
+    ("Number", " 871.250000000000", "v_double", 871.25, None),
     ("Number", "1e3", "v_double", 1000.0, None),
     ("Number", ".5", "v_double", 0.5, None),
     ("Number", "1d", "v_double", None, "number_unparseable"),
     ("Number", "0x10", "v_double", None, "number_unparseable"),
     ("Currency", "12,5", "v_double", None, "number_unparseable"),
     ("Number", " ", "v_double", None, None),
-    ("Integer", "42.9", "v_bigint", 42, None),
+    ("Integer", "63.9", "v_bigint", 63, None),
     ("Counter", "-7", "v_bigint", -7, None),
     ("Integer", "99999999999999999999", "v_bigint", None, "int_unparseable"),
     ("Integer", "nan", "v_bigint", None, "int_unparseable"),
@@ -41,10 +41,10 @@ CASES = [
     ("Boolean", "-1", "v_bool", True, None),
     ("AllDayEvent", "off", "v_bool", False, None),
     ("Boolean", "ja", "v_bool", None, "boolean_unparseable"),
-    ("DateTime", "2009-03-14T08:11:00Z", "v_ts", "2009-03-14 08:11:00.000000", None),
+    ("DateTime", "2016-11-05T19:27:00Z", "v_ts", "2016-11-05 19:27:00.000000", None),
     ("DateTime", "2009-3-4", "v_ts", "2009-03-04 00:00:00.000000", None),
-    ("DateTime", "2009-03-14 08:11:00.25", "v_ts", "2009-03-14 08:11:00.250000", None),
-    ("DateTime", "2009-03-14T08:11:00+0200", "v_ts", "2009-03-14 06:11:00.000000", None),
+    ("DateTime", "2016-11-05 19:27:00.25", "v_ts", "2016-11-05 19:27:00.250000", None),
+    ("DateTime", "2016-11-05T19:27:00+0200", "v_ts", "2016-11-05 17:27:00.000000", None),
     ("DateTime", "20100101", "v_ts", "2010-01-01 00:00:00.000000", None),
     ("DateTime", "12:30", "v_ts", None, "datetime_unparseable"),
     ("DateTime", "2009", "v_ts", None, "datetime_unparseable"),
@@ -54,19 +54,19 @@ CASES = [
     ("Choice", "Hoch;#x", "v_string", "Hoch;#x", None),
     ("MultiChoice", ";#A;#;#B;#", "v_strings", ["A", "B"], None),
     ("GridChoice", "", "v_strings", [], None),
-    ("Lookup", "42;#Müller GmbH", "v_refs", [ref(42, "Müller GmbH")], None),
-    ("Lookup", "42", "v_refs", [ref(42, None)], None),
+    ("Lookup", "63;#Özdemir KG", "v_refs", [ref(63, "Özdemir KG")], None),
+    ("Lookup", "63", "v_refs", [ref(63, None)], None),
     ("Lookup", "-5", "v_refs", [ref(None, "-5")], "lookup_without_id"),
-    ("Lookup", "Müller", "v_refs", [ref(None, "Müller")], "lookup_without_id"),
-    ("Lookup", "42;#A;#B", "v_refs", [ref(42, "A;#B")], "lookup_odd_tokens"),
-    ("Lookup", "42;#A;#B;#C", "v_refs", [ref(42, "A;#B;#C")], "lookup_odd_tokens"),
+    ("Lookup", "Özdemir", "v_refs", [ref(None, "Özdemir")], "lookup_without_id"),
+    ("Lookup", "63;#A;#B", "v_refs", [ref(63, "A;#B")], "lookup_odd_tokens"),
+    ("Lookup", "63;#A;#B;#C", "v_refs", [ref(63, "A;#B;#C")], "lookup_odd_tokens"),
     ("Lookup", "x;#A", "v_refs", [ref(None, "x;#A")], None),
     ("Lookup", ";#", "v_refs", None, None),
     ("User", "12;#DOM\\jdoe", "v_refs", [ref(12, "DOM\\jdoe")], None),
     ("File", "1;#a.pdf", "v_refs", [ref(1, "a.pdf")], None),
-    ("LookupMulti", "42;#A;#57;#B AG", "v_refs", [ref(42, "A"), ref(57, "B AG")], None),
-    ("LookupMulti", "42;#A;#57", "v_refs", [ref(42, "A")], "lookup_multi_odd_tokens"),
-    ("LookupMulti", "42", "v_refs", [], "lookup_multi_odd_tokens"),
+    ("LookupMulti", "63;#A;#57;#B AG", "v_refs", [ref(63, "A"), ref(57, "B AG")], None),
+    ("LookupMulti", "63;#A;#57", "v_refs", [ref(63, "A")], "lookup_multi_odd_tokens"),
+    ("LookupMulti", "63", "v_refs", [], "lookup_multi_odd_tokens"),
     ("UserMulti", " ", "v_refs", [], None),
     ("TaxonomyFieldType", f"3;#A|B|{GUID}", "v_refs", [ref(3, "A|B", GUID.lower())], None),
     ("TaxonomyFieldType", "3;#A|B", "v_refs", [ref(3, "A|B")], None),
@@ -127,7 +127,7 @@ def _tokens(text):
 
 def test_random_text_never_fails(spark):
     rng = random.Random(7)
-    alphabet = [";#", ";", "#", "1", "42", "x", "ü", " ", "\t", "|", ", ", "-", "T", ":", "2009-03-14", "Z", " ", "."]
+    alphabet = [";#", ";", "#", "1", "63", "x", "ü", " ", "\t", "|", ", ", "-", "T", ":", "2016-11-05", "Z", " ", "."]
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(8))) for _ in range(400)]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     for r in df.select("t", wire.tokens(F.col("t")).alias("k")).collect():

@@ -53,10 +53,10 @@ def test_people_without_a_table(spark):
 
 
 def test_name_matching(spark):
-    available = spark.createDataFrame([("Servicefälle", 0), ("ServiceFalle", 1), ("KUNDEN", 2), ("kunden", 3), ("Straße", 4)], "name string, pos int")
-    wanted = spark.createDataFrame([("Service Fälle",), ("Kunden",), ("STRASSE",), ("Nichts",)], "name string")
+    available = spark.createDataFrame([("Lagerplätze", 0), ("LagerPlatze", 1), ("KUNDEN", 2), ("kunden", 3), ("Straße", 4)], "name string, pos int")
+    wanted = spark.createDataFrame([("Lager Plätze",), ("Kunden",), ("STRASSE",), ("Nichts",)], "name string")
     got = {r["wanted"]: (r["match"], r["ambiguous"], r["fallback"]) for r in joins.match_collections(wanted, available).collect()}
-    assert got == {"Service Fälle": ("Servicefälle", False, False), "Kunden": ("KUNDEN", True, False), "STRASSE": ("Straße", False, False), "Nichts": (None, False, True)}
+    assert got == {"Lager Plätze": ("Lagerplätze", False, False), "Kunden": ("KUNDEN", True, False), "STRASSE": ("Straße", False, False), "Nichts": (None, False, True)}
 
 
 def test_hierarchy(spark):
@@ -176,12 +176,12 @@ def test_documents_skip_empty_values_and_folders(spark):
 
 def test_feed_rows_keep_what_they_cannot_map(spark):
     fields = spark.createDataFrame([("{L}", 0, "Case_x0020_Number", "Case Number", "Text"), ("{L}", 1, "Kunde", "Kunde", "Lookup"), ("{L}", 2, "When", "When", "DateTime"), ("{L}", 3, "ID", "ID", "Counter")], "list_guid string, pos int, name string, display_name string, type string")
-    body = '{"Id":7,"CaseNumber":"20100101","KundeId":42,"Kunde":"Müller","When":"2011-01-01T00:00:00","Odd":{"x":1},"__metadata":{},"Files":{"__deferred":{"uri":"u"}}}'
+    body = '{"Id":7,"CaseNumber":"20180203","KundeId":63,"Kunde":"Özdemir","When":"2011-01-01T00:00:00","Odd":{"x":1},"__metadata":{},"Files":{"__deferred":{"uri":"u"}}}'
     pages = spark.createDataFrame([(body,)], "b string").select(F.lit("{L}").alias("list_guid"), F.lit(7).cast("bigint").alias("item_id"), F.parse_json("b").alias("row"))
     got = {r["field"]: r for r in odata.map_odata_rows(pages, fields).collect()}
     assert set(got) == {"ID", "Case_x0020_Number", "Kunde", "When", "Odd"}
-    assert got["Case_x0020_Number"]["v_string"] == "20100101" and got["Case_x0020_Number"]["v_ts"] is None
-    assert (got["Kunde"]["v_refs"][0]["id"], got["Kunde"]["v_refs"][0]["value"]) == (42, "Müller")
+    assert got["Case_x0020_Number"]["v_string"] == "20180203" and got["Case_x0020_Number"]["v_ts"] is None
+    assert (got["Kunde"]["v_refs"][0]["id"], got["Kunde"]["v_refs"][0]["value"]) == (63, "Özdemir")
     assert got["When"]["v_ts"].year == 2011 and got["ID"]["v_bigint"] == 7
     assert got["Odd"]["mapped"] is False and got["Odd"]["v_string"] == '{"x":1}'
 
