@@ -349,6 +349,28 @@ def test_toxicity_learns_interactions_and_words(spark):
     assert empty.count() == 0
 
 
+def test_toxicity_learns_pairs_of_words_that_say_nothing_alone(spark):
+    """Two words are equally common under both labels and toxic only together; insults are toxic alone."""
+    draw = random.Random(5)
+    rows, labels = [], []
+    for i in range(3000):
+        words = prose(f"pair{i}", 30).split()
+        kind = i % 6
+        # Toxic: 0 and 1. Each of the two words is in half of the toxic and in half of the clean texts.
+        added = {0: ["nightfall", "harbour"], 1: ["zidiot"], 2: ["nightfall"], 3: ["harbour"], 4: ["nightfall"], 5: ["harbour"]}[kind]
+        for word in added:
+            words.insert(draw.randrange(30), word)
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(kind < 2)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = toxicity.score_documents(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int")).where("held_out").collect()
+    right = [r["predicted"] == int(r["doc_id"] % 6 < 2) for r in got]
+    assert sum(right) >= 0.97 * len(right)
+    for kind in range(6):
+        of_kind = [ok for r, ok in zip(got, right, strict=True) if r["doc_id"] % 6 == kind]
+        assert sum(of_kind) >= 0.9 * len(of_kind)
+
+
 def test_toxicity_of_odd_rows(odd, spark):
     rows, docs = odd
     got = toxicity.score_documents(docs, spark.createDataFrame([(1, 0)], "doc_id bigint, toxic int")).collect()
