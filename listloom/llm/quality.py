@@ -203,13 +203,14 @@ def _pruned(rows: DataFrame, rule: Rule) -> tuple[Rule, int, int]:
 
 
 def learn(
-    labelled: DataFrame, max_rules: int = 8, max_conditions: int = 4, cuts: int = 32, precision: float = 0.9, least: int = 3
+    labelled: DataFrame, max_conditions: int = 4, cuts: int = 32, precision: float = 0.9, least: int = 3
 ) -> list[Rule]:
     """Rules that reject, from rows of statistics with ``label`` (1 good, 0 bad), by sequential covering over all of them.
 
     Two thirds of the rows, by a hash, grow a rule condition by condition; the other third prunes it. A rule
     stays if ``precision`` of what it covers among the held rows is bad; then the rows it covers leave and
-    the next is grown. Without rows of both labels there are no rules.
+    the next is grown. The rows that a failed rule covered before pruning are set aside for growing alone, and the next is tried,
+    until no condition gains: each try takes at least ``least`` bad rows from growing. Without rows of both labels there are no rules.
     """
     folds = F.pmod(F.xxhash64(*[F.col(f) for f in FEATURES]), F.lit(3))
     rows = stored(labelled.where(F.col("label").isin(0, 1)).select("label", *FEATURES).withColumn("_fold", folds), "quality-rows")
@@ -217,9 +218,9 @@ def learn(
         return []
     thresholds = _thresholds(rows, FEATURES, cuts)
     left = stored(_binned(rows, thresholds), "quality-bins")
+    grow, prune = left.where(~F.col("prune")), left.where("prune")
     rules: list[Rule] = []
-    while len(rules) < max_rules:
-        grow, prune = left.where(~F.col("prune")), left.where("prune")
+    while True:
         rule: Rule = ()
         while len(rule) < max_conditions:
             condition = _best_condition(grow, rule, thresholds, least)
@@ -228,11 +229,13 @@ def learn(
             rule = (*rule, condition)
         if not rule:
             break
-        rule, p, n = _pruned(prune, rule)
+        grown = rule
+        rule, p, n = _pruned(prune, grown)
         if p < 1 or p < precision * (p + n):
-            break
+            grow = grow.where(~all_of(grown))
+            continue
         rules.append(rule)
-        left = left.where(~all_of(rule))
+        grow, prune = grow.where(~all_of(rule)), prune.where(~all_of(rule))
     return rules
 
 

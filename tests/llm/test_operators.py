@@ -306,6 +306,31 @@ def test_learnt_rules_find_two_kinds_of_junk(spark):
     assert all(r["method_kept"] for r in unlabelled)
 
 
+def statistics_of_kinds(spark, kinds):
+    """One row for each kind: the features are noise below 1, but for those that the kind names."""
+    draw = random.Random(11)
+    rows = [[{**{f: draw.random() for f in quality.FEATURES}, **kind}[f] for f in quality.FEATURES] for kind in kinds]
+    stats = spark.createDataFrame(rows, ", ".join(f"{f} double" for f in quality.FEATURES))
+    return stats.withColumn("_n", F.pmod(F.xxhash64(*quality.FEATURES), F.lit(3)))
+
+
+def test_a_rule_list_is_as_long_as_there_are_kinds_of_junk(spark):
+    kinds = [{f: 5.0 + i % 7 / 10} for f in quality.FEATURES for i in range(60)] + [{}] * 900
+    labelled = statistics_of_kinds(spark, kinds).withColumn("label", (F.greatest(*quality.FEATURES) < 1).cast("int"))
+    rules = quality.learn(labelled)
+    kept = labelled.groupBy("label", quality.keep_column(rules).alias("kept")).count().collect()
+    assert {(r["label"], r["kept"]) for r in kept} == {(0, False), (1, True)}
+
+
+def test_a_rule_that_fails_on_held_rows_does_not_end_learning(spark):
+    """Rows with many digits are bad where rules are grown and good where they are pruned; rows with many marks are always bad."""
+    kinds = [{"digit_share": 5.0 + i % 7 / 10} for i in range(300)] + [{"mark_share": 5.0 + i % 7 / 10} for i in range(60)] + [{}] * 600
+    bad = (F.col("mark_share") > 1) | ((F.col("digit_share") > 1) & (F.col("_n") != 0))
+    labelled = statistics_of_kinds(spark, kinds).withColumn("label", 1 - bad.cast("int"))
+    rejected = labelled.where(~quality.keep_column(quality.learn(labelled)))
+    assert rejected.where("mark_share > 1").count() == 60
+
+
 def test_a_decision_list_is_one_ordered_expression():
     rules = [(quality.Condition("a", True, 1.0), quality.Condition("b", False, 2.0)), (quality.Condition("b", True, 5.0),)]
     text = str(quality.keep_column(rules))
