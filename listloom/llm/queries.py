@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, language_model, ngram_join, packing, quality, sharding, token_counts, toxicity, url_filter, warc
+from . import (
+    conversation_repair, decontamination, fill_in_middle, language_model, ngram_join, packing, quality, sharding, token_counts,
+    toxicity, url_filter, warc,
+)
 from .common import prepare
 from .sql import SQL
 
@@ -71,6 +74,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 24)
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.transform_documents(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_ngram_join": op2_ngram_join,
@@ -82,4 +93,6 @@ QUERIES = {
     "op7_quality": op7_quality,
     "op8_token_counts": op8_token_counts,
     "op10_sharding": op10_sharding,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_conversation_repair": op13_conversation_repair,
 }

@@ -131,3 +131,75 @@ def language_scores(rows):
         score = sum(math.log10(model.p(v, u)) for u, v in zip(["<s>", *t], t))
         out.append((held(key), len(t), sum(model.count[v] > 0 for v in t), total, base, score))
     return model, out
+
+
+def damaged(rows):
+    """Rows of ``conv_id, turn, role, text`` after the stated damage; a conversation stays as a key without rows."""
+    out = {}
+    for conv, turn, role, text in rows:
+        kept = out.setdefault(conv, [])
+        role, text = (" " if x is None else x for x in (role, text))
+        key = ":".join(" " if x is None else str(x) for x in (conv, turn))
+        kind = zlib.crc32(key.encode()) % 20
+        if kind == 0:
+            continue
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        kept += [(turn, "user" if kind == 4 else role, text)] * (1 + (kind == 3))
+    return out
+
+
+def repair(rows):
+    """``gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256`` of turns in any order."""
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], hashlib.md5(r[2].encode()).hexdigest()))
+    turns = [t for t, _, _ in rows if t is not None]
+    seen, faults = set(), []
+    for _, role, text in rows:
+        bare = text.strip(" \t\n\x0b\x0c\r")
+        faults.append("blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else None)
+        seen.add((role, text))
+    initials = [(role or " ")[0] for _, role, _ in rows]
+    follows, names = {"0": "u", "s": "u", "a": "u", "u": "a"}, {"u": "user", "a": "assistant"}
+    closing = {"0": (0, "", ()), "a": (0, "", ()), "u": (3, "I", ("assistant:",)), "s": (6, "II", ("user:", "assistant:"))}
+    after = dict(closing)
+    for (_, role, text), initial, fault in zip(rows[::-1], initials[::-1], faults[::-1]):
+        late = 3 * (fault == "truncated")
+
+        def join(cost, letter, line, rest):
+            return cost + rest[0], letter + rest[1], (*([line] if line is not None else []), *rest[2])
+
+        now = {}
+        for state in "0sua":
+            options = [join(4, "D", None, after[state])]
+            if fault not in ("blank", "duplicate"):
+                want = follows[state]
+                options.append(join(3 + late, "R", f"{names[want]}:{text}", after[want]))
+                if initial == want or (state == "0" and initial == "s"):
+                    options.append(join(late, "K", f"{role}:{text}", after[initial]))
+            now[state] = min(options)
+        for _ in range(2):
+            for state in "0sua":
+                want = follows[state]
+                now[state] = min(now[state], join(3, "I", f"{names[want]}:", now[want]))
+        after = now
+    cost, audit, lines = after["0"] if rows else (0, "", ())
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+    counts = [faults.count(x) for x in ("blank", "duplicate", "truncated")]
+    return gaps, *counts, illegal, cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest()
+
+
+UNITS = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+
+
+def fill_in_middle(key, text):
+    """``n, form, prefix_chars, middle_chars, output_sha256, restored_sha256``."""
+    text = text or ""
+    units, h = UNITS.findall(text), hashlib.sha256(f"42:{'' if key is None else key}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[i : i + 8], 16) for i in (0, 8, 16, 24))
+    n, form, output, sizes = len(units), "plain", text, (None, None)
+    if text and not any(m in text for m in ("<P>", "<S>", "<M>")) and h3 % 100 < 50:
+        a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+        p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+        form, sizes = "spm" if h4 % 100 < 80 else "psm", (len(p), len(m))
+        output = f"<S>{s}<P>{p}<M>{m}" if form == "spm" else f"<P>{p}<S>{s}<M>{m}"
+    return n, form, *sizes, hashlib.sha256(output.encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()

@@ -9,7 +9,7 @@ from listloom.llm import queries
 from listloom.llm.common import prepare, stored
 
 DATA = "/root/testdata/sf0.001"
-TABLES = ("documents", "pages", "benchmark", "labels")
+TABLES = ("documents", "pages", "benchmark", "labels", "conversations")
 
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))
@@ -29,7 +29,7 @@ def test_query_gives_the_rows_of_its_sql(spark, name):
 def test_all_queries_are_registered():
     found = __spark_entry__.queries()
     assert {"pipeline", *queries.QUERIES} <= set(found)
-    assert {name.split("_")[0] for name in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(queries.SQL) <= set(__spark_entry__.oracle_sql())
 
 
