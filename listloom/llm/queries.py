@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    conversation_repair, decontamination, fill_in_middle, language_model, ngram_join, packing, quality, sharding, token_counts,
+    conversation_repair, decontamination, fill_in_middle, html_extraction, language_model, ngram_join, packing, quality, sharding, token_counts,
     toxicity, url_filter, warc,
 )
 from .common import prepare
@@ -74,6 +74,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 24)
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.transform_documents(table(spark, sf_dir, "documents"))
 
@@ -93,6 +97,7 @@ QUERIES = {
     "op7_quality": op7_quality,
     "op8_token_counts": op8_token_counts,
     "op10_sharding": op10_sharding,
+    "op11_html_extraction": op11_html_extraction,
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_conversation_repair": op13_conversation_repair,
 }
