@@ -13,6 +13,7 @@ from ..operators import decode, graph, scope
 from ..operators import files as file_rows
 from ..operators.incremental import latest_items
 from ..session import scratch_path
+from ..sinks import contract
 from ..sinks import landing as sink
 from ..sources import captured
 from ..sources import landing as source
@@ -345,9 +346,13 @@ def read_web_inventory(t: Tables) -> DataFrame:
     return captured.read_web_inventory(t.spark, _save(t.pages, F.col("page_id") / 5000, web, "webs")).select("title", "url")
 
 
-def _landing(t: Tables) -> str:
-    """A full run: decode, item records, both outputs, schemas, graph and a run report."""
-    root = scratch_path(t.spark, "landing")
+def _with_empty_list(lists: DataFrame) -> DataFrame:
+    named = {"guid": F.lit("{EMPTY}"), "title": F.lit("Empty"), "item_count": F.lit(0).cast("bigint"), "web_url": F.lit("http://farm/empty")}
+    return lists.unionByName(lists.limit(1).withColumns(named))
+
+
+def _run(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """A full run: raw records, decoded fields, field definitions, lists, one of them empty, and files."""
     fields, lists = order_fields(t), segment_lists(t)
     # Every fifth item was sent before, in an older version.
     sent = raw_orders(t).withColumn("page", F.lit(2))
@@ -357,8 +362,6 @@ def _landing(t: Tables) -> str:
     kept = latest_items(kept, ["page"]).drop("page")
     records = scope.build_items(kept, lists, keep_raw=True)
     decoded = decode.decode_items(kept, fields)
-    empty = lists.limit(1).select(F.lit("{EMPTY}").alias("guid"), F.lit("http://farm/empty").alias("web_url"))
-    all_lists = lists.select("guid", "web_url").unionByName(empty)
     named = records.select("doc_id", "web_url", "list_guid", "item_id")
     planned = file_rows.plan_files(kept, lists).filter(~F.col("needs_listing")).withColumn("bytes", F.lit(None).cast("bigint"))
     judged = file_rows.skip_policy(planned, "file_name", "bytes", 1_000_000, [EXCLUDED])
@@ -366,11 +369,38 @@ def _landing(t: Tables) -> str:
         "doc_id", "web_url", "list_guid", F.col("file_name").alias("filename"), "url", F.lit(None).cast("string").alias("local_path"),
         "bytes", F.lit(None).cast("string").alias("sha256"), F.lit(False).alias("downloaded"), "skip_reason",
     )
+    return records, decoded, fields, lists, _with_empty_list(lists), files
+
+
+def _landing(t: Tables) -> str:
+    """Both outputs and the schemas of a run."""
+    root = scratch_path(t.spark, "landing")
+    records, decoded, fields, lists, all_lists, files = _run(t)
     sink.write_landing(sink.contract_items(records.drop("raw"), decoded, fields), records, all_lists, root, files)
     sink.write_list_schemas(lists, fields, root)
     return root
 
 
+def _contract_documents(t: Tables, lists: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    fields = order_fields(t)
+    webs = scope.normalise_webs(lists.select(F.initcap(F.substring_index("web_url", "/", -1)).alias("title"), F.col("web_url").alias("url"), F.lit(0).alias("pos")))
+    return lists, fields, webs, graph.build_graph_nodes(lists), graph.build_graph_edges(lists, fields)
+
+
+def _contract(t: Tables) -> str:
+    """The same run laid out for other tools."""
+    root = scratch_path(t.spark, "contract")
+    records, decoded, fields, _, lists, files = _run(t)
+    contract.write_contract_landing(sink.contract_items(records, decoded, fields), *_contract_documents(t, lists), root, files)
+    return root
+
+
+def _documents_only(t: Tables) -> str:
+    root = scratch_path(t.spark, "documents")
+    contract.write_contract_documents(*_contract_documents(t, _with_empty_list(segment_lists(t))), root)
+    return root
+
+
 @query(
     "write_landing",
     """SELECT o_orderkey AS item_id, 'Order ' || o_orderkey AS title, o_custkey AS customer_id, c_name AS customer,
@@ -403,17 +433,64 @@ def landing_attachments(t: Tables) -> DataFrame:
 
 @query(
     "read_contract_landing",
-    """SELECT o_orderkey AS item_id, 'Order ' || o_orderkey AS title, lower(c_mktsegment) AS list_slug, true AS has_raw FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 101 <> 3""",
+    """WITH o AS (SELECT o_orderkey, o_custkey, c_name, c_mktsegment, length(c_mktsegment) % 2 = 1 AS library FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 101 <> 3)
+SELECT o_orderkey AS item_id, 'Order ' || o_orderkey AS title, lower(c_mktsegment) AS list_slug, 'Order ' || o_orderkey AS raw_title, o_custkey || ';#' || c_name AS raw_customer, 18 AS raw_attributes,
+  CASE WHEN library AND o_orderkey % 40 <> 0 THEN 1 WHEN NOT library AND o_orderkey % 6 = 0 THEN 2 ELSE 0 END AS files,
+  CASE WHEN library AND o_orderkey % 40 <> 0 THEN 'http://farm/sites/x/' || o_orderkey || '_.000' WHEN NOT library AND o_orderkey % 6 = 0 THEN 'http://farm/a/' || o_orderkey || '/log.txt' END AS first_url FROM o""",
 )
 def read_contract_landing(t: Tables) -> DataFrame:
-    """A landing moved to the paths of the contract and read from there."""
-    root = _landing(t)
-    sink.move_to_contract_layout(t.spark, root)
+    """Items, their files and their raw attributes from the paths of the contract, tied by item id."""
+    root = _contract(t)
     items = source.read_contract_items(t.spark, root).select(
-        "doc_id", "item_id", F.try_variant_get("fields", "$.Title", "string").alias("title"), "list_slug"
+        "item_id", F.try_variant_get("fields", "$.Title", "string").alias("title"), "list_slug", F.size("attachments").alias("files"), F.get("attachments", F.lit(0))["url"].alias("first_url")
     )
-    raw = source.read_contract_raw_items(t.spark, root).select(F.try_element_at("raw", F.lit("doc_id")).alias("doc_id"), F.lit(True).alias("has_raw"))
-    return items.join(raw, "doc_id", "left").drop("doc_id")
+    raw = source.read_contract_raw_items(t.spark, root)
+
+    def get(name: str) -> Column:
+        return F.try_element_at("raw", F.lit(name))
+
+    id_only = F.substring_index(get("ID"), ";#", 1).cast("bigint")
+    flat = raw.select(id_only.alias("item_id"), get("Title").alias("raw_title"), get("Customer").alias("raw_customer"), F.size("raw").alias("raw_attributes"))
+    return items.join(flat, "item_id")
+
+
+@query(
+    "contract_schemas",
+    """SELECT '{' || c_mktsegment || '}' AS list_guid, lower(c_mktsegment) AS slug, p.name, p.type FROM (SELECT DISTINCT c_mktsegment FROM customer JOIN orders ON o_custkey = c_custkey),
+(VALUES ('Title', 'Text'), ('Customer', 'Lookup'), ('Total', 'Currency'), ('Opened', 'DateTime'), ('Status', 'MultiChoice'), ('Priority', 'Choice'), ('Estimate', 'Calculated'), ('Closed', 'Boolean'),
+ ('Parent', 'Lookup'), ('Archive', 'LookupMulti')) AS p(name, type) UNION ALL SELECT '{EMPTY}', 'empty', NULL, NULL""",
+)
+def contract_schemas(t: Tables) -> DataFrame:
+    """``list.json`` of every list, also of the one without columns and items."""
+    from ..functions import names
+
+    lists, fields = source.read_contract_schemas(t.spark, _documents_only(t))
+    shown = lists.select(F.col("guid").alias("list_guid"), names.guid_slug(F.col("guid")).alias("slug"))
+    return shown.join(fields.select("list_guid", "name", "type"), "list_guid", "left")
+
+
+@query(
+    "contract_webs",
+    """SELECT lower(c_mktsegment) AS title, 'http://farm/sites/' || lower(c_mktsegment) AS url, 'farm_sites_' || lower(c_mktsegment) AS slug, CAST(1 AS BIGINT) AS list_count, '{' || c_mktsegment || '}' AS guid, count(*) AS item_count
+FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY c_mktsegment UNION ALL SELECT 'empty', 'http://farm/empty', 'farm_empty', 1, '{EMPTY}', 0""",
+)
+def contract_webs(t: Tables) -> DataFrame:
+    webs, lists = source.read_contract_webs(t.spark, _documents_only(t))
+    return webs.join(lists.select("web_id", "guid", "item_count"), "web_id").select(F.lower("title").alias("title"), "url", "slug", "list_count", "guid", "item_count")
+
+
+@query(
+    "contract_graph",
+    """WITH s AS (SELECT c_mktsegment, count(*) AS n FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY c_mktsegment)
+SELECT 'node' AS part, '{' || c_mktsegment || '}' AS list_guid, NULL AS field_name, n AS item_count, NULL AS multi, NULL AS self_reference, NULL AS dangling FROM s
+UNION ALL SELECT 'node', '{EMPTY}', NULL, 0, NULL, NULL, NULL
+UNION ALL SELECT 'edge', '{' || c_mktsegment || '}', p.f, NULL, p.m, p.s, p.d FROM s, (VALUES ('Customer', false, false, true), ('Parent', false, true, false), ('Archive', true, false, true)) AS p(f, m, s, d)""",
+)
+def contract_graph(t: Tables) -> DataFrame:
+    nodes, edges = source.read_contract_graph(t.spark, _documents_only(t))
+    flags = ["multi", "self_reference", "dangling"]
+    shown = nodes.select(F.lit("node").alias("part"), "list_guid", F.lit(None).cast("string").alias("field_name"), "item_count", *[F.lit(None).cast("boolean").alias(f) for f in flags])
+    return shown.unionByName(edges.select(F.lit("edge").alias("part"), F.col("source_list_guid").alias("list_guid"), "field_name", F.lit(None).cast("bigint").alias("item_count"), *flags))
 
 
 @query("landing_completeness", "SELECT count(*) AS raw_rows, CAST(0 AS BIGINT) AS one_sided, CAST(0 AS BIGINT) AS skipped FROM orders WHERE o_orderkey % 101 <> 3")

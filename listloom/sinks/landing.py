@@ -21,7 +21,8 @@ def contract_items(items: DataFrame, item_fields: DataFrame, list_fields: DataFr
     """Item records in their contract shape: fields as one object, and the names of the fields.
 
     An item has one row per column of its list, so the per-item maps are bounded by
-    the schema and not by the data. Attachments have an output of their own (``write_landing``).
+    the schema and not by the data. Attachments have an output of their own (``write_landing``) or
+    join the lines at the end (``contract.write_contract_landing``).
     Items that were sent more than once must be reduced to their last version first
     (``latest_items``); what is left twice here, with equal values or not, keeps one line per item.
     """
@@ -78,30 +79,6 @@ def write_landing(
         _write_lines(rows.select(body.alias("value"), *_PLACE), blanks, f"{root}/attachments")
 
 
-def move_to_contract_layout(spark: SparkSession, root: str) -> int:
-    """Give the item lines of ``root`` the paths of the contract: ``webs/{web}/lists/{list}/items.jsonl`` and ``items_raw.jsonl``.
-
-    Folders are renamed, one for each list; no line passes through the driver. The output of a list is a folder of that
-    name with its parts, which readers of such paths in Spark take as one file. The number of lists moved is returned.
-    """
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path
-    fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    moved = 0
-    for kind in ("items", "items_raw"):
-        for found in fs.globStatus(path(f"{root}/{kind}/web_slug=*/list_slug=*")) or []:
-            source = found.getPath()
-            web, own = source.getParent().getName().partition("=")[2], source.getName().partition("=")[2]
-            folder = path(f"{root}/webs/{web}/lists/{own}")
-            fs.mkdirs(folder)
-            target = path(folder, f"{kind}.jsonl")
-            fs.delete(target, True)
-            if not fs.rename(source, target):
-                raise OSError(f"{source} could not be moved")
-            moved += kind == "items"
-    return moved
-
-
 def write_list_schemas(lists: DataFrame, list_fields: DataFrame, root: str) -> None:
     """One JSON document per list with its fields in order."""
     columns = [c for c in list_fields.columns if c not in ("list_guid", "raw_attributes")]

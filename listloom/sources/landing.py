@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..scale import broadcast_if_small
-from ..session import load_if_there
+from ..session import load_if_there, scratch_path
 
 ITEM_SCHEMA = (
     "doc_id string, web_url string, web_id string, list_guid string, list_title string, item_id bigint, "
@@ -165,6 +165,44 @@ def read_contract_schemas(spark: SparkSession, root: str) -> tuple[DataFrame, Da
     return _schemas(reader.option("multiLine", "true").json(f"{root}/{CONTRACT_LISTS}/list.json"))
 
 
+def read_contract_webs(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """Webs with their number of lists, and the lists by web, from ``webs.json``."""
+    info = LIST_SCHEMA[LIST_SCHEMA.index("struct<") : LIST_SCHEMA.index(">,") + 1]
+    schema = f"count bigint, webs array<struct<web_id:string,title:string,url:string,slug:string,list_count:bigint,lists:array<{info}>>>"
+    webs = spark.read.schema(schema).option("multiLine", "true").json(f"{root}/webs.json").select(F.inline("webs"))
+    return webs.drop("lists"), webs.select("web_id", F.inline("lists"))
+
+
+def _visible(spark: SparkSession, path: str) -> str:
+    """A copy of a run's own document below the shared folder: Spark takes files whose names begin with ``_`` for hidden."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    copy = scratch_path(spark, "document")
+    there, here = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(copy)
+    jvm.org.apache.hadoop.fs.FileUtil.copy(there.getFileSystem(conf), there, here.getFileSystem(conf), here, False, conf)
+    return copy
+
+
+def read_contract_manifest(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The tables of ``read_manifests`` from ``_manifest.json``."""
+    return read_manifests(spark, _visible(spark, f"{root}/_manifest.json"))
+
+
+def read_contract_state(spark: SparkSession, root: str) -> DataFrame:
+    """The lists of ``read_states`` from ``_state.json``."""
+    return read_states(spark, _visible(spark, f"{root}/_state.json"))
+
+
+def read_contract_graph(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """Nodes and edges from ``_graph.json``."""
+    node = "list_guid:string,title:string,web_url:string,item_count:bigint,base_type:string,base_type_name:string"
+    edge = (
+        "source_list_guid:string,source_list_title:string,source_web_url:string,target_list_guid:string,target_list_title:string,"
+        "field_name:string,field_display_name:string,show_field:string,multi:boolean,self_reference:boolean,dangling:boolean"
+    )
+    docs = spark.read.schema(f"nodes array<struct<{node}>>, edges array<struct<{edge}>>").option("multiLine", "true").json(_visible(spark, f"{root}/_graph.json"))
+    return docs.select(F.inline("nodes")), docs.select(F.inline("edges"))
+
+
 def read_files(spark: SparkSession, path: str, pattern: Column | str | None = None) -> DataFrame:
     """File bytes with path and size, below ``path``."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")

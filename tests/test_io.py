@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from listloom import session
-from listloom.operators import decode, scope
+from listloom.operators import decode, graph, scope
 from listloom.operators.incremental import latest_per_key
+from listloom.sinks import contract
 from listloom.sinks import landing as sink
 from listloom.sources import captured
 from listloom.sources import landing as source
@@ -131,10 +132,89 @@ def test_contract_layout_is_read_and_written(spark, tmp_path):
     assert [r["raw"]["ows_ID"] for r in source.read_contract_raw_items(spark, root).collect()] == ["4"]
     lists, fields = source.read_contract_schemas(spark, root)
     assert [r["title"] for r in lists.collect()] == ["T"] and [r["name"] for r in fields.collect()] == ["A"]
-    own = str(tmp_path / "own")
-    sink.write_landing(*landing_inputs(spark, [("{A}", 1, "eins"), ("{B}", 1, "b")]), own)
-    assert sink.move_to_contract_layout(spark, own) == 2
-    assert {(r["list_slug"], r["item_id"]) for r in source.read_contract_items(spark, own).collect()} == {("a", 1), ("b", 1)}
+
+
+def contract_run(spark, rows, root, guids=("{A}", "{B}"), **more):
+    """Writes ``rows`` of two lists of a web to the contract's layout."""
+    _, records, lists = landing_inputs(spark, rows)
+    lists = lists.where(F.col("guid").isin(*guids))
+    fields = spark.createDataFrame([("{A}", 0, "Ref", "Bezug", "Lookup", "{B}", "Title", False)], "list_guid string, pos int, name string, display_name string, type string, lookup_list string, show_field string, mult boolean")
+    items = records.withColumns({"fields": F.parse_json(F.lit('{"Title":"x"}')), "field_display_names": F.create_map(F.lit("Ref"), F.lit("Bezug"))})
+    webs = spark.createDataFrame([("W", "http://sp/a", "id")], "title string, url string, web_id string")
+    lists = lists.withColumn("item_count", F.lit(1).cast("bigint"))
+    contract.write_contract_landing(items, lists, fields, webs, graph.build_graph_nodes(lists), graph.build_graph_edges(lists, fields), root, **more)
+    return items
+
+
+def test_contract_writer_lays_out_the_files_of_the_contract(spark, tmp_path):
+    root = str(tmp_path / "c")
+    files = spark.createDataFrame([("u2", "b.txt"), ("u1", "a.txt")], "url string, filename string")
+    extra = {"local_path": F.lit(None).cast("string"), "bytes": F.lit(3).cast("bigint"), "sha256": F.lit(None).cast("string"), "downloaded": F.lit(True), "skip_reason": F.lit(None).cast("string")}
+    doc = contract_run(spark, [("{A}", 2, "zwei"), ("{A}", 1, "eins")], root).where("item_id = 1").first()["doc_id"]
+    contract_run(spark, [("{A}", 2, "zwei"), ("{A}", 1, "eins")], root, attachments=files.withColumns({"doc_id": F.lit(doc), **extra}))
+    base = tmp_path / "c"
+    found = sorted(str(p.relative_to(base)) for p in base.rglob("*") if p.is_file() and not p.name.startswith("."))
+    own = "webs/sp_a/lists"
+    assert found == sorted(["_graph.json", f"{own}/a/items.jsonl", f"{own}/a/items_raw.jsonl", f"{own}/a/list.json", f"{own}/b/items.jsonl", f"{own}/b/items_raw.jsonl", f"{own}/b/list.json", "webs.json", "webs/sp_a/web.json"])
+    lines = [json.loads(x) for x in (base / own / "a" / "items.jsonl").read_text().splitlines()]
+    raw = [json.loads(x) for x in (base / own / "a" / "items_raw.jsonl").read_text().splitlines()]
+    assert [x["item_id"] for x in lines] == [1, 2] and [x["ID"] for x in raw] == ["1", "2"] and raw[0]["Title"] == "eins"
+    assert "raw" not in lines[0] and [[f["url"] for f in x["attachments"]] for x in lines] == [["u1", "u2"], []]
+    assert (base / own / "b" / "items.jsonl").read_text() == "" == (base / own / "b" / "items_raw.jsonl").read_text()
+    schema = json.loads((base / own / "a" / "list.json").read_text())
+    assert schema["list_info"]["guid"] == "{A}" and [f["name"] for f in schema["fields"]] == ["Ref"]
+    webs, web = json.loads((base / "webs.json").read_text()), json.loads((base / "webs" / "sp_a" / "web.json").read_text())
+    assert webs == {"webs": [web], "count": 1} and web["list_count"] == 2 and [x["guid"] for x in web["lists"]] == ["{A}", "{B}"]
+    drawn = json.loads((base / "_graph.json").read_text())
+    assert [n["list_guid"] for n in drawn["nodes"]] == ["{A}", "{B}"] and [(e["field_name"], e["dangling"]) for e in drawn["edges"]] == [("Ref", False)]
+    assert [(r["list_slug"], r["item_id"]) for r in source.read_contract_items(spark, root).orderBy("item_id").collect()] == [("a", 1), ("a", 2)]
+    assert {r["raw"]["Title"] for r in source.read_contract_raw_items(spark, root).collect()} == {"eins", "zwei"}
+    assert [r["slug"] for r in source.read_contract_webs(spark, root)[0].collect()] == ["sp_a"] and source.read_contract_graph(spark, root)[1].count() == 1
+
+
+def test_contract_writer_replaces_continues_and_splits(spark, tmp_path):
+    root = str(tmp_path / "c")
+
+    def ids(name="items.jsonl"):
+        rows = source.read_contract_items(spark, root) if name == "items.jsonl" else source.read_contract_raw_items(spark, root).select("list_slug", F.col("raw")["ID"].cast("bigint").alias("item_id"))
+        return sorted((r["list_slug"], r["item_id"]) for r in rows.collect())
+
+    contract_run(spark, [("{A}", 1, "x"), ("{B}", 7, "y")], root)
+    contract_run(spark, [("{A}", 2, "x")], root, guids=("{A}",))
+    assert ids() == [("a", 2), ("b", 7)]
+    contract_run(spark, [("{A}", 3, "x")], root, guids=("{A}",), resume=True)
+    contract_run(spark, [("{A}", 4, "x")], root, resume=True)
+    assert ids() == [("a", 2), ("a", 3), ("a", 4), ("b", 7)] == ids("raw")
+    many = [("{A}", i, "x") for i in range(2000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        contract_run(spark, many, root)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert ids() == [("a", i) for i in range(2000)] == ids("raw")
+    parts = sorted((tmp_path / "c" / "webs" / "sp_a" / "lists" / "a" / "items.jsonl").iterdir())
+    written = [json.loads(x)["item_id"] for p in parts if p.name.startswith("part") for x in p.read_text().splitlines()]
+    assert len(parts) > 1 and written == list(range(2000))
+
+
+def test_contract_writer_puts_nothing_in_place_when_a_task_fails(spark, tmp_path):
+    root = str(tmp_path / "c")
+    contract_run(spark, [("{A}", 1, "x")], root)
+    before = {p: p.read_text() for p in (tmp_path / "c").rglob("*") if p.is_file() and p.suffix != ".crc"}
+    rows = spark.range(0, 400, 1, 4).select(
+        F.lit("webs/sp_a/lists/a").alias("folder"), F.lit("items.jsonl").alias("file"), F.lit(None).cast("string").alias("section"),
+        F.when(F.col("id") < 399, "{}").otherwise(F.raise_error(F.lit("boom"))).alias("body"), F.lit("{}").alias("twin"),
+    )
+    with pytest.raises(Exception, match="boom"):
+        rows.write.format("contract_landing").mode("overwrite").save(root)
+    assert {p: p.read_text() for p in (tmp_path / "c").rglob("*") if p.is_file() and p.suffix != ".crc"} == before
+    assert not list((tmp_path / "c").glob("_staging*"))
+
+
+def test_stores_of_the_contract_writer():
+    assert contract.open_store("/a/b")[1] == contract.open_store("file:/a/b")[1] == contract.open_store("file:///a/b")[1] == "/a/b"
+    with pytest.raises(ValueError, match="viewfs"):
+        contract.open_store("viewfs://x/a")
 
 
 def test_damaged_lines_are_skipped_and_counted(spark, tmp_path):
@@ -163,6 +243,10 @@ def test_run_documents(spark, tmp_path):
     path = put(tmp_path / "s" / "bad.json", "{")
     got = {r["list_guid"]: (r["status"], r["last_item_id"]) for r in source.read_states(spark, path).collect()}
     assert got == {"{A}": ("failed", 7), "{B}": ("complete", None)}
+    put(tmp_path / "run" / "_manifest.json", json.dumps(manifest, indent=2))
+    put(tmp_path / "run" / "_state.json", json.dumps(state, indent=2))
+    assert source.read_contract_manifest(spark, str(tmp_path / "run"))["runs"].count() == 1
+    assert source.read_contract_state(spark, str(tmp_path / "run")).count() == 2
 
 
 def test_snapshots(spark, tmp_path):
