@@ -19,6 +19,8 @@ MODEL_TERMS = 20_000
 # Terms of the sample that may enter the model, and those that are paired with one another.
 SAMPLE_TERMS = 1 << 19
 PAIR_TERMS = 4096
+# The sample reaches the driver in so many slices.
+SAMPLE_SLICES = 8
 
 # Words end at ASCII characters other than letters and digits.
 BREAKS = bytes(b for b in range(128) if not chr(b).isalnum())
@@ -225,17 +227,24 @@ def residual_pairs(
     # Terms of nearly all texts pair with nothing; a pair in fewer texts than ``errors`` is never clear.
     frequent = np.flatnonzero((sample.counts < 0.95 * len(r)) & (sample.counts >= errors))
     frequent = np.sort(frequent[np.argsort(-sample.counts[frequent], kind="stable")[:common]])
-    column, step = np.full(len(sample.counts), -1, dtype=np.int32), 256
+    column, step = np.full(len(sample.counts), -1, dtype=np.int32), 128
     column[frequent] = np.arange(len(frequent), dtype=np.int32)
-    has = np.zeros((len(r), len(frequent)), dtype=bool)
-    for i, _, row, at in sample.parts():
+    # One bit per text and frequent term; a block of terms is unpacked when its turn comes.
+    has = np.zeros((len(r), -(-len(frequent) // 8)), dtype=np.uint8)
+    for i, j, row, at in sample.parts(1 << 18):
         there = column[at] >= 0
-        has[i + row[there], column[at[there]]] = True
+        some = np.zeros((j - i, len(frequent)), dtype=bool)
+        some[row[there], column[at[there]]] = True
+        has[i:j] = np.packbits(some, axis=1)
+
+    def block(a: int) -> np.ndarray:
+        return np.unpackbits(has[:, a // 8 : -(-min(a + step, len(frequent)) // 8)], axis=1, count=min(step, len(frequent) - a)).astype(np.float32)
+
     for a in range(0, len(frequent), step):
-        left = has[:, a : a + step].astype(np.float32)
+        left = block(a)
         pulled, weighed = (left * r[:, None].astype(np.float32)).T, (left * weight[:, None].astype(np.float32)).T
         for b in range(a, len(frequent), step):
-            right = left if a == b else has[:, b : b + step].astype(np.float32)
+            right = left if a == b else block(b)
             sums, weights = pulled @ right, weighed @ right
             i, j = np.nonzero(np.abs(sums) >= errors * np.sqrt(np.maximum(weights, 0.01)))
             note(frequent[a + i], frequent[b + j], sums[i, j].astype(np.float64), weights[i, j].astype(np.float64))
@@ -354,8 +363,10 @@ def fit(
             at = pa.array(np.concatenate(lists) if lists else np.empty(0, dtype=np.int32), type=pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), at)], names=["label", "at"])
 
-    # Checked bound: the texts of the sample, at most so many terms of each as the vocabulary has.
-    sample = _in_order(terms.mapInArrow(places, "label int, at array<int>").toArrow(), counts)
+    # Checked bound: the texts of the sample, at most so many terms of each as the vocabulary has; in slices.
+    placed = stored(terms.mapInArrow(places, "label int, at array<int>"), "toxicity-places")
+    slot = F.pmod(F.xxhash64("at"), F.lit(SAMPLE_SLICES))
+    sample = _in_order((placed.where(slot == i).toArrow() for i in range(SAMPLE_SLICES)), counts)
     active, said, alone = linear_terms(sample)
     first, second, z = residual_pairs(sample, active, said, pair_terms)
     # Terms with a weight of their own first, then those of the clearest pairs, then those that others stand for.
@@ -364,23 +375,44 @@ def fit(
     used = np.sort(at[np.argsort(place, kind="stable")[:model_terms]])
     inside = np.isin(first, used) & np.isin(second, used)
     start = pair_factors(len(used), np.searchsorted(used, first[inside]), np.searchsorted(used, second[inside]), z[inside])
-    part = sample.only(used)
+    part, labels_of, sample = sample.only(used), sample.labels, None
     texts = [part.at[a:b] for a, b in zip(part.bounds[:-1], part.bounds[1:], strict=True)]
-    model = train(texts, sample.labels, codes[used], np.ones(len(used)), start=start)
+    model = train(texts, labels_of, codes[used], np.ones(len(used)), start=start)
     return Model(model.terms, model.values, model.bias + prior - float(np.log(p / n)), model.linear, model.factors)
 
 
-def _in_order(rows: pa.Table, counts: np.ndarray) -> Sample:
-    """The texts by label and a hash of their places, so that the order they arrive in changes nothing."""
-    lists = rows.column("at").combine_chunks()
-    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-    labels = rows.column("label").to_numpy().astype(np.float64)
-    bounds = np.asarray(lists.offsets).astype(np.int64)
-    at = np.asarray(lists.values)
-    marks = np.array([np.bitwise_xor.reduce(mix(at[a:b] + 1), initial=np.uint64(0)) for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
-    order = np.lexsort((marks, labels))
-    moved = np.concatenate([at[bounds[i] : bounds[i + 1]] for i in order])
-    return Sample(moved, np.concatenate([[0], np.cumsum(np.diff(bounds)[order])]), labels[order], counts)
+def _in_order(slices_of_rows: Iterator[pa.Table], counts: np.ndarray) -> Sample:
+    """The texts by label and a hash of their places, so that the order they arrive in changes nothing.
+
+    Slices come one after another and are dropped before the next, so the driver holds the sample twice at most.
+    """
+    kept: list[np.ndarray] = []
+    labels, sizes, marks = [], [], []
+    for rows in slices_of_rows:
+        for batch in rows.to_batches():
+            lists = batch.column(batch.schema.get_field_index("at"))
+            bounds = np.asarray(lists.offsets).astype(np.int64)
+            at = np.array(lists.values, dtype=np.int32)
+            ends = bounds - bounds[0]
+            at = at[bounds[0] : bounds[-1]]
+            kept.append(at)
+            sizes.append(np.diff(ends))
+            labels.append(batch.column(batch.schema.get_field_index("label")).to_numpy().astype(np.float64))
+            marks.append(np.array([np.bitwise_xor.reduce(mix(at[a:b] + 1), initial=np.uint64(0)) for a, b in zip(ends[:-1], ends[1:], strict=True)], dtype=np.uint64))
+        del rows
+    label, size, mark = (np.concatenate(x) for x in (labels, sizes, marks))
+    order = np.lexsort((mark, label))
+    bounds = np.concatenate([[0], np.cumsum(size[order])])
+    start = np.empty(len(order), dtype=np.int64)
+    start[order] = bounds[:-1]
+    moved, text = np.empty(int(bounds[-1]), dtype=np.int32), 0
+    kept.reverse()
+    for own in sizes:
+        at, a = kept.pop(), 0
+        for n in own:
+            moved[start[text] : start[text] + n] = at[a : a + n]
+            text, a = text + 1, a + int(n)
+    return Sample(moved, bounds, label[order], counts)
 
 
 def wanted_places(wanted: np.ndarray, codes: np.ndarray) -> np.ndarray:
