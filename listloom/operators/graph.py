@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from functools import reduce
-from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -77,61 +76,84 @@ def graph_summary(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
+def _anchored(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Urls with one parent, each with the nearest url above that has several or none, and how far up that is.
+
+    Every round doubles the way that a url looks up, so rounds follow the logarithm of the depth. Urls that only a
+    circle leads to never get there and are left out. Second result: the urls with several parents.
+    """
+    parents = pairs.groupBy("child").agg(F.count(F.lit(1)).alias("n"), F.min("parent").alias("parent"))
+    counted = materialise(parents)
+    joints = counted.filter("n > 1").select(F.col("child").alias("url"))
+    single = counted.filter("n = 1").select(F.col("child").alias("url"), F.col("parent").alias("above"), F.lit(1).cast("bigint").alias("far"))
+    total = single.count()
+    reached, looking = [], single
+    # ``step`` says for every url where it looks; those that have arrived stay in it.
+    step = single
+    for _ in range(total.bit_length() + 1):
+        next_ = broadcast_if_small(step.select(F.col("url").alias("above"), F.col("above").alias("_above"), F.col("far").alias("_far")))
+        moved = materialise(looking.join(next_, "above", "left").select("url", "above", "far", "_above", "_far"))
+        done = moved.filter("_above IS NULL").select("url", "above", "far")
+        looking = moved.filter("_above IS NOT NULL").select("url", F.col("_above").alias("above"), (F.col("far") + F.col("_far")).alias("far"))
+        reached.append(done)
+        if looking.isEmpty():
+            break
+        step = reduce(DataFrame.unionByName, reached).unionByName(looking)
+    return reduce(DataFrame.unionByName, reached), joints
+
+
+def _depths(pairs: DataFrame, root: str) -> DataFrame:
+    """Least number of steps from the root to each url it leads to."""
+    start = pairs.sparkSession.range(1).select(F.lit(root).alias("url"), F.lit(0).cast("bigint").alias("depth"))
+    anchored, joints = _anchored(pairs)
+    known = start
+    if not joints.isEmpty():
+        # Steps between urls with several parents: from the anchor of a parent, or from a parent that is one itself.
+        into = pairs.join(broadcast_if_small(joints), pairs["child"] == joints["url"], "left_semi")
+        far = into.join(anchored, into["parent"] == anchored["url"], "left")
+        ways = far.select(F.coalesce("above", "parent").alias("a"), "child", (F.coalesce("far", F.lit(0)) + 1).alias("w"))
+        ways = materialise(ways.groupBy("a", "child").agg(F.min("w").alias("w")))
+        frontier = start
+        while not frontier.isEmpty():
+            found = ways.join(broadcast_if_small(frontier), F.col("a") == F.col("url")).groupBy("child").agg(F.min(F.col("depth") + F.col("w")).alias("depth"))
+            best = known.select(F.col("url").alias("child"), F.col("depth").alias("_before"))
+            better = found.join(best, "child", "left").filter("_before IS NULL OR depth < _before")
+            frontier = materialise(better.select(F.col("child").alias("url"), "depth"))
+            known = materialise(known.unionByName(frontier).groupBy("url").agg(F.min("depth").alias("depth")))
+    tops = broadcast_if_small(known.select(F.col("url").alias("above"), F.col("depth").alias("_top")))
+    return known.unionByName(anchored.join(tops, "above").select("url", (F.col("_top") + F.col("far")).alias("depth")))
+
+
 def walk_hierarchy(
     edges: DataFrame, root: str, unreadable: DataFrame | None = None, max_depth: int | None = None
 ) -> DataFrame:
-    """Breadth-first walk over parent to child urls; every url once, so cycles end.
+    """The webs that a breadth-first walk from parent to child urls meets; every url once, so cycles end.
 
     ``edges`` has ``parent``, ``child``, ``title`` and ``pos``; ``unreadable`` has
-    ``url``. Without ``max_depth`` the whole tree is walked. The edges of a level are stored
-    once, for its titles and for the next level, so each level reads ``edges`` once and the
-    plan does not grow with the depth; while a level is small they are read without a shuffle.
-    The result has ``url``, ``title``, ``depth`` and ``status``: ``read``,
+    ``url``. Without ``max_depth`` the whole tree is walked. Depths are not found level by level: a url with one parent
+    looks up ever longer ways (pointer doubling), and only urls with several parents are compared in rounds of their
+    own. Then one join gives the titles: of a url found with several, the one of the highest parent, lowest in
+    ``parent`` and ``pos`` among equals. The result has ``url``, ``title``, ``depth`` and ``status``: ``read``,
     ``unreadable`` (subtree lost) or ``depth_limit`` (not visited further).
     """
     spark = edges.sparkSession
-    lost = (
-        unreadable.select("url").distinct().withColumn("_lost", F.lit(True))
-        if unreadable is not None
-        else spark.createDataFrame([], "url string, _lost boolean")
-    )
+    lost = (unreadable.select("url") if unreadable is not None else spark.createDataFrame([], "url string")).distinct()
     if unreadable is not None and not lost.filter(F.col("url") == root).isEmpty():
         raise ValueError(f"the root {root} is unreadable")
-    frontier = spark.range(1).select(
-        F.lit(root).alias("url"), F.lit("").alias("title"), F.lit(0).alias("depth"), F.lit("read").alias("status")
-    )
-    levels, titles = [frontier], []
-    for depth in count(1) if max_depth is None else range(1, max_depth + 1):
-        open_ = frontier.filter(F.col("status") == "read").select(F.col("url").alias("parent"))
-        found = materialise(edges.select("parent", "child", "title", "pos").join(broadcast_if_small(open_), "parent"))
-        titled = found.filter(F.coalesce(F.col("title"), F.lit("")) != "").groupBy("child").agg(
-            F.min(F.struct(F.lit(depth).alias("depth"), "parent", "pos", "title")).alias("best")
-        )
-        titles.append(titled)
-        seen = reduce(DataFrame.unionByName, levels).select("url")
-        fresh = found.select(F.col("child").alias("url")).distinct()
-        fresh = fresh.join(seen, "url", "left_anti").join(lost, "url", "left")
-        frontier = materialise(
-            fresh.select(
-                "url",
-                F.lit("").alias("title"),
-                F.lit(depth).alias("depth"),
-                F.when(F.col("_lost"), "unreadable")
-                .when(F.lit(max_depth is not None and depth >= max_depth), "depth_limit")
-                .otherwise("read")
-                .alias("status"),
-            )
-        )
-        if frontier.isEmpty():
-            break
-        levels.append(frontier)
-    best = (
-        reduce(DataFrame.unionByName, titles)
-        .groupBy(F.col("child").alias("url"))
-        .agg(F.min("best").getField("title").alias("_title"))
-    )
-    walked = reduce(DataFrame.unionByName, levels).join(best, "url", "left")
-    return walked.select("url", F.coalesce("_title", "title").alias("title"), "depth", "status")
+    shut = broadcast_if_small(lost)
+    open_ = edges.join(shut, edges["parent"] == shut["url"], "left_anti").select("parent", "child", "title", "pos")
+    steps = open_.filter((F.col("parent") != F.col("child")) & (F.col("child") != root))
+    depths = _depths(materialise(steps.select("parent", "child").distinct()), root)
+    if max_depth is not None:
+        depths = depths.filter(F.col("depth") <= max_depth)
+    depths = materialise(depths)
+    cut = F.lit(False) if max_depth is None else F.col("depth") >= max_depth
+    visited = depths.filter(~cut).select(F.col("url").alias("parent"), (F.col("depth") + 1).alias("_at"))
+    titled = open_.filter(F.coalesce(F.col("title"), F.lit("")) != "").join(visited, "parent")
+    best = titled.groupBy(F.col("child").alias("url")).agg(F.min(F.struct("_at", "parent", "pos", "title")).alias("_b"))
+    marked = depths.join(shut.withColumn("_lost", F.lit(True)), "url", "left").join(best, "url", "left")
+    status = F.when(F.col("_lost"), "unreadable").when(cut & (F.col("depth") > 0), "depth_limit").otherwise("read")
+    return marked.select("url", F.coalesce("_b.title", F.lit("")).alias("title"), F.col("depth").cast("int").alias("depth"), status.alias("status"))
 
 
 def walk_summary(walked: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -176,10 +178,18 @@ def access_details(list_access: DataFrame) -> DataFrame:
 
 
 def file_census(attachments: DataFrame, name: str, by: str, item: str) -> DataFrame:
-    """Files by list and kind, and the distinct items that carry one."""
-    return attachments.groupBy(F.col(by).alias("list"), names.file_kind(F.col(name)).alias("kind")).agg(
-        F.count(F.lit(1)).alias("files"), F.countDistinct(item).alias("items")
+    """Files and distinct items that carry one: by list and kind, by list, by kind and over all.
+
+    ``level`` tells them apart; ``list`` and ``kind`` are NULL where a level runs over all of them. One pass over the
+    files for all levels. ``item`` has to tell items of different lists apart. A list of NULL is a list of its own.
+    """
+    rows = attachments.select(F.col(by).alias("list"), names.file_kind(F.col(name)).alias("kind"), F.col(item).alias("_item"))
+    both = [F.col("list"), F.col("kind")]
+    counted = rows.groupingSets([both, both[:1], both[1:], []], *both).agg(
+        F.grouping_id().alias("_level"), F.count(F.lit(1)).alias("files"), F.countDistinct("_item").alias("items")
     )
+    level = F.element_at(F.array(*[F.lit(x) for x in ("list and kind", "list", "kind", "all")]), (F.col("_level") + 1).cast("int"))
+    return counted.select(level.alias("level"), "list", "kind", "files", "items")
 
 
 def error_report(run_errors: DataFrame) -> DataFrame:
@@ -202,13 +212,43 @@ def require_ingestible(counts: DataFrame) -> None:
         raise ValueError(f"{row['lists_failed']} lists failed; the run must not be ingested")
 
 
-def traffic_report(request_log: DataFrame) -> DataFrame:
-    """Requests, bytes, time, wait and rows per second by operation and status."""
-    return request_log.groupBy("operation", "status").agg(
+# Rank error of a quantile from a sketch of this size, with 99 % confidence; a sketch takes some kilobytes.
+SKETCH_SIZE = 800
+SKETCH_ERROR = 0.01
+
+
+def traffic_sketches(request_log: DataFrame, by: Sequence[str] = ("operation", "status")) -> DataFrame:
+    """Sums and a KLL sketch of the durations per group; rows of finer groups, days say, can be merged later."""
+    return request_log.groupBy(*by).agg(
         F.count(F.lit(1)).alias("requests"),
         _sum("bytes").alias("bytes"),
         F.sum("duration").alias("duration"),
         F.coalesce(F.sum("wait"), F.lit(0.0)).alias("wait"),
-        F.percentile_approx("duration", 0.5).alias("median_duration"),
-        F.try_divide(F.sum("rows"), F.sum("duration")).alias("rows_per_second"),
+        F.sum("rows").alias("rows"),
+        F.count("duration").alias("timed"),
+        F.kll_sketch_agg_double(F.col("duration").cast("double"), SKETCH_SIZE).alias("durations"),
     )
+
+
+def merge_traffic(sketches: DataFrame, by: Sequence[str] = ("operation", "status"), quantile: float = 0.5) -> DataFrame:
+    """The traffic report from sketches of equal or finer groups.
+
+    ``median_duration`` is a duration whose rank is within ``SKETCH_ERROR`` of the middle; it is NULL where no request was timed.
+    """
+    merged = sketches.groupBy(*by).agg(
+        F.sum("requests").alias("requests"),
+        F.sum("bytes").alias("bytes"),
+        F.sum("duration").alias("duration"),
+        F.sum("wait").alias("wait"),
+        F.sum("rows").alias("rows"),
+        F.sum("timed").alias("timed"),
+        F.kll_merge_agg_double("durations").alias("durations"),
+    )
+    middle = F.when(F.col("timed") > 0, F.kll_sketch_get_quantile_double("durations", F.lit(quantile)))
+    speed = F.try_divide(F.col("rows"), F.col("duration"))
+    return merged.select(*by, "requests", "bytes", "duration", "wait", middle.alias("median_duration"), speed.alias("rows_per_second"))
+
+
+def traffic_report(request_log: DataFrame) -> DataFrame:
+    """Requests, bytes, time, wait, median duration and rows per second by operation and status."""
+    return merge_traffic(traffic_sketches(request_log))

@@ -171,19 +171,29 @@ def change_stream(t: Tables) -> DataFrame:
     return feeds.current_rows(spark, table).select("item_id", "title")
 
 
-_REFUSED = 3
+# Pages are dealt to so many lists; every second one is refused in the middle of its feed.
+_FEEDS = 4
 
 
 @query(
     "change_stream_refused",
-    """WITH feed AS (SELECT user_id AS item_id, event_type AS title, event_type = 'error' AS gone, event_id // 100 AS page, event_id FROM events WHERE event_id // 100 < 3),
-latest AS (SELECT * FROM feed QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY page DESC, gone, event_id DESC) = 1),
-rows AS (SELECT c_custkey AS item_id, c_mktsegment AS title FROM customer WHERE c_custkey NOT IN (SELECT item_id FROM latest) UNION ALL SELECT item_id, title FROM latest WHERE NOT gone)
-SELECT 'one file a batch' AS run, * FROM rows UNION ALL SELECT 'one batch', * FROM rows""",
+    f"""WITH p AS (SELECT user_id AS item_id, event_type AS title, event_type = 'error' AS gone, event_id // 100 AS page, event_id, (event_id // 100) % {_FEEDS} AS list FROM events),
+stops AS (SELECT list, median_page AS stop FROM (SELECT list, min(page) + (max(page) - min(page)) // 2 AS median_page FROM p GROUP BY list) WHERE list % 2 = 1),
+feed AS (SELECT p.* FROM p LEFT JOIN stops USING (list) WHERE stop IS NULL OR page < stop),
+latest AS (SELECT * FROM feed QUALIFY row_number() OVER (PARTITION BY list, item_id ORDER BY page DESC, gone, event_id DESC) = 1),
+base AS (SELECT l AS list, c_custkey AS item_id, c_mktsegment AS title FROM customer, range({_FEEDS}) AS r(l)),
+rows AS (SELECT list, item_id, title FROM base ANTI JOIN latest USING (list, item_id) UNION ALL SELECT list, item_id, title FROM latest WHERE NOT gone)
+SELECT 'few files a batch' AS run, 'L' || list AS list_guid, item_id, title FROM rows UNION ALL SELECT 'one batch', 'L' || list, item_id, title FROM rows""",
 )
 def change_stream_refused(t: Tables) -> DataFrame:
-    """A refused token ends the list at its page, however the pages are cut into batches."""
-    base = t.customer.select(F.lit("{E}").alias("list_guid"), F.col("c_custkey").alias("item_id"), F.col("c_mktsegment").alias("title"))
+    """Four lists in one feed, two of them refused half-way: these end at that page, however the pages are cut into batches."""
+    guid = F.concat(F.lit("L"), (_token_page(F.col("last_change_token")) % _FEEDS).cast("string"))
+    lists = t.spark.range(_FEEDS).select(F.concat(F.lit("L"), F.col("id").cast("string")).alias("list_guid"))
+    base = t.customer.select(F.col("c_custkey").alias("item_id"), F.col("c_mktsegment").alias("title")).join(F.broadcast(lists), F.lit(True)).select("list_guid", "item_id", "title")
+    page = F.floor(F.col("event_id") / 100).cast("bigint")
+    ends = t.events.groupBy((page % _FEEDS).alias("list")).agg(F.min(page).alias("a"), F.max(page).alias("b")).collect()  # one row a list
+    refused = [r["a"] + (r["b"] - r["a"]) // 2 for r in ends if r["list"] % 2 == 1]
+    # A stop falls on a page of its own list, or on the next one.
     files = _change_files(t)
 
     def shape(rows: DataFrame) -> DataFrame:
@@ -192,13 +202,16 @@ def change_stream_refused(t: Tables) -> DataFrame:
     def load(per_batch: int | None, run: str) -> DataFrame:
         table = scratch_path(t.spark, "table")
         sink.publish_snapshot(base, table)
-        pages = feeds.stream_change_pages(t.spark, files, CHANGE_COLUMNS, F.lit("{E}"), per_batch)
-        pages = pages.withColumn("page_no", _token_page(F.col("last_change_token")))
-        pages = pages.withColumn("token_invalid", F.col("page_no") == _REFUSED)
+        pages = feeds.stream_change_pages(t.spark, files, CHANGE_COLUMNS, guid, per_batch).withColumn("page_no", _token_page(F.col("last_change_token")))
+        number = F.col("page_no")
+        half = F.lit(False)
+        for r, stop in zip([r for r in ends if r["list"] % 2 == 1], refused):
+            half = half | ((number % _FEEDS == r["list"]) & (number >= stop) & (number < stop + _FEEDS))
+        pages = pages.withColumn("token_invalid", half)
         feeds.change_stream(pages, table, scratch_path(t.spark, "progress"), shape).awaitTermination()
-        return feeds.current_rows(t.spark, table).select(F.lit(run).alias("run"), "item_id", "title")
+        return feeds.current_rows(t.spark, table).select(F.lit(run).alias("run"), "list_guid", "item_id", "title")
 
-    return load(1, "one file a batch").unionByName(load(None, "one batch"))
+    return load(4, "few files a batch").unionByName(load(None, "one batch"))
 
 
 @query("page_stream", _ROWSET_SQL)

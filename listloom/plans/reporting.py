@@ -91,8 +91,9 @@ def file_kind(t: Tables) -> DataFrame:
 
 @query(
     "file_census",
-    f"""WITH {_FILES_SQL} SELECT source AS list, CASE doc_id % 6 WHEN 0 THEN 'document' WHEN 1 THEN 'archive' WHEN 3 THEN 'text' WHEN 4 THEN 'image' ELSE 'other' END AS kind,
-  count(*) AS files, count(DISTINCT n_chars) AS items FROM files GROUP BY ALL""",
+    f"""WITH {_FILES_SQL}, k AS (SELECT source AS list, CASE doc_id % 6 WHEN 0 THEN 'document' WHEN 1 THEN 'archive' WHEN 3 THEN 'text' WHEN 4 THEN 'image' ELSE 'other' END AS kind, n_chars FROM files)
+SELECT CASE GROUPING(list) * 2 + GROUPING(kind) WHEN 0 THEN 'list and kind' WHEN 1 THEN 'list' WHEN 2 THEN 'kind' ELSE 'all' END AS level, list, kind, count(*) AS files, count(DISTINCT n_chars) AS items
+FROM k GROUP BY GROUPING SETS ((list, kind), (list), (kind), ())""",
 )
 def file_census(t: Tables) -> DataFrame:
     return reports.file_census(_files(t), "name", "source", "n_chars")
@@ -362,14 +363,21 @@ def error_report(t: Tables) -> DataFrame:
 @query(
     "traffic_report",
     """SELECT event_type AS operation, CASE WHEN event_id % 10 = 0 THEN 500 ELSE 200 END AS status, count(*) AS requests, CAST(sum(user_id) AS BIGINT) AS bytes,
-  CAST(sum(event_id % 8 / 4) AS DOUBLE) AS duration, CAST(coalesce(sum(CASE WHEN event_id % 3 = 0 THEN 0.5 END), 0) AS DOUBLE) AS wait,
-  CAST(round(sum(user_id % 7) / sum(event_id % 8 / 4), 6) AS DOUBLE) AS rows_per_second FROM events GROUP BY ALL""",
+  CAST(sum(event_id % 997 / 4) AS DOUBLE) AS duration, CAST(coalesce(sum(CASE WHEN event_id % 3 = 0 THEN 0.5 END), 0) AS DOUBLE) AS wait,
+  CAST(round(sum(user_id % 7) / sum(event_id % 997 / 4), 6) AS DOUBLE) AS rows_per_second, true AS median_is_near FROM events GROUP BY ALL""",
 )
 def traffic_report(t: Tables) -> DataFrame:
+    """Sketched by day, merged; the rank of each median in its group's durations tells whether it is within the stated error."""
     e = F.col("event_id")
     log = t.events.select(
         F.col("event_type").alias("operation"), F.when(e % 10 == 0, 500).otherwise(200).alias("status"), F.col("user_id").alias("bytes"),
-        ((e % 8) / 4).alias("duration"), F.when(e % 3 == 0, F.lit(0.5)).alias("wait"), (F.col("user_id") % 7).alias("rows"),
+        ((e % 997) / 4).alias("duration"), F.when(e % 3 == 0, F.lit(0.5)).alias("wait"), (F.col("user_id") % 7).alias("rows"), F.to_date("ts").alias("day"),
     )
-    out = reports.traffic_report(log)
-    return out.withColumn("rows_per_second", F.round("rows_per_second", 6)).drop("median_duration")
+    out = reports.merge_traffic(reports.traffic_sketches(log, ["operation", "status", "day"]))
+    medians = F.broadcast(out.select("operation", "status", "median_duration"))  # a row for each kind of request
+    below = F.avg((F.col("duration") < F.col("median_duration")).cast("double")).alias("_below")
+    upto = F.avg((F.col("duration") <= F.col("median_duration")).cast("double")).alias("_upto")
+    ranks = log.join(medians, ["operation", "status"]).groupBy("operation", "status").agg(below, upto)
+    near = (F.col("_below") - reports.SKETCH_ERROR <= 0.5) & (F.col("_upto") + reports.SKETCH_ERROR >= 0.5)
+    judged = out.join(ranks, ["operation", "status"]).withColumn("median_is_near", near)
+    return judged.withColumn("rows_per_second", F.round("rows_per_second", 6)).drop("median_duration", "_below", "_upto")

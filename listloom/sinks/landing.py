@@ -159,3 +159,17 @@ def read_snapshot(spark: SparkSession, table: str) -> DataFrame:
     if last is None:
         raise ValueError(f"nothing published below {table}")
     return spark.read.parquet(last["path"])
+
+
+def prune_versions(spark: SparkSession, table: str, keep: int = 2) -> None:
+    """Delete all but the newest ``keep`` versions, pointers first; readers of the newest one are never disturbed."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(table).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    pointers = {int(f.getPath().getName().partition("=")[2]): f.getPath() for f in fs.globStatus(path(f"{table}/_versions/version=*")) or []}
+    old = sorted(pointers)[:-keep]
+    for version in old:
+        fs.delete(pointers[version], True)
+    for data in fs.globStatus(path(f"{table}/data/*")) or []:
+        if int(data.getPath().getName().partition("-")[0]) in old:
+            fs.delete(data.getPath(), True)

@@ -11,8 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.incremental import KEY, apply_latest, latest_per_key
 from ..scale import broadcast_if_small
-from ..session import load_if_there
-from ..sinks.landing import current_version, publish_snapshot, read_snapshot
+from ..session import materialise
+from ..sinks.landing import current_version, prune_versions, publish_snapshot, read_snapshot
 from ..sources import captured
 
 
@@ -62,20 +62,25 @@ def change_stream(
 
     A page with an invalid token ends its list: that page and later ones, of this batch or
     any other one, are left out until the list has been reloaded (``lists_to_reload``,
-    ``note_reload`` after ``compact``), in whatever order the pages came. A batch owns its directories, so a replay replaces them and the base
-    is not rewritten per batch. ``current_rows`` reads base and log, ``compact`` folds the
-    log in. ``shape`` turns change rows into the columns of the table. Table and checkpoint
-    belong together.
+    ``note_reload`` after ``compact``), in whatever order the pages came. A batch owns its directory, so a replay replaces it and the base
+    is not rewritten per batch. What a batch reads besides its pages is the table of stopped lists, which only batches
+    with a refused token rewrite, so its cost does not follow the number of batches run. ``current_rows`` reads base and log,
+    ``compact`` folds the log in and deletes it. ``shape`` turns change rows into the columns of the table. Table and
+    checkpoint belong together.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            stops = batch.filter("token_invalid").groupBy("list_guid").agg(F.min(captured.page_key()).alias("stop"))
-            stops.write.mode("overwrite").parquet(f"{table}/reload/batch_id={batch_id}")
-            known = _stopped(batch.sparkSession, table, batch_id)
-            joined = batch.join(broadcast_if_small(known.select("list_guid", "stop")), "list_guid", "left")
-            good = joined.filter(F.col("stop").isNull() | (captured.page_key() < F.col("stop"))).drop("stop")
+            spark = batch.sparkSession
+            refused = batch.filter("token_invalid")
+            if not refused.isEmpty():
+                _note_stops(spark, table, refused.groupBy("list_guid").agg(F.min(captured.page_key()).alias("stop")), batch_id)
+            known = _stopped(spark, table, batch_id)
+            good = batch
+            if known is not None:
+                joined = batch.join(broadcast_if_small(known.select("list_guid", "stop")), "list_guid", "left")
+                good = joined.filter(F.col("stop").isNull() | (captured.page_key() < F.col("stop"))).drop("stop")
             rows = shape(captured.change_rows(good, F.col("list_guid")))
             _last_of_page(rows).write.mode("overwrite").parquet(f"{table}/changes/batch_id={batch_id}")
         finally:
@@ -97,42 +102,70 @@ def _last_of_page(rows: DataFrame) -> DataFrame:
 def _before_stops(spark: SparkSession, table: str, log: DataFrame) -> DataFrame:
     """Logged changes of pages in front of the refused page of their list."""
     seq = log.schema["seq"].dataType
-    if not isinstance(seq, T.StructType) or "page" not in seq.names:
+    known = _stopped(spark, table)
+    if known is None or not isinstance(seq, T.StructType) or "page" not in seq.names:
         return log
-    stops = broadcast_if_small(_stopped(spark, table).select("list_guid", "stop"))
-    joined = log.join(stops, "list_guid", "left")
+    joined = log.join(broadcast_if_small(known.select("list_guid", "stop")), "list_guid", "left")
     return joined.filter(F.col("stop").isNull() | (F.col("seq.page") < F.col("stop"))).drop("stop")
 
 
+_STOPS = "list_guid string, stop struct<page_no:bigint,path:string>, batch_id int"
+
+
+def _stops_table(table: str) -> str:
+    return f"{table}/stops"
+
+
+def _stops(spark: SparkSession, table: str) -> DataFrame | None:
+    """Refused pages that no reload has settled: a row for each list and batch; ``None`` before the first one."""
+    if current_version(spark, _stops_table(table)) is None:
+        return None
+    return read_snapshot(spark, _stops_table(table))
+
+
+def _publish_stops(spark: SparkSession, table: str, stops: DataFrame) -> None:
+    # Stored first: the rows come from the version before, which is pruned.
+    publish_snapshot(materialise(stops), _stops_table(table))
+    prune_versions(spark, _stops_table(table))
+
+
+def _note_stops(spark: SparkSession, table: str, found: DataFrame, batch_id: int) -> None:
+    """Add the stops of a batch; a replay of the batch replaces its own."""
+    rows = found.select("list_guid", "stop", F.lit(batch_id).alias("batch_id"))
+    before = _stops(spark, table)
+    _publish_stops(spark, table, rows if before is None else before.filter(F.col("batch_id") != batch_id).unionByName(rows))
+
+
 def lists_to_reload(spark: SparkSession, table: str, after_batch: int = -1) -> DataFrame:
     """Lists whose token was refused, with the last batch that says so.
 
     Lists noted as reloaded are left out. Pass the batch of the previous reload as ``after_batch`` to
     see only what came since.
     """
-    return _stopped(spark, table).filter(F.col("batch_id") > after_batch).select("list_guid", "batch_id")
+    known = _stopped(spark, table)
+    if known is None:
+        known = spark.createDataFrame([], _STOPS)
+    return known.filter(F.col("batch_id") > after_batch).select("list_guid", "batch_id")
 
 
 def note_reload(spark: SparkSession, table: str, reloaded: DataFrame) -> None:
     """Note lists that were read in full again: ``list_guid`` and the ``batch_id`` of ``lists_to_reload``."""
-    reloaded.select("list_guid", F.col("batch_id").cast("int")).write.mode("append").parquet(f"{table}/reloaded")
+    stops = _stops(spark, table)
+    if stops is None:
+        return
+    done = broadcast_if_small(reloaded.groupBy("list_guid").agg(F.max("batch_id").alias("_done")))
+    left = stops.join(done, "list_guid", "left").filter(F.col("_done").isNull() | (F.col("batch_id") > F.col("_done")))
+    _publish_stops(spark, table, left.drop("_done"))
 
 
-_STOPS = "list_guid string, stop struct<page_no:bigint,path:string>, batch_id int"
-
-
-def _stopped(spark: SparkSession, table: str, last_batch: int | None = None) -> DataFrame:
+def _stopped(spark: SparkSession, table: str, last_batch: int | None = None) -> DataFrame | None:
     """Lists that are stopped: their first refused page since the last reload, and the last batch that says so."""
-    log = load_if_there(spark.read.schema(_STOPS), f"{table}/reload", "parquet")
-    if log is None:
-        return spark.createDataFrame([], _STOPS)
+    stops = _stops(spark, table)
+    if stops is None:
+        return None
     if last_batch is not None:
-        log = log.filter(F.col("batch_id") <= last_batch)
-    done = load_if_there(spark.read, f"{table}/reloaded", "parquet")
-    if done is not None:
-        upto = done.groupBy("list_guid").agg(F.max("batch_id").alias("_done"))
-        log = log.join(upto, "list_guid", "left").filter(F.col("_done").isNull() | (F.col("batch_id") > F.col("_done")))
-    return log.groupBy("list_guid").agg(F.min("stop").alias("stop"), F.max("batch_id").alias("batch_id"))
+        stops = stops.filter(F.col("batch_id") <= last_batch)
+    return stops.groupBy("list_guid").agg(F.min("stop").alias("stop"), F.max("batch_id").alias("batch_id"))
 
 
 def _folded(spark: SparkSession, table: str) -> int:
@@ -141,26 +174,75 @@ def _folded(spark: SparkSession, table: str) -> int:
     return -1 if last is None or last["batch_id"] is None else last["batch_id"]
 
 
-def _pending(spark: SparkSession, table: str, after_batch: int, part: str = "changes") -> DataFrame | None:
-    log = load_if_there(spark.read, f"{table}/{part}", "parquet")
-    return None if log is None else log.filter(F.col("batch_id") > after_batch)
+def _applied_table(table: str) -> str:
+    return f"{table}/applied"
+
+
+def _pending(spark: SparkSession, table: str, keys: Sequence[str]) -> DataFrame | None:
+    """The last change of each key that the base does not have yet.
+
+    A change that arrives after one of a later page was folded in is dropped: ``applied`` keeps the place of the last
+    change of every key, of deleted ones too. A change of that very place is applied again, with the same result.
+    """
+    log = _log(spark, table)
+    if log is None:
+        return None
+    last = latest_per_key(_before_stops(spark, table, log.filter(F.col("batch_id") > _folded(spark, table))), keys)
+    if current_version(spark, _applied_table(table)) is None:
+        return last
+    done = read_snapshot(spark, _applied_table(table)).select(*keys, F.col("seq").alias("_applied"))
+    joined = last.join(done, list(keys), "left")
+    return joined.filter(F.col("_applied").isNull() | (F.col("seq") >= F.col("_applied"))).drop("_applied")
 
 
 def current_rows(spark: SparkSession, table: str, keys: Sequence[str] = KEY) -> DataFrame:
     """The table with all logged changes applied, the last one per key by feed order.
 
-    ``seq`` orders the whole log, so pages of one log may arrive in any order.
+    ``seq`` orders the whole feed, so pages may arrive in any order, before and after ``compact``.
     """
     base = read_snapshot(spark, table)
-    log = _pending(spark, table, _folded(spark, table))
-    return base if log is None else apply_latest(base, latest_per_key(_before_stops(spark, table, log), keys), keys)
+    pending = _pending(spark, table, keys)
+    return base if pending is None else apply_latest(base, pending, keys)
 
 
 def compact(spark: SparkSession, table: str, keys: Sequence[str] = KEY) -> int:
-    """Publish base plus log as the new base."""
-    log = load_if_there(spark.read, f"{table}/changes", "parquet")
+    """Publish base plus log as the new base, then delete the folded batches and old versions.
+
+    The places of the changes are published before the base: whatever a crash leaves, a second call ends with the same table.
+    """
+    log = _log(spark, table)
     top = None if log is None else log.agg(F.max("batch_id")).first()[0]
-    return publish_snapshot(current_rows(spark, table, keys), table, top)
+    pending = _pending(spark, table, keys)
+    if pending is not None:
+        places = pending.select(*keys, "seq")
+        if current_version(spark, _applied_table(table)) is not None:
+            places = latest_per_key(read_snapshot(spark, _applied_table(table)).unionByName(places), keys)
+        publish_snapshot(places, _applied_table(table))
+    # Of an empty log the base keeps the batch it had.
+    version = publish_snapshot(current_rows(spark, table, keys), table, _folded(spark, table) if top is None else top)
+    _drop_batches(spark, table, _folded(spark, table))
+    for versioned in (table, _applied_table(table)):
+        prune_versions(spark, versioned)
+    return version
+
+
+def _batches(spark: SparkSession, table: str) -> dict[int, object]:
+    """Folders of the change log by batch."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table}/changes/batch_id=*")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {int(f.getPath().getName().partition("=")[2]): f.getPath() for f in fs.globStatus(folder) or []}
+
+
+def _log(spark: SparkSession, table: str) -> DataFrame | None:
+    """The change log, ``None`` where all batches are folded in or none has come."""
+    return spark.read.parquet(f"{table}/changes") if _batches(spark, table) else None
+
+
+def _drop_batches(spark: SparkSession, table: str, upto: int) -> None:
+    """Delete the folders of batches that the base contains."""
+    for batch, path in _batches(spark, table).items():
+        if batch <= upto:
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def live_threads(children: DataFrame, event_time: str, keys: Sequence[str], delay: str) -> DataFrame:

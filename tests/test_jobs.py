@@ -1,5 +1,9 @@
 """Joins, graph, change feeds, text and reports on tiny tables."""
 
+import bisect
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,6 +127,53 @@ def test_file_plan(spark):
     assert got == [(1, "a b.pdf", False), (3, "1.txt", False), (3, "2_.txt", False), (4, None, True)]
 
 
+def test_walk_of_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(graph, "materialise", lambda df, kept=graph.materialise: rounds.append(1) or kept(df))
+    n = 100_000
+    up = F.col("id").cast("string").alias("parent")
+    chain = spark.range(n).select(up, (F.col("id") + 1).cast("string").alias("child"), F.concat(F.lit("t"), F.col("id")).alias("title"), F.lit(0).alias("pos"))
+    walked = graph.walk_hierarchy(chain, "0")
+    summary = graph.walk_summary(walked).first()
+    assert (summary["webs"], summary["depth_reached"], summary["complete"]) == (n + 1, n, True)
+    assert len(rounds) <= 22
+    assert walked.where(f"url = '{n}'").first()["title"] == f"t{n - 1}"
+
+
+def plain_walk(edges, root, lost, limit):
+    """Breadth first, level by level: depth and status, and the best title of each url."""
+    depth, level, titles = {root: 0}, [root], {}
+    while level:
+        found = []
+        for p in level:
+            if p in lost or (limit is not None and depth[p] >= limit):
+                continue
+            for parent, child, title, pos in edges:
+                if parent == p:
+                    if title:
+                        titles.setdefault(child, []).append((depth[p] + 1, parent, pos, title))
+                    if child not in depth:
+                        depth[child] = depth[p] + 1
+                        found.append(child)
+        level = found
+    status = {u: "unreadable" if u in lost else "depth_limit" if limit is not None and d >= limit else "read" for u, d in depth.items()}
+    return {(u, min(titles[u])[3] if u in titles else "", d, status[u]) for u, d in depth.items()}
+
+
+def test_walks_of_odd_hierarchies(spark):
+    """Several parents, circles, self edges, urls nothing leads to."""
+    draw = random.Random(3)
+    tree = [(str(draw.randrange(max(0, i - 3), i)), str(i), draw.choice(["", None, f"t{i}"]), i) for i in range(1, 40)]
+    more = [(str(draw.randrange(40)), str(draw.randrange(40)), draw.choice(["", "z", "a"]), -draw.randrange(9)) for _ in range(8)]
+    circle = [("x", "y", "", 1), ("y", "x", "", 1), ("q", "r", "", 1), ("5", "5", "self", 1), ("7", "0", "root", 2)]
+    lone = [("m", "n", "", 1), ("n", "o", "", 1), ("o", "n", "", 1)]
+    for rows, lost, limit in ((tree, [], None), (tree + more + circle, ["4"], None), (more + circle + lone, [], None), (tree + more, ["6", "9"], 5), ([], [], None)):
+        edges = spark.createDataFrame(rows, "parent string, child string, title string, pos bigint")
+        closed = spark.createDataFrame([(u,) for u in lost], "url string")
+        got = {tuple(r) for r in graph.walk_hierarchy(edges, "0", closed, limit).collect()}
+        assert got == plain_walk(rows, "0", lost, limit)
+
+
 def test_redaction_is_longest_first_and_nested(spark):
     forms = text.secret_forms(["s3cret!", "ab", ""], "user")
     assert forms == sorted(forms, key=lambda f: (-len(f), f)) and "ab" not in forms and len(forms) == 5
@@ -136,6 +187,51 @@ def test_redaction_is_longest_first_and_nested(spark):
     assert got["v"] == '{"k ***REDACTED***":["x ***REDACTED***",1]}' and got["keys"] == {"***REDACTED***": 1}
 
 
+def test_many_secrets_are_one_pattern_in_one_pass(spark):
+    draw = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJ0123456789.*+?()[]{}|^$\\/-_ é𝄞"
+    secrets = sorted({"".join(draw.choice(letters) for _ in range(draw.randrange(3, 12))) for _ in range(1000)})
+    secrets += [s[:-1] for s in secrets[:50] if len(s) > 4] + ["aaa", "aaaa", "aaaab"]
+    texts = ["".join(draw.choice([*secrets, *letters]) for _ in range(30)) for _ in range(200)] + ["aaaaab aaa", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, a string").coalesce(1)
+    forms = text.secret_forms(secrets)
+    plain = re.compile("|".join(re.escape(f) for f in sorted(forms, key=len, reverse=True)))
+    out = text.redact(df, secrets)
+    got = {r["i"]: r["a"] for r in out.collect()}
+    assert got == {i: x if x is None else plain.sub("***REDACTED***", x) for i, x in enumerate(texts)}
+    assert not any(f in x.replace("***REDACTED***", "\n") for x in got.values() if x for f in forms)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 1 and "replace(replace(" not in plan
+    assert text.longest_of(["ab", "abc", "abd", "x"]) == "(?:ab(?:c|d)?|x)"
+    assert text.redact(df, ["a"]).exceptAll(df).isEmpty()
+
+
+def test_census_at_every_level(spark):
+    rows = [("A", "x.pdf", 1), ("A", "y.pdf", 1), ("A", "z.zip", 2), ("B", "w.pdf", 3), (None, "v.pdf", 4)]
+    df = spark.createDataFrame(rows, "list string, name string, item int")
+    got = {(r["level"], r["list"], r["kind"]): (r["files"], r["items"]) for r in reports.file_census(df, "name", "list", "item").collect()}
+    assert got == {
+        ("list and kind", "A", "document"): (2, 1), ("list and kind", "A", "archive"): (1, 1), ("list and kind", "B", "document"): (1, 1), ("list and kind", None, "document"): (1, 1),
+        ("list", "A", None): (3, 2), ("list", "B", None): (1, 1), ("list", None, None): (1, 1), ("kind", None, "document"): (4, 3), ("kind", None, "archive"): (1, 1), ("all", None, None): (5, 4),
+    }
+
+
+def test_median_of_merged_sketches(spark):
+    log = spark.range(50_000).select(
+        F.when(F.col("id") % 5 == 0, "a").otherwise("b").alias("operation"), F.lit(200).alias("status"), (F.col("id") % 7).alias("day"), F.lit(1).alias("bytes"), F.lit(2).alias("rows"),
+        F.when(F.col("id") % 11 != 0, F.pow(F.col("id") / 1000, 2)).alias("duration"), F.lit(None).cast("double").alias("wait"),
+    )
+    idle = log.limit(3).withColumns({"operation": F.lit("c"), "duration": F.lit(None).cast("double")})
+    sketches = reports.traffic_sketches(log.unionByName(idle), ["operation", "status", "day"])
+    got = {r["operation"]: r for r in reports.merge_traffic(sketches).collect()}
+    assert got["c"]["median_duration"] is None and got["c"]["requests"] == 3
+    for name in "ab":
+        ranked = sorted(r["duration"] for r in log.where(F.col("operation") == name).collect() if r["duration"] is not None)
+        place = bisect.bisect(ranked, got[name]["median_duration"]) / len(ranked)
+        assert abs(place - 0.5) <= reports.SKETCH_ERROR
+        assert got[name]["requests"] == {"a": 10_000, "b": 40_000}[name]
+
+
 def test_payload_windows(spark):
     bodies = [
         (" ", "empty"), ("x" * 503 + "<html", "html_page"), ("x" * 509 + "<html", "not_an_envelope"), ("x" * 8184 + "envelope", "envelope_without_result"),
