@@ -160,3 +160,12 @@ REDACTED = "***REDACTED***"
 MIN_SECRET = 3
 
 UNKNOWN_OPERATION_MARKER = "did not recognize the value of http header soapaction"
+
+# Patterns of the wire format: an escaped character of a column name, a feed date, what may not stand in the
+# folder name of a web and in a file name, the start of a fault and a whole one (both whatever the case).
+ESCAPED_CHARACTER = r"_x([0-9A-Fa-f]{4})_"
+FEED_DATE = r"^/Date\((-?\d+)(?:([+-])(\d{2})(\d{2}))?\)/$"
+UNSAFE_IN_SLUG = r"[^0-9a-zA-Z._-]+"
+UNSAFE_IN_FILE_NAME = r'[<>:"/\\|?*\x00-\x1f]'
+FAULT_START = r"<\s*(?:[a-z0-9_.-]+:)?fault(?:string)?[\s>/]"
+FAULT = r"<(?:[\w.-]+:)?Fault(?:\s[^>]*)?>(.*?)</(?:[\w.-]+:)?Fault\s*>"

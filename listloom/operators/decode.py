@@ -193,16 +193,21 @@ def value_variant(item_fields: DataFrame) -> DataFrame:
     return item_fields.withColumn("value", value)
 
 
-def verify_datetimes(item_fields: DataFrame, list_fields: DataFrame, items: DataFrame) -> DataFrame:
-    """Wire text beside the decoded instant for every date column of every item."""
+def verify_datetimes(item_fields: DataFrame, list_fields: DataFrame, lists: DataFrame) -> DataFrame:
+    """Wire text beside the decoded instant for every date column of every item, with a link to the item.
+
+    Column names and links come from the lists' own small tables: the fields are not shuffled.
+    """
     dated = item_fields.filter(
         (F.col("wire_type").isin(fixed.DATETIME_TYPES) | F.col("field").isin("Created", "Modified"))
         & F.col("raw").isNotNull()
     )
     shown = list_fields.select("list_guid", F.col("name").alias("field"), "display_name")
+    form = names.display_form(F.col("web_url"), F.col("default_view_url"), F.col("root_folder"), F.col("base_type") == "1")
+    forms = lists.select(F.col("guid").alias("list_guid"), form.alias("_form"))
     return (
         dated.join(broadcast_if_small(shown), ["list_guid", "field"], "left")
-        .join(items.select("list_guid", "item_id", "display_url"), ["list_guid", "item_id"], "left")
+        .join(broadcast_if_small(forms), "list_guid", "left")
         .select(
             "list_guid",
             "item_id",
@@ -210,7 +215,7 @@ def verify_datetimes(item_fields: DataFrame, list_fields: DataFrame, items: Data
             F.coalesce("display_name", "field").alias("display_name"),
             F.col("raw").alias("raw_wire_value"),
             wire.instant_to_json(F.col("v_ts")).alias("decoded_utc"),
-            "display_url",
+            F.concat("_form", F.col("item_id").cast("string")).alias("display_url"),
         )
     )
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed, names, wire
 from ..scale import broadcast_if_small
+from ..stores import open_store
 
 
 def plan_files(raw_items: DataFrame, lists: DataFrame) -> DataFrame:
@@ -78,6 +81,44 @@ def hash_inventory(binary: DataFrame) -> DataFrame:
     )
 
 
+# Files up to this size are read whole by Spark, larger ones are streamed in parts.
+WHOLE_BYTES = 64 * 1024 * 1024
+PART_BYTES = 8 * 1024 * 1024
+
+
+def stream_digest(path: str, part_bytes: int = PART_BYTES) -> tuple[int, str]:
+    """Bytes and SHA-256 of a file of any size, one part in memory at a time."""
+    store, place = open_store(path)
+    sha, size = hashlib.sha256(), 0
+    with store.open_input_stream(place) as stream:
+        while part := stream.read(part_bytes):
+            sha.update(part)
+            size += len(part)
+    return size, sha.hexdigest()
+
+
+def hash_files(spark: SparkSession, path: str, pattern: str | None = None, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
+    """``path, bytes, sha256`` of all files below ``path``, of those too that do not fit a row.
+
+    Spark lists the files without reading them. Those up to ``whole_bytes`` go through ``hash_inventory``; larger ones are dealt
+    out one by one and streamed in parts by the task that has them. A folder without files gives no rows.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if pattern is not None:
+        reader = reader.option("pathGlobFilter", pattern)
+    found = reader.load(path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                size, digest = stream_digest(name)
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([size], pa.int64()), pa.array([digest])], names=["path", "bytes", "sha256"])
+
+    # Dealt by a hash of the path, so that a task does not get all large files of a folder.
+    large = found.filter(F.col("length") > whole_bytes).select("path").repartition("path")
+    return hash_inventory(found.filter(F.col("length") <= whole_bytes)).unionByName(large.mapInArrow(run, "path string, bytes bigint, sha256 string"))
+
+
 def duplicates_by_content(hashed: DataFrame) -> DataFrame:
     """Contents stored more than once: how often, and the first path. Groups are never collected."""
     return (

@@ -184,12 +184,20 @@ def advance_state(
     )
 
 
-def append_schema_report(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key column that the stored or the incoming rows lack, and which of them does."""
-    sides = [("stored", existing.columns), ("incoming", incoming.columns)]
-    missing = [F.struct(F.lit(k).alias("key"), F.lit(side).alias("side")) for k in keys for side, columns in sides if k not in columns]
-    rows = F.array(*missing) if missing else F.array().cast("array<struct<key:string,side:string>>")
-    return existing.sparkSession.range(1).select(F.inline(rows))
+def append_schema_report(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], by: str = "list_guid") -> DataFrame:
+    """Rows of each collection without a value for a key column, on either side: such rows cannot be told from new ones.
+
+    A column that a side does not have counts as absent in all its rows. One row per collection, key and side that has any;
+    ``rows`` says how many of ``of_rows``.
+    """
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        gone = [F.count(F.lit(1)) if k not in df.columns else F.count_if(F.col(f"`{k}`").isNull()) for k in keys]
+        entries = F.array(*[F.struct(F.lit(k).alias("key"), n.alias("rows")) for k, n in zip(keys, gone)])
+        counted = df.groupBy(by).agg(F.count(F.lit(1)).alias("of_rows"), entries.alias("_e"))
+        return counted.select(by, F.lit(name).alias("side"), "of_rows", F.inline("_e"))
+
+    return side(existing, "stored").unionByName(side(incoming, "incoming")).filter(F.col("rows") > 0).select(by, "key", "side", "rows", "of_rows")
 
 
 def check_append_schema(existing: DataFrame, incoming: DataFrame, key: str) -> None:
@@ -222,11 +230,43 @@ def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
     return F.sha2(F.to_json(F.struct(*parts), {"ignoreNullFields": "false"}), 256)
 
 
-def snapshot_diff(before: DataFrame, after: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Keys added, removed or changed between two runs, compared by digests of whole rows."""
+# Buckets of keys whose digests two snapshots compare first.
+DIFF_BUCKETS = 1 << 14
+
+
+def bucket_digests(df: DataFrame, key: str, columns: Sequence[str], buckets: int = DIFF_BUCKETS) -> DataFrame:
+    """``bucket`` and 128 bits that depend on all keys and rows in it but not on their order; combined on the map side."""
+    digest = row_digest(df, columns)
+    rows = df.select(_bucket(F.col(f"`{key}`"), buckets).alias("bucket"), *[F.xxhash64(F.lit(seed), F.col(f"`{key}`"), digest).alias(f"_h{seed}") for seed in (1, 2)])
+    # Sums of halves do not overflow and, other than exclusive or, tell rows that come twice.
+    halves = [h for seed in (1, 2) for h in (F.col(f"_h{seed}").bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned(f"_h{seed}", 32))]
+    return rows.groupBy("bucket").agg(F.array(F.count(F.lit(1)), *[F.sum(h) for h in halves]).alias("digest"))
+
+
+def _bucket(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def snapshot_diff(before: DataFrame, after: DataFrame, key: str = "doc_id", buckets: int = DIFF_BUCKETS) -> DataFrame:
+    """Keys added, removed or changed between two runs, compared by digests of whole rows.
+
+    Digests of key buckets are compared first, so equal runs of any size shuffle nothing else; rows are compared in buckets
+    that differ only.
+    """
     columns = sorted(c for c in before.columns if c != key)
-    a = before.select(key, row_digest(before, columns).alias("_a"))
-    b = after.select(key, row_digest(after, columns).alias("_b"))
+    old = bucket_digests(before, key, columns, buckets).withColumnRenamed("digest", "_old")
+    new = bucket_digests(after, key, columns, buckets).withColumnRenamed("digest", "_new")
+    # At most one row a bucket.
+    differing = materialise(old.join(new, "bucket", "full").filter(~F.col("_old").eqNullSafe(F.col("_new"))).select("bucket"))
+    if differing.isEmpty():
+        return before.select(key, F.lit("").alias("change")).limit(0)
+    some = broadcast_if_small(differing)
+
+    def picked(df: DataFrame, name: str) -> DataFrame:
+        rows = df.withColumn("_bucket", _bucket(F.col(f"`{key}`"), buckets))
+        return rows.join(some, rows["_bucket"] == some["bucket"], "left_semi").select(key, row_digest(df, columns).alias(name))
+
+    a, b = picked(before, "_a"), picked(after, "_b")
     change = (
         F.when(F.col("_a").isNull(), "added").when(F.col("_b").isNull(), "removed").when(F.col("_a") != F.col("_b"), "changed")
     )

@@ -174,7 +174,8 @@ def show_labels(items: DataFrame, item_fields: DataFrame, edges: DataFrame) -> D
 def resolve_lookups(item_fields: DataFrame, edges: DataFrame, labels: DataFrame, depth: int = 1) -> DataFrame:
     """Every lookup reference with the current label of its target, joined on id only.
 
-    ``depth`` > 1 follows the targets' own lookups; ``level`` says how far a row is.
+    ``depth`` > 1 follows the targets' own lookups; ``level`` says how far a row is. An item that leads to the same target
+    by the same fields in several ways has one row for it, so ways do not multiply from level to level.
     The label side has one row per target, so a hot id skews only the reference
     side, which is split at run time.
     """
@@ -226,6 +227,8 @@ def resolve_lookups(item_fields: DataFrame, edges: DataFrame, labels: DataFrame,
             F.col("_tg").alias("target_list_guid"), F.col("_ti").alias("target_id"),
             F.col("_s").alias("show_field"), F.col("_l").alias("stored_label"),
         )
+        way = ["list_guid", "item_id", "field", "target_list_guid", "target_id", "show_field"]
+        reached = reached.groupBy(*way).agg(F.min("pos").alias("pos"), F.min("stored_label").alias("stored_label"))
         out = out.unionByName(labelled(reached, level))
     return out
 

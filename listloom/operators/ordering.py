@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..scale import HOT_ROWS, broadcast_if_small, global_index, rank_within
+from ..session import materialise
 
 
 def assign_pages(
@@ -54,14 +55,22 @@ def accepted_pages(pages: DataFrame, keys: Sequence[str], start: int = 0, keep_s
     return joined.filter(F.col("stalled_page").isNull() | (F.col("page_no") < limit)).drop("stalled_page")
 
 
+# Spark keeps the first rows of each group before the shuffle up to this rank by default.
+MAP_SIDE_RANKS = 1000
+
+
 def stratified_pick(files: DataFrame, kind: str, order: str, n: int) -> DataFrame:
     """Round robin over the kinds in first-seen order, ``n`` rows in all.
 
-    Rows are ranked within their kind, a large kind over many tasks.
+    A task passes on the first ``n`` rows of each kind it has, so what is shuffled follows ``n``, not the table. For more than
+    ``MAP_SIDE_RANKS`` rows a large kind is ranked over many tasks.
     """
     first = files.groupBy(kind).agg(F.min(order).alias("first_seen"))
-    nearest = rank_within(files, [kind], [F.col(order)], "turn").filter(F.col("turn") <= n)
-    return nearest.join(first, kind).orderBy("turn", "first_seen").limit(n)
+    if n <= MAP_SIDE_RANKS:
+        turns = files.withColumn("turn", F.row_number().over(Window.partitionBy(kind).orderBy(order)))
+    else:
+        turns = rank_within(files, [kind], [F.col(order)], "turn")
+    return turns.filter(F.col("turn") <= n).join(first, kind).orderBy("turn", "first_seen").limit(n)
 
 
 def spread_sample(rows: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
@@ -80,7 +89,8 @@ def unique_file_names(
     Numbers already used by original names are skipped: the d-th copy takes the
     d-th free number, which is its rank among copies and used numbers together.
     """
-    ranked = rank_within(files, [item, name], [F.col(order)], "_copy", hot_rows)
+    # Three rankings and the result read it.
+    ranked = materialise(rank_within(files, [item, name], [F.col(order)], "_copy", hot_rows))
     firsts = ranked.filter(F.col("_copy") == 1)
     pattern = r"(?s)^(.*)\((\d{1,9})\)(\.[^.]*)?$"
     used = firsts.select(

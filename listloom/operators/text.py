@@ -76,8 +76,8 @@ def _unescape_xml(c: Column) -> Column:
     return c
 
 
-_FAULT = r"(?i)<\s*(?:[a-z0-9_.-]+:)?fault(?:string)?[\s>/]"
-_FAULT_BODY = r"(?is)<(?:[\w.-]+:)?Fault(?:\s[^>]*)?>(.*?)</(?:[\w.-]+:)?Fault\s*>"
+_FAULT = f"(?i){fixed.FAULT_START}"
+_FAULT_BODY = f"(?is){fixed.FAULT}"
 
 
 def extract_faults(pages: DataFrame, body: str = "body", head: int | None = None) -> DataFrame:

@@ -235,6 +235,82 @@ def live_threads(t: Tables) -> DataFrame:
     return spark.read.parquet(out)
 
 
+@query(
+    "live_children",
+    """WITH p AS (SELECT event_id AS ticket, user_id, ts FROM events WHERE event_type = 'signup'),
+c AS (SELECT event_id AS comment, user_id, ts FROM events WHERE event_type <> 'signup')
+SELECT ticket, p.user_id, comment FROM p LEFT JOIN c ON c.user_id = p.user_id AND c.ts >= p.ts - INTERVAL 10 MINUTE AND c.ts <= p.ts + INTERVAL 6 HOUR""",
+)
+def live_children(t: Tables) -> DataFrame:
+    """Signups with the user's other events around them, both as streams whose rows come in any order."""
+    spark = t.spark
+    events = t.events.select("event_id", "user_id", F.col("event_type") == "signup", F.col("ts").cast("timestamp").alias("ts")).toDF("event_id", "user_id", "opens", "ts")
+    # A last row far ahead says on both sides that all is in.
+    end = events.agg(F.max("ts").alias("ts")).select(F.lit(-1).cast("bigint").alias("event_id"), F.lit(-1).cast("bigint").alias("user_id"), (F.col("ts") + F.expr("INTERVAL 90 DAYS")).alias("ts"))
+
+    def arriving(rows: DataFrame, key: str, at: str) -> DataFrame:
+        path = scratch_path(spark, key)
+        shown = [F.col("event_id").alias(key), F.col("user_id").alias(f"{key}_user"), F.col("ts").alias(at)]
+        rows.select(*shown).repartition(4, F.xxhash64("event_id")).write.parquet(f"{path}/part=0")
+        end.select(*shown).coalesce(1).write.parquet(f"{path}/part=1")
+        return spark.readStream.schema(f"{key} bigint, {key}_user bigint, {at} timestamp").option("latestFirst", "false").parquet(f"{path}/part=*")
+
+    tickets, comments = arriving(events.filter("opens"), "ticket", "opened"), arriving(events.filter("NOT opens"), "comment", "said")
+    # The delay covers the whole table, since files of one stream come in any order.
+    live = feeds.live_children(tickets, comments, "ticket_user", "comment_user", "opened", "said", "60 days", "10 MINUTES", "6 HOURS")
+    out = scratch_path(spark, "live")
+    job = live.select("ticket", F.col("ticket_user").alias("user_id"), "comment").writeStream.format("parquet").option("path", out)
+    job.option("checkpointLocation", scratch_path(spark, "progress")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("ticket bigint, user_id bigint, comment bigint").parquet(out).filter("ticket >= 0")
+
+
+def _documents_of(t: Tables, body: Column, name: str, grouped: DataFrame) -> str:
+    """One JSON document per row, each a file of its own."""
+    path = scratch_path(t.spark, name)
+    grouped.select(F.col("n_nationkey").alias("file"), body.alias("value")).repartition("file").write.partitionBy("file").text(path)
+    return path
+
+
+@query(
+    "read_states",
+    """SELECT '{C-' || c_custkey || '}' AS list_guid, 'http://farm/' || c_nationkey AS web_url, CASE c_custkey % 3 WHEN 0 THEN 'complete' WHEN 1 THEN 'failed' ELSE 'in_progress' END AS status,
+  c_custkey * 10 AS last_item_id, CASE WHEN c_custkey % 3 = 1 THEN 'timeout' END AS error FROM customer WHERE c_nationkey % 10 <> 9""",
+)
+def read_states(t: Tables) -> DataFrame:
+    """A state document per nation with its customers as lists; those of some nations are damaged."""
+    k = F.col("c_custkey")
+    entry = F.struct(
+        F.concat(F.lit("http://farm/"), F.col("c_nationkey").cast("string")).alias("web_url"), F.when(k % 3 == 0, "complete").when(k % 3 == 1, "failed").otherwise("in_progress").alias("status"),
+        (k * 10).alias("last_item_id"), F.when(k % 3 == 1, "timeout").alias("error"),
+    )
+    guid = F.concat(F.lit("{C-"), k.cast("string"), F.lit("}"))
+    grouped = t.customer.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.map_from_entries(F.collect_list(F.struct(guid, entry))).alias("lists"))
+    whole = F.to_json(F.struct("lists"))
+    body = F.when(F.col("n_nationkey") % 10 == 9, F.substr(whole, F.lit(1), F.length(whole) - 5)).otherwise(whole)
+    return source.read_states(t.spark, _documents_of(t, body, "states", grouped)).select("list_guid", "web_url", "status", "last_item_id", "error")
+
+
+@query(
+    "read_manifests",
+    """SELECT 'count' AS part, c_mktsegment AS key, 'run ' || c_nationkey AS command, count(*) AS n FROM customer WHERE c_nationkey % 10 <> 9 GROUP BY ALL
+UNION ALL SELECT 'error', '{C-' || c_custkey || '}', 'run ' || c_nationkey, 1 FROM customer WHERE c_nationkey % 10 <> 9 AND c_custkey % 7 = 0
+UNION ALL SELECT 'warning', 'large', 'run ' || n_nationkey, 1 FROM nation WHERE n_nationkey % 10 <> 9 AND n_nationkey IN (SELECT c_nationkey FROM customer)""",
+)
+def read_manifests(t: Tables) -> DataFrame:
+    """A manifest per nation: counters by segment, an error for every seventh customer; some are damaged."""
+    key = F.col("c_nationkey").alias("n_nationkey")
+    counters = t.customer.groupBy(key, "c_mktsegment").agg(F.count(F.lit(1)).alias("n")).groupBy("n_nationkey").agg(F.map_from_entries(F.collect_list(F.struct("c_mktsegment", "n"))).alias("counts"))
+    failed = F.when(F.col("c_custkey") % 7 == 0, F.struct(F.concat(F.lit("{C-"), F.col("c_custkey").cast("string"), F.lit("}")).alias("list_guid"), F.lit("items").alias("scope"), F.lit("boom").alias("message")))
+    errors = t.customer.groupBy(key).agg(F.collect_list(failed).alias("errors"))
+    whole = F.to_json(F.struct(F.concat(F.lit("run "), F.col("n_nationkey").cast("string")).alias("command"), "counts", "errors", F.array(F.lit("large")).alias("warnings")))
+    body = F.when(F.col("n_nationkey") % 10 == 9, F.substr(whole, F.lit(2))).otherwise(whole)
+    tables = source.read_manifests(t.spark, _documents_of(t, body, "manifests", counters.join(errors, "n_nationkey")))
+    one = F.lit(1).cast("bigint").alias("n")
+    out = tables["counts"].select(F.lit("count").alias("part"), F.col("counter").alias("key"), "command", "n")
+    out = out.unionByName(tables["errors"].select(F.lit("error").alias("part"), F.col("list_guid").alias("key"), "command", one))
+    return out.unionByName(tables["warnings"].select(F.lit("warning").alias("part"), F.col("warning").alias("key"), "command", one))
+
+
 _FEED_ROWS_SQL = """SELECT o_orderkey AS item_id, 'Order "' || o_orderkey || '"' AS title, o_custkey AS customer, CASE WHEN o_orderkey % 2 = 0 THEN c_name END AS label,
   CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS total, o_orderkey % 3 = 0 AS closed FROM orders JOIN customer ON o_custkey = c_custkey"""
 
@@ -569,6 +645,23 @@ def run_report(t: Tables) -> DataFrame:
     return out.unionByName(tables["warnings"].select(F.lit("warning").alias("part"), F.col("warning").alias("key"), one))
 
 
+@query(
+    "hash_files",
+    "SELECT source, sha256(string_agg(text || chr(10), '' ORDER BY doc_id)) AS sha256, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS bytes, count(*) >= 200 AS streamed FROM documents GROUP BY source",
+)
+def hash_files(t: Tables) -> DataFrame:
+    """One file per source; those with many documents are streamed in parts."""
+    from ..operators import files
+
+    path = scratch_path(t.spark, "sources")
+    t.documents.select("source", "doc_id", F.col("text").alias("value")).repartition("source").sortWithinPartitions("source", "doc_id").drop("doc_id").write.partitionBy("source").text(path)
+    sizes = t.documents.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text") + 1).alias("b"))
+    # The bound between the two ways, taken so that it parts the sources as the result says.
+    large = sizes.agg(F.max(F.when(F.col("n") < 200, F.col("b"))).alias("b")).first()["b"] or 0
+    hashed = files.hash_files(t.spark, path, "*.txt", whole_bytes=large)
+    return hashed.select(F.regexp_extract("path", "source=([^/]*)/", 1).alias("source"), "sha256", "bytes", (F.col("bytes") > large).alias("streamed"))
+
+
 @query("read_files", "SELECT CAST(sum(octet_length(encode(html)) + 1) AS BIGINT) AS bytes, true AS hashed FROM pages")
 def read_files(t: Tables) -> DataFrame:
     from ..operators.files import hash_inventory

@@ -151,9 +151,18 @@ def advance_state(t: Tables) -> DataFrame:
     return after.withColumn("last_sync", F.col("last_sync").cast("timestamp_ntz"))
 
 
-@query("append_schema_report", "SELECT 'web' AS key, 'stored' AS side FROM (SELECT count(*) FROM orders) UNION ALL SELECT 'lost', 'stored' UNION ALL SELECT 'lost', 'incoming'")
+@query(
+    "append_schema_report",
+    f"""WITH {_ITEMS_SQL}, n AS (SELECT list_guid, count(*) AS of_rows, count(*) FILTER (item_id % 13 = 0) AS no_id, count(*) FILTER (title = 'P') AS no_web FROM items GROUP BY list_guid)
+SELECT list_guid, 'item_id' AS key, 'stored' AS side, no_id AS rows, of_rows FROM n WHERE no_id > 0
+UNION ALL SELECT list_guid, 'web', 'stored', of_rows, of_rows FROM n UNION ALL SELECT list_guid, 'web', 'incoming', no_web, of_rows FROM n WHERE no_web > 0
+UNION ALL SELECT list_guid, 'lost', s.side, of_rows, of_rows FROM n, (VALUES ('stored'), ('incoming')) AS s(side)""",
+)
 def append_schema_report(t: Tables) -> DataFrame:
-    return inc.append_schema_report(_items(t), _items(t).withColumn("web", F.lit("w")), ["list_guid", "web", "lost"])
+    """Stored rows that have lost some ids and have no web yet, incoming ones of which some have none."""
+    stored = _items(t).withColumn("item_id", F.when(F.col("item_id") % 13 != 0, F.col("item_id")))
+    incoming = _items(t).withColumn("web", F.when(F.col("title") != "P", F.lit("w")))
+    return inc.append_schema_report(stored, incoming, ["item_id", "web", "lost"])
 
 
 @query("state_summary", f"WITH {_ITEMS_SQL}, {_STATE_SQL} SELECT status, count(*) AS lists FROM state GROUP BY status")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -297,14 +299,15 @@ def feed_instant(t: Tables) -> DataFrame:
     "verify_datetimes",
     """SELECT '{' || c_mktsegment || '}' AS list_guid, o_orderkey AS item_id, p.field, p.display_name,
   CASE WHEN p.field = 'Opened' AND o_orderkey % 19 = 0 THEN 'someday' ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') END AS raw_wire_value,
-  CASE WHEN p.field = 'Opened' AND o_orderkey % 19 = 0 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') END AS decoded_utc
+  CASE WHEN p.field = 'Opened' AND o_orderkey % 19 = 0 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') END AS decoded_utc,
+  CASE WHEN length(c_mktsegment) > 8 THEN 'http://farm/sites/x/' || lower(c_mktsegment) || CASE WHEN length(c_mktsegment) % 2 = 1 THEN '/Forms' ELSE '' END
+       ELSE 'http://farm/sites/x/Lists/' || c_mktsegment || '%20a' END || '/DispForm.aspx?ID=' || o_orderkey AS display_url
 FROM orders JOIN customer ON o_custkey = c_custkey,
   (VALUES ('Opened', 'Eröffnet'), ('Created', 'Created'), ('Modified', 'Modified')) AS p(field, display_name)""",
 )
 def verify_datetimes(t: Tables) -> DataFrame:
     raw, fields = raw_orders(t), order_fields(t)
-    items = scope.build_items(raw, segment_lists(t))
-    return decode.verify_datetimes(decode.decode_items(raw, fields), fields, items).drop("display_url")
+    return decode.verify_datetimes(decode.decode_items(raw, fields), fields, segment_lists(t))
 
 
 @query("instant_to_json", "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS v FROM events")
@@ -405,12 +408,17 @@ def explode_fields(t: Tables) -> DataFrame:
     "project_view_fields",
     """SELECT o_orderkey AS item_id, 'Order ' || o_orderkey AS "Title", o_custkey || ';#' || c_name AS "Customer", o_orderpriority AS "Priority",
   CAST(NULL AS VARCHAR) AS "Parent", CAST(NULL AS VARCHAR) AS "Author", CAST(CASE WHEN o_orderkey % 3 = 0 THEN '1' ELSE '0' END AS VARCHAR) AS "Attachments",
-  CAST(24 AS INTEGER) AS n_columns
-FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING'""",
+  CAST(24 AS INTEGER) AS n_columns, '{' || c_mktsegment || '}' AS list_guid
+FROM orders JOIN customer ON o_custkey = c_custkey""",
 )
 def project_view_fields(t: Tables) -> DataFrame:
-    wide = decode.project_view_fields(raw_orders(t), order_fields(t), "{BUILDING}")
-    return wide.select("item_id", "Title", "Customer", "Priority", "Parent", "Author", "Attachments", F.lit(len(wide.columns) - 1).alias("n_columns"))
+    """Every list by its own columns; the results are put together by those that all have."""
+    raw, fields = raw_orders(t), order_fields(t)
+    shown = ["list_guid", "item_id", "Title", "Customer", "Priority", "Parent", "Author", "Attachments"]
+    wide = [decode.project_view_fields(raw, fields, r["list_guid"]) for r in fields.select("list_guid").distinct().collect()]  # one row a list
+    parts = [w.select(*shown, F.lit(len(w.columns) - 1).alias("n_columns")) for w in wide]
+    empty = raw.limit(0).select("list_guid", "item_id", *[F.lit(None).cast("string").alias(c) for c in shown[2:]], F.lit(0).alias("n_columns"))
+    return reduce(DataFrame.unionByName, parts, empty)
 
 
 @query(

@@ -214,6 +214,28 @@ def resolve_lookups(t: Tables) -> DataFrame:
     return _resolved(t).select(*_RESOLVED, "target_found")
 
 
+@query(
+    "resolve_lookups_twice",
+    """WITH o AS (SELECT o_orderkey, o_custkey, c_name, c_nationkey FROM orders JOIN customer ON o_custkey = c_custkey), n AS (SELECT n_nationkey, n_name || ' neu' AS name FROM nation WHERE n_nationkey % 5 <> 1)
+SELECT 1 AS level, 'Customer' AS field, o_orderkey AS item_id, o_custkey AS target_id, c_name AS stored_label, c_name AS current_label, true AS target_found FROM o
+UNION ALL SELECT 1, 'Nation', c_custkey, c_nationkey, 'alt', name, name IS NOT NULL FROM customer LEFT JOIN n ON c_nationkey = n_nationkey
+UNION ALL SELECT 2, 'Customer/Nation', o_orderkey, c_nationkey, 'alt', name, name IS NOT NULL FROM o LEFT JOIN n ON c_nationkey = n_nationkey""",
+)
+def resolve_lookups_twice(t: Tables) -> DataFrame:
+    """Orders to customers, customers to nations, and orders through their customers to nations."""
+    number = F.col("o_custkey").cast("string")
+    orders = decode.decode_fields(wired(order_rows(t), "o_orderkey", "Lookup", F.concat(number, F.lit(";#"), F.col("c_name")), field="Customer", guid=F.lit("{O}")))
+    home = decode.decode_fields(wired(t.customer, "c_custkey", "Lookup", F.concat(F.col("c_nationkey").cast("string"), F.lit(";#alt")), field="Nation", guid=F.lit("{C}")))
+    named = decode.decode_fields(wired(t.customer, "c_custkey", "Text", F.col("c_name"), field="Name", guid=F.lit("{C}")))
+    there = t.nation.filter("n_nationkey % 5 <> 1")
+    nations = decode.decode_fields(wired(there, "n_nationkey", "Text", F.concat("n_name", F.lit(" neu")), field="Title", guid=F.lit("{N}")))
+    edges = t.spark.createDataFrame([("{O}", "Customer", "{C}", "Name"), ("{C}", "Nation", "{N}", None)], "source_list_guid string, field_name string, target_list_guid string, show_field string")
+    items = t.customer.select(F.lit("{C}").alias("list_guid"), F.col("c_custkey").alias("item_id")).unionByName(there.select(F.lit("{N}").alias("list_guid"), F.col("n_nationkey").cast("bigint").alias("item_id")))
+    fields = orders.unionByName(home).unionByName(named).unionByName(nations)
+    found = joins.resolve_lookups(fields, edges, joins.show_labels(items, fields, edges), depth=2)
+    return found.select("level", "field", "item_id", "target_id", "stored_label", "current_label", "target_found")
+
+
 @query("stale_labels", f"WITH {_RESOLVED_SQL} SELECT item_id, target_id, stored_label, current_label FROM resolved WHERE target_found AND stored_label IS DISTINCT FROM current_label")
 def stale_labels(t: Tables) -> DataFrame:
     return joins.stale_labels(_resolved(t)).select(*_RESOLVED)

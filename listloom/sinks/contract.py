@@ -15,6 +15,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 
 from ..functions import names
 from ..session import require_utc
+from ..stores import open_store
 
 ITEMS, RAW = "items.jsonl", "items_raw.jsonl"
 # Documents that list entries; these say how many.
@@ -22,24 +23,9 @@ COUNTED = frozenset(["webs.json"])
 # Readers find the lists of a run by these, so they are put in place last.
 LAST = ("webs.json", "_graph.json")
 _ROWS = "folder string, file string, section string, body string, twin string"
-# Names under which Spark and Arrow know the same store.
-_STORES = {"s3a": "s3", "s3n": "s3"}
 SLICE_ROWS = 512
 
 
-def open_store(path: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a path or URI and the path in it; the driver and all tasks see the same files there."""
-    scheme, _, rest = path.partition(":")
-    if not rest or "/" in scheme or len(scheme) == 1:
-        return fs.LocalFileSystem(), path
-    if scheme == "file":
-        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
-    try:
-        return fs.FileSystem.from_uri(f"{_STORES.get(scheme, scheme)}:{rest}")
-    except (pa.ArrowInvalid, OSError) as fault:
-        raise ValueError(f"{path}: tasks cannot write to a {scheme} store; choose one of file, hdfs, s3a or gs") from fault
-
-
 @dataclass
 class Part:
     """A file that a task has staged for ``folder/file``."""

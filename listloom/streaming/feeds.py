@@ -248,3 +248,20 @@ def _drop_batches(spark: SparkSession, table: str, upto: int) -> None:
 def live_threads(children: DataFrame, event_time: str, keys: Sequence[str], delay: str) -> DataFrame:
     """Children for a live view: re-sent rows are dropped within the allowed lateness."""
     return children.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
+def live_children(
+    parents: DataFrame, children: DataFrame, pk: str, fk: str, parent_time: str, child_time: str, delay: str, before: str, within: str
+) -> DataFrame:
+    """Each parent with every child of its own, as both arrive: a row per child, one with NULLs for a parent without any.
+
+    A child counts from ``before`` ahead of its parent's time to ``within`` after it. Either may come first: both wait in
+    state until the watermarks say that no partner can come any more, so rows later than ``delay`` are left out and state
+    does not grow with the stream. A childless parent comes out when its time is over. The rows are those of the batch
+    join over the same condition.
+    """
+    left = parents.withWatermark(parent_time, delay).alias("p")
+    right = children.withWatermark(child_time, delay).alias("c")
+    at, born = F.col(f"c.{child_time}"), F.col(f"p.{parent_time}")
+    near = (at >= born - F.expr(f"INTERVAL {before}")) & (at <= born + F.expr(f"INTERVAL {within}"))
+    return left.join(right, (F.col(f"p.{pk}") == F.col(f"c.{fk}")) & near, "left_outer")

@@ -1,8 +1,10 @@
 """Joins, graph, change feeds, text and reports on tiny tables."""
 
 import bisect
+import hashlib
 import random
 import re
+import resource
 
 import pytest
 from pyspark.sql import functions as F
@@ -331,3 +333,52 @@ def test_snapshot_diff_sees_moved_values_and_maps(spark):
     assert inc.snapshot_diff(before, rows("x", None, {"q": 2, "p": 1}, '{"k":1}')).count() == 0
     for after in (rows(None, "x", {"p": 1, "q": 2}, '{"k":1}'), rows("x", None, {"p": 2, "q": 1}, '{"k":1}'), rows("x", None, {"p": 1, "q": 2}, '{"k":2}')):
         assert [r["change"] for r in inc.snapshot_diff(before, after).collect()] == ["changed"]
+
+
+def test_equal_snapshots_compare_digests_of_buckets_only(spark, monkeypatch):
+    rows = spark.range(5000).select(F.col("id").alias("doc_id"), (F.col("id") % 7).alias("a"), F.create_map(F.lit("k"), F.col("id")).alias("m"))
+    compared = []
+    monkeypatch.setattr(inc, "_bucket", lambda key, n, kept=inc._bucket: compared.append(1) or kept(key, n))
+    assert inc.snapshot_diff(rows, rows.repartition(5)).count() == 0
+    assert len(compared) == 2
+    twice = rows.unionByName(rows.where("doc_id < 2"))
+    digests = inc.bucket_digests(rows, "doc_id", ["a", "m"], 8).exceptAll(inc.bucket_digests(twice, "doc_id", ["a", "m"], 8))
+    assert 1 <= digests.count() <= 2
+    edited = rows.withColumn("a", F.when(F.col("doc_id") == 77, -1).otherwise(F.col("a"))).where("doc_id <> 99").unionByName(rows.limit(1).withColumn("doc_id", F.lit(9999).cast("bigint")))
+    got = {r["doc_id"]: r["change"] for r in inc.snapshot_diff(rows, edited, buckets=64).collect()}
+    assert got == {77: "changed", 99: "removed", 9999: "added"}
+    assert inc.snapshot_diff(rows.limit(0), rows.limit(0)).count() == 0
+
+
+def test_files_beyond_the_size_of_a_row_are_streamed(spark, tmp_path):
+    folder = tmp_path / "f"
+    folder.mkdir()
+    size = 3 * 1024**3
+    with open(folder / "large.bin", "wb") as f:
+        f.truncate(size)
+    (folder / "small.bin").write_bytes(b"abc")
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    got, digest = files.stream_digest(str(folder / "large.bin"))
+    assert got == size and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 200 * 1024
+    hashed = {r["path"].rpartition("/")[2]: (r["bytes"], r["sha256"]) for r in files.hash_files(spark, str(folder), "*.bin").collect()}
+    assert hashed == {"large.bin": (size, digest), "small.bin": (3, hashlib.sha256(b"abc").hexdigest())}
+
+
+def test_append_schema_counts_rows_without_a_key(spark):
+    stored = spark.createDataFrame([("A", 1), ("A", None), ("B", 2), (None, 3)], "list_guid string, id int")
+    incoming = spark.createDataFrame([("A", 1, None)], "list_guid string, id int, web string")
+    got = {tuple(r) for r in inc.append_schema_report(stored, incoming, ["id", "web"]).collect()}
+    assert got == {("A", "id", "stored", 1, 2), ("A", "web", "stored", 2, 2), ("B", "web", "stored", 1, 1), (None, "web", "stored", 1, 1), ("A", "web", "incoming", 1, 1)}
+    assert inc.append_schema_report(stored.limit(0), incoming.limit(0), ["id"]).count() == 0
+
+
+def test_lookups_reached_in_several_ways_are_one_row(spark):
+    def field(guid, item, name, kind, raw):
+        return (guid, item, name, kind, None, raw)
+
+    rows = [field("{O}", 1, "Who", "LookupMulti", "1;#a;#2;#b"), field("{C}", 1, "Home", "Lookup", "7;#x"), field("{C}", 2, "Home", "Lookup", "7;#y"), field("{N}", 7, "Title", "Text", "Seven")]
+    fields = decode.decode_fields(spark.createDataFrame(rows, "list_guid string, item_id bigint, field string, wire_type string, result_type string, raw string"))
+    edges = spark.createDataFrame([("{O}", "Who", "{C}", None), ("{C}", "Home", "{N}", None)], "source_list_guid string, field_name string, target_list_guid string, show_field string")
+    items = spark.createDataFrame([("{C}", 1), ("{C}", 2), ("{N}", 7)], "list_guid string, item_id bigint")
+    found = joins.resolve_lookups(fields, edges, joins.show_labels(items, fields, edges), depth=2)
+    assert [(r["item_id"], r["field"], r["target_id"], r["current_label"]) for r in found.where("level = 2").collect()] == [(1, "Who/Home", 7, "Seven")]

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from listloom.functions import names
-from listloom.operators import decode, incremental, joins, reports, scope
+from listloom.operators import decode, incremental, joins, ordering, reports, scope
 
 
 def plan(df):
@@ -75,3 +75,20 @@ def test_counting_happens_before_joining(stored):
 def test_names_stay_in_the_jvm(spark):
     df = spark.range(1).select(names.file_name_from_url(F.lit("http://x/a")).alias("n"))
     assert "Python" not in plan(df)
+
+
+def test_pick_keeps_the_first_rows_of_a_kind_before_the_shuffle(spark):
+    rows = spark.range(1000).select((F.col("id") % 3).alias("kind"), F.col("id"))
+    plan = ordering.stratified_pick(rows, "kind", "id", 20)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_dates_are_verified_without_shuffling_fields(spark):
+    fields = spark.createDataFrame([("{A}", 1, "Created", "DateTime", None, "2020-01-01T00:00:00Z")], "list_guid string, item_id bigint, field string, wire_type string, result_type string, raw string")
+    named = spark.createDataFrame([("{A}", "Created", "Erstellt")], "list_guid string, name string, display_name string")
+    lists = spark.createDataFrame([("{A}", "http://sp/a", "0", "", "")], "guid string, web_url string, base_type string, root_folder string, default_view_url string")
+    out = decode.verify_datetimes(decode.decode_fields(fields), named, lists)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    row = out.first()
+    assert (row["display_name"], row["decoded_utc"], row["display_url"]) == ("Erstellt", "2020-01-01T00:00:00Z", "http://sp/a/DispForm.aspx?ID=1")
