@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -152,16 +153,19 @@ def _binned(rows: DataFrame, thresholds: dict[str, list[float]]) -> DataFrame:
     """``bad`` and for each feature the number of thresholds below its value."""
 
     def below(f: str, cuts: list[float]) -> Column:
-        steps = [(F.col(f).cast("double") > t).cast("int") for t in cuts]
-        return sum(steps, F.lit(0)).alias(f"b_{f}")
+        # One constant array and one loop over it, so the generated code does not grow with the cuts.
+        limits = F.array(*[F.lit(float(t)) for t in cuts]).cast("array<double>")
+        return F.array_size(F.filter(limits, lambda t: t < F.col(f).cast("double"))).alias(f"b_{f}")
 
     bins = [below(f, cuts) for f, cuts in thresholds.items()]
     return rows.select((1 - F.col("label")).alias("bad"), (F.col("_fold") == 0).alias("prune"), *FEATURES, *bins)
 
 
 def _best_condition(rows: DataFrame, rule: Rule, thresholds: dict[str, list[float]], least: int) -> Condition | None:
-    """The condition with the largest FOIL gain over the rows that ``rule`` already covers.
+    """The condition with the largest FOIL gain over the rows that ``rule`` already covers, among those worth their description.
 
+    To name a condition takes the logarithm of how many there are to choose from, in bits; it has to save more bits than
+    that in telling the labels of the rows it covers. Labels that do not follow the features pass no condition, at any size.
     One aggregation by feature and bin; the driver sees features times bins, never rows.
     """
     pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.col(f"b_{f}").alias("b")) for f in thresholds])).alias("x")
@@ -176,6 +180,7 @@ def _best_condition(rows: DataFrame, rule: Rule, thresholds: dict[str, list[floa
     if p0 == 0 or n0 == 0:
         return None
     best, best_gain = None, 0.0
+    cost = 1 + math.log2(max(1, 2 * sum(map(len, thresholds.values()))))
     for f in sorted(table):
         low_p = low_n = 0
         for b, threshold in enumerate(thresholds[f]):
@@ -184,12 +189,20 @@ def _best_condition(rows: DataFrame, rule: Rule, thresholds: dict[str, list[floa
             for above, (p1, n1) in ((False, (low_p, low_n)), (True, (p0 - low_p, n0 - low_n))):
                 if p1 < least or (p1, n1) == (p0, n0):
                     continue
+                if _saved_bits(p1, n1, p0, n0) <= cost:
+                    continue
                 gain = p1 * (math.log2(p1 / (p1 + n1)) - math.log2(p0 / (p0 + n0)))
                 if gain > best_gain + 1e-9:
                     best, best_gain = Condition(f, above, threshold), gain
     return best
 
 
+def _saved_bits(p1: int, n1: int, p0: int, n0: int) -> float:
+    """Bits saved in telling ``p1`` bad and ``n1`` good rows by their own share rather than by that of all ``p0`` and ``n0``."""
+    parts = [(x, x / (p1 + n1), y / (p0 + n0)) for x, y in ((p1, p0), (n1, n0)) if x]
+    return sum(x * math.log2(own / all_) for x, own, all_ in parts)
+
+
 def _pruned(rows: DataFrame, rule: Rule) -> tuple[Rule, int, int]:
     """The beginning of ``rule`` that does best on the rows held back, with the rows of either label it covers there."""
     sums = []
@@ -203,14 +216,16 @@ def _pruned(rows: DataFrame, rule: Rule) -> tuple[Rule, int, int]:
 
 
 def learn(
-    labelled: DataFrame, max_conditions: int = 4, cuts: int = 32, precision: float = 0.9, least: int = 3
+    labelled: DataFrame, cuts: int = 32, precision: float = 0.9, least: int = 3, keep_every: int = 4
 ) -> list[Rule]:
     """Rules that reject, from rows of statistics with ``label`` (1 good, 0 bad), by sequential covering over all of them.
 
     Two thirds of the rows, by a hash, grow a rule condition by condition; the other third prunes it. A rule
     stays if ``precision`` of what it covers among the held rows is bad; then the rows it covers leave and
     the next is grown. The rows that a failed rule covered before pruning are set aside for growing alone, and the next is tried,
-    until no condition gains: each try takes at least ``least`` bad rows from growing. Without rows of both labels there are no rules.
+    until no condition is worth its description (see ``_best_condition``); nothing else bounds the length of a rule or the number of
+    rules. The rows that are left are stored every ``keep_every`` tries, so plans stay short. Without rows of both labels
+    there are no rules.
     """
     folds = F.pmod(F.xxhash64(*[F.col(f) for f in FEATURES]), F.lit(3))
     rows = stored(labelled.where(F.col("label").isin(0, 1)).select("label", *FEATURES).withColumn("_fold", folds), "quality-rows")
@@ -220,15 +235,14 @@ def learn(
     left = stored(_binned(rows, thresholds), "quality-bins")
     grow, prune = left.where(~F.col("prune")), left.where("prune")
     rules: list[Rule] = []
-    while True:
+    for attempt in count(1):
         rule: Rule = ()
-        while len(rule) < max_conditions:
-            condition = _best_condition(grow, rule, thresholds, least)
-            if condition is None:
-                break
+        while (condition := _best_condition(grow, rule, thresholds, least)) is not None:
             rule = (*rule, condition)
         if not rule:
             break
+        if attempt % keep_every == 0:
+            grow, prune = stored(grow, "quality-grow"), stored(prune, "quality-prune")
         grown = rule
         rule, p, n = _pruned(prune, grown)
         if p < 1 or p < precision * (p + n):

@@ -429,3 +429,39 @@ def test_shards_follow_their_weights_and_few_rows_move(spark):
     numbered = sharding.number_slots(placed, "doc_id", bucket_rows=900)
     checks = numbered.groupBy("shard").agg(F.min("slot"), F.max("slot"), F.count_distinct("slot"), F.count("*")).collect()
     assert all((r[1], r[2] + 1, r[3]) == (0, r[4], r[4]) for r in checks)
+
+
+def test_rules_from_noise_end_at_once(spark, monkeypatch):
+    """Labels that follow no feature give no rule and few tries, however many rows there are."""
+    tries = []
+    monkeypatch.setattr(quality, "_pruned", lambda *a, kept=quality._pruned: tries.append(1) or kept(*a))
+    for n in (400, 3000):
+        draw = random.Random(n)
+        rows = [(draw.randrange(2), *[draw.randrange(1000) for _ in quality.FEATURES]) for _ in range(n)]
+        noise = spark.createDataFrame(rows, ["label", *quality.FEATURES])
+        assert quality.learn(noise) == []
+    assert len(tries) <= 2
+
+
+def test_rules_are_as_long_as_they_need_to_be(spark):
+    """Bad rows that only five conditions together tell apart."""
+    draw = random.Random(9)
+    names = list(quality.FEATURES)
+    rows = []
+    for _ in range(6000):
+        values = {f: draw.random() for f in names}
+        bad = all(values[f] > 0.35 for f in names[:5])
+        rows.append((0 if bad else 1, *values.values()))
+    frame = spark.createDataFrame(rows, ["label", *names])
+    rules = quality.learn(frame)
+    judged = frame.withColumn("kept", quality.keep_column(rules))
+    right = judged.where((F.col("label") == 1) == F.col("kept")).count() / 6000
+    assert right > 0.97 and max(map(len, rules)) >= 5
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"])
+def test_batches_count_what_single_texts_do(name):
+    encoder = bpe.Encoder(tokenizer_path(name))
+    batch = ["", "one", prose("x", 3000), " " * 9000 + "x", "<|endoftext|> a", "𝄞é\n\n" * 50, prose("y", 40_000)]
+    assert encoder.counts(batch).tolist() == [len(encoder.ids(t)) for t in batch]
+    assert encoder.counts([]).tolist() == []
