@@ -114,7 +114,8 @@ def write_archives(pages: DataFrame, path: str, date: str, least: int = LEAST_BY
     files = 1 + int(total) // file_bytes
     deal = F.pmod(F.xxhash64("record_id", "url"), F.lit(files))
     texts = marked.select(record_text(date).alias("value"), deal.alias("_file"))
-    dealt = texts.repartition(files, "_file").select("value")
+    # The number of the file is that of the partition: a hash of it would put several files into one task and none into others.
+    dealt = texts.repartitionById(files, F.col("_file").cast("int")).select("value")
     dealt.write.option("lineSep", RECORD_END).option("compression", "gzip").text(path)
 
 

@@ -465,3 +465,15 @@ def test_batches_count_what_single_texts_do(name):
     batch = ["", "one", prose("x", 3000), " " * 9000 + "x", "<|endoftext|> a", "𝄞é\n\n" * 50, prose("y", 40_000)]
     assert encoder.counts(batch).tolist() == [len(encoder.ids(t)) for t in batch]
     assert encoder.counts([]).tolist() == []
+
+
+def test_archives_are_files_of_about_one_size(spark, tmp_path):
+    pages = spark.range(600).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h/"), F.col("id")).alias("url"), F.repeat(F.col("id").cast("string"), 300).alias("html"))
+    path = str(tmp_path / "w")
+    warc.write_archives(pages, path, "2024-01-01T00:00:00Z", file_bytes=40_000)
+    counts = [r["n"] for r in warc.read_archives(spark, path).groupBy("page_id").count().select(F.col("count").alias("n")).collect()]
+    assert counts == [1] * 600
+    files = sorted((tmp_path / "w").glob("part-*"))
+    records = [sum(1 for _ in warc.parse_archive(warc._unzip(f.read_bytes()))) for f in files]
+    total = pages.agg(F.sum(F.octet_length("html"))).first()[0]
+    assert len(files) == 1 + total // 40_000 and min(records) > 0 and max(records) < 3 * 600 / len(files)
