@@ -106,7 +106,9 @@ def find_overlaps(
     are the occurring windows as ``(start, length)`` in words, null where there are none.
 
     Null and empty texts have no words; null item ids hit words but are not counted among the items; repeated rows
-    get equal rows. The benchmark's side is broadcast below a checked size, else both sides are shuffled.
+    get equal rows. The benchmark's side is broadcast below a checked size, else both sides are shuffled. An empty
+    table of documents gives no rows, an empty benchmark hits nothing. A text is taken whole, as one array of word hashes,
+    whatever its length; other columns are not read and may have any name.
     """
     windows, lengths = benchmark_windows(benchmark, item_key, item_text, window, gram)
     rows = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("_t"))

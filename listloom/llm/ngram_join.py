@@ -331,6 +331,8 @@ def near_duplicate_groups(docs: DataFrame, similarity: Similarity, key: str = "d
     ``group`` numbers the groups of several rows; it is null for a row that is alone. A component is what links reach; its id is the smallest key in it. Rows with equal sets are one class, so copies
     are never paired. A text of fewer words than an n-gram is one n-gram; a null text or one without words has
     none and stays alone. Null keys don't name a component unless it has no other. Repeated rows get equal results.
+    An empty table gives no rows. Texts are taken whole, whatever their length, in slices of bounded size; only the two named columns are
+    read, so others may have any name.
     """
     texts = docs.select(F.col(f"`{text}`").alias("text"))
     sketch = docs.sparkSession.sparkContext.broadcast(count_sketch(texts, similarity.words))

@@ -263,7 +263,8 @@ def judge_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
     """Statistics of every document, ``base_failed``, ``method_kept`` (the learnt list) and ``kept``.
 
     Texts are read once; the statistics are stored and serve the learner and the verdict. Null texts have zero counts
-    and fail the base rule; repeated rows get equal rows; an empty table gives none.
+    and fail the base rule; repeated rows get equal rows; an empty table gives none. A text is taken whole, whatever its length;
+    columns other than the two named ones are not read.
     """
     stats = stored(text_statistics(docs, text, (key,)), "quality-stats")
     rules = learn(labelled_statistics(stats, labels, key))

@@ -69,7 +69,8 @@ def shard_documents(df: DataFrame, shards: int, key: str = "doc_id", text: str =
     """``key, size, text_crc32, law, shard, slot, grown_shard`` of every row, shards of equal weight.
 
     Law ``key``: the key and the number of shards decide. ``size`` is the text's UTF-8 bytes plus 8, a null text
-    has none and the crc32 of the empty text. Texts are read once and don't reach a shuffle.
+    has none and the crc32 of the empty text. Texts are read once, whole, and don't reach a shuffle. An empty table
+    gives no rows; columns other than the two named ones are not read.
     """
     raw = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
     narrow = df.select(

@@ -338,7 +338,7 @@ def fit(
 
     Labels come from ids whose crc32 modulo 5 is not 0. The intercept is moved from the sample's share of
     label 1 to that of all labelled rows. Without rows of both labels, the model has no terms and
-    says the smoothed share of label 1.
+    says the smoothed share of label 1. Null ids and labels teach nothing, null texts have no terms, equal texts of a label count once.
     """
     sample = stored(sample_labels(labels, key, label, sample_rows), "toxicity-ids")
     known = labels.where(F.col(label).isin(0, 1) & (id_crc(F.col(key)) % 5 != 0)).agg(F.sum(label), F.count("*")).first()
@@ -451,7 +451,8 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ..
     """``keep`` columns, ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on) of every row; whole texts, one pass, no shuffle.
 
     Only the text enters a score. Null and empty texts score what the intercept says. Rows map one to one,
-    repeated rows score alike; columns of ``keep`` may hold nulls; an empty table gives no rows.
+    repeated rows score alike; columns of ``keep`` may hold nulls; an empty table gives no rows. A long text is
+    worked off in slices; columns that are not named are not read and may have any name.
     """
     schema = docs.select(*keep).schema
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

@@ -235,6 +235,8 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule], key: str = "page_id", u
     Rules go first. URLs that rules accept or reject teach two smoothed Markov models of up to ``ORDER`` bytes of
     context; a URL without a rule goes by the calibrated, length-normalised difference of their
     log-likelihoods. Null URLs have empty parts and are scored as the empty text. Rows map one to one.
+    Repeated rows are judged alike, a URL is judged whole, whatever its length, an empty table gives no rows, and
+    columns other than the two named ones are not read.
     """
     judged = apply_rules(pages.select(F.col(f"`{key}`"), F.col(f"`{url}`")), rules, url)
     verdicts = judge(judged, fit(judged, url), (key, "host", "path", "rule", "rule_verdict"), url)
