@@ -1,4 +1,10 @@
-"""A corpus from raw documents to packed sequences: the stages and their run."""
+"""A corpus from raw documents to packed sequences: the stages and their run.
+
+Every stage takes its whole input: texts of any length, null and empty ones, null ids, ids and rows that come twice, empty
+tables, and further columns of any name, which it hands on. The first four only drop rows and keep the columns.
+A null text is not toxic unless texts without terms are, has the statistics of an empty one,
+is nobody's near duplicate, holds no benchmark passage, and packs as an empty document.
+"""
 
 from __future__ import annotations
 
