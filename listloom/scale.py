@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .session import materialise
+from .session import materialise, store
 
 # A key with more rows than this is ranked over many tasks instead of one.
 HOT_ROWS = 1_000_000
@@ -33,27 +33,34 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def _offsets(tagged: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of the same key in earlier range partitions; at most partitions + keys rows."""
-    sizes = tagged.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_size"))
-    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.select(*keys, "_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+# A row's place is its partition in front of these bits, which hold its number in the partition.
+_PLACE_BITS = 33
+
+
+def _placed(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """Rows dealt by ranges of ``order``, with ``_place`` ascending inside a partition and ``_part``.
+
+    Stored, because numbers and what is counted from them must see the same partition boundaries.
+    """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id())
+    return store(ranged, "ranked").withColumn("_part", F.shiftright("_place", _PLACE_BITS))
 
 
 def _rank_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
     """Rank by range partition plus offset, so no key has to fit one task.
 
-    The tagged rows are materialised because both the local ranks and the offsets
-    must see the same partition boundaries.
+    The rows are shuffled once and sorted where they land; their places already number them, so what is left is a join with
+    one row for each partition and key, at most partitions + keys.
     """
-    ranged = df.repartitionByRange(*[F.col(k) for k in keys], *order)
-    tagged = materialise(ranged.withColumn("_part", F.spark_partition_id()))
-    local = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order))
-    ranked = tagged.withColumn("_local", local)
-    before = broadcast_if_small(_offsets(tagged, keys))
-    joined = ranked.join(before, same_keys(ranked, before, [*keys, "_part"]))
-    cols = [ranked[c] for c in df.columns]
-    return joined.select(*cols, (F.col("_local") + F.col("_before")).cast("bigint").alias(name))
+    tagged = _placed(df, [*[F.col(k) for k in keys], *order])
+    runs = tagged.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_size"), F.min("_place").alias("_first"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_size").over(earlier), F.lit(0))
+    own = [*keys, "_part"]
+    named = [F.col(k).alias(f"_key{i}") for i, k in enumerate(own)]
+    starts = broadcast_if_small(materialise(runs.select(*named, (before - F.col("_first") + 1).alias("_shift"))))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(own)])
+    return tagged.join(starts, same).select(*df.columns, (F.col("_place") + F.col("_shift")).cast("bigint").alias(name))
 
 
 def rank_within(
@@ -83,15 +90,14 @@ def rank_within(
 
 def global_index(df: DataFrame, order: Sequence[Column], name: str = "idx") -> DataFrame:
     """0-based position in a total order, without sorting in one task."""
-    ranged = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
-    tagged = materialise(ranged)
-    local = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    sizes = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    tagged = _placed(df, order)
+    sizes = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"), F.min("_place").alias("_first"))
     # One row per partition: this window sees the partition count, never the data.
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    before = sizes.select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
-    ranked = tagged.withColumn("_local", local).join(broadcast_if_small(before), "_part")
-    return ranked.select(*df.columns, (F.col("_local") - 1 + F.col("_before")).cast("bigint").alias(name))
+    before = F.coalesce(F.sum("_size").over(earlier), F.lit(0))
+    starts = broadcast_if_small(materialise(sizes.select("_part", (before - F.col("_first")).alias("_shift"))))
+    joined = tagged.join(starts, "_part")
+    return joined.select(*df.columns, (F.col("_place") + F.col("_shift")).cast("bigint").alias(name))
 
 
 def collect_in_parts(

@@ -88,6 +88,13 @@ def load_if_there(reader: DataFrameReader, path: str, kind: str) -> DataFrame |
         return None
 
 
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Compute once into the shared folder as Parquet, of which later plans read the columns they need."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Compute once into the shared folder and cut the lineage."""
     shared_dir(df.sparkSession)

@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from listloom import scale
 from listloom.functions import names
 from listloom.operators import decode, incremental, joins, ordering, reports, scope
 
@@ -92,3 +93,12 @@ def test_dates_are_verified_without_shuffling_fields(spark):
     assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
     row = out.first()
     assert (row["display_name"], row["decoded_utc"], row["display_url"]) == ("Erstellt", "2020-01-01T00:00:00Z", "http://sp/a/DispForm.aspx?ID=1")
+
+
+def test_large_keys_are_ranked_with_one_shuffle_of_their_rows(spark):
+    rows = spark.range(3000).select((F.col("id") % 2).alias("k"), F.col("id").alias("v"), F.lit("x" * 20).alias("wide"))
+    ranked = scale._rank_by_range(rows, ["k"], [F.desc("v")], "r")
+    shown = plan(ranked)
+    assert "Window" not in shown and "SortMergeJoin" not in shown and "Exchange hashpartitioning" not in shown
+    got = {(r["k"], r["v"]): r["r"] for r in ranked.collect()}
+    assert got == {(v % 2, v): (2999 - v) // 2 + 1 for v in range(3000)}
