@@ -222,17 +222,17 @@ def page_stream(t: Tables) -> DataFrame:
     return _shown(spark.read.parquet(out))
 
 
-@query("live_threads", "SELECT event_id, user_id, event_type FROM events")
+@query("live_threads", "SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at FROM events")
 def live_threads(t: Tables) -> DataFrame:
     """Every event sent twice; the repeat is dropped within the allowed lateness."""
     spark, path, out = t.spark, scratch_path(t.spark, "sent"), scratch_path(t.spark, "live")
     sent = t.events.select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
     sent.unionByName(sent).write.parquet(path)
     stream = spark.readStream.schema(sent.schema).parquet(path)
-    live = feeds.live_threads(stream, "ts", ["event_id"], "60 days").drop("ts")
+    live = feeds.live_threads(stream, "ts", ["event_id"], "60 days")
     job = live.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch_path(spark, "progress"))
     job.trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.schema(sent.schema).parquet(out).select("event_id", "user_id", "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"))
 
 
 @query(
