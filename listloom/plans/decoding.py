@@ -182,6 +182,22 @@ def decode_taxonomy(t: Tables) -> DataFrame:
     return out.select(F.col("item_id").alias("p_partkey"), ref["id"].alias("id"), ref["value"].alias("label"), ref["term_guid"].alias("term"))
 
 
+@query(
+    "decode_taxonomy_multi",
+    f"""SELECT p_partkey, 1 AS pos, p_partkey AS id, p_name AS label, {_TERM_SQL} AS term FROM part UNION ALL SELECT p_partkey, 2, p_partkey + 1, p_brand, NULL FROM part WHERE p_partkey % 2 = 0""",
+)
+def decode_taxonomy_multi(t: Tables) -> DataFrame:
+    """A tagged term, and for every second part a plain one behind it."""
+    h = F.md5(F.col("p_partkey").cast("string"))
+    guid = F.upper(F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4), F.substring(h, 17, 4), F.substring(h, 21, 12)))
+    first = F.concat(F.col("p_partkey").cast("string"), F.lit(";#"), F.col("p_name"), F.lit("|"), guid)
+    second = F.concat(F.lit(";#"), (F.col("p_partkey") + 1).cast("string"), F.lit(";#"), F.col("p_brand"))
+    text = F.when(F.col("p_partkey") % 2 == 0, F.concat(first, second)).otherwise(first)
+    out = decode.decode_fields(wired(t.part, "p_partkey", "TaxonomyFieldTypeMulti", text))
+    refs = out.select(F.col("item_id").alias("p_partkey"), F.posexplode("v_refs").alias("pos", "r"))
+    return refs.select("p_partkey", (F.col("pos") + 1).alias("pos"), F.col("r.id").alias("id"), F.col("r.value").alias("label"), F.col("r.term_guid").alias("term"))
+
+
 @query(
     "decode_url",
     """SELECT page_id, CASE WHEN page_id % 4 <> 3 THEN url END AS url,
@@ -461,3 +477,16 @@ def display_url(t: Tables) -> DataFrame:
         "guid",
         names.display_url(F.col("web_url"), F.col("default_view_url"), F.col("root_folder"), F.col("base_type") == "1", F.col("item_count")).alias("url"),
     )
+
+
+@query(
+    "harmonise_tables",
+    """SELECT c_custkey AS key, CAST(c_nationkey AS BIGINT) AS place, c_name AS name, NULL AS region FROM customer UNION ALL SELECT s_suppkey, s_nationkey, s_name, NULL FROM supplier
+UNION ALL SELECT n_nationkey, NULL, n_name, n_regionkey FROM nation""",
+)
+def harmonise_tables(t: Tables) -> DataFrame:
+    """Three tables that spell the same columns differently; one of them has a column of its own."""
+    customers = t.customer.select(F.col("c_custkey").alias("Id"), F.col("c_nationkey").cast("bigint").alias("Ort"), "c_name").withColumnRenamed("c_name", "Titel")
+    suppliers = t.supplier.select(F.col("s_suppkey").alias("ID"), F.col("s_nationkey").cast("bigint").alias("place"), F.col("s_name").alias("title"))
+    nations = t.nation.select(F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("Title"), F.col("n_regionkey").cast("bigint").alias("region"))
+    return odata.harmonise_tables([customers, suppliers, nations], {"key": ["Id", "ID"], "place": ["Place", "Ort"], "name": ["Title", "Titel"]})

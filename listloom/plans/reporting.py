@@ -186,6 +186,36 @@ def redact(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "document_lookups",
+    """SELECT 'D' || o_orderkey AS id, 'Customer' AS field, '{C}' AS target_list_guid, o_custkey AS target_item_id FROM orders WHERE o_orderkey % 40 <> 0
+UNION ALL SELECT 'D' || o_orderkey, 'Related', '{O}', o_orderkey + d FROM orders, (VALUES (1), (2)) AS v(d) WHERE o_orderkey % 40 <> 0 AND o_orderkey % 3 = 0""",
+)
+def document_lookups(t: Tables) -> DataFrame:
+    """A customer for each order and two further orders for every third; folders are no documents."""
+    k = F.col("o_orderkey")
+    one = F.struct(F.lit("Customer").alias("field"), F.lit("Lookup").alias("wire_type"), F.concat(F.col("o_custkey").cast("string"), F.lit(";#x")).alias("raw"))
+    pair = F.concat((k + 1).cast("string"), F.lit(";#a;#"), (k + 2).cast("string"), F.lit(";#b"))
+    more = F.struct(F.lit("Related").alias("field"), F.lit("LookupMulti").alias("wire_type"), F.when(k % 3 == 0, pair).otherwise(F.lit("")).alias("raw"))
+    rows = t.orders.select(F.lit("{O}").alias("list_guid"), k.alias("item_id"), F.inline(F.array(one, more)))
+    fields = decode.decode_fields(rows.withColumn("result_type", F.lit(None).cast("string")))
+    edges = t.spark.createDataFrame([("{O}", "Customer", "{C}"), ("{O}", "Related", "{O}")], "source_list_guid string, field_name string, target_list_guid string")
+    items = t.orders.select(F.lit("{O}").alias("list_guid"), k.alias("item_id"), F.concat(F.lit("D"), k.cast("string")).alias("doc_id"), (k % 40 == 0).alias("is_folder"))
+    return text.document_lookups(fields, edges, items)
+
+
+@query(
+    "document_files",
+    "SELECT 'D' || o_orderkey AS id, o_orderpriority AS filename, 'files/' || o_orderkey AS local_path FROM orders WHERE o_orderstatus = 'F'",
+)
+def document_files(t: Tables) -> DataFrame:
+    key = F.col("o_orderkey").cast("string")
+    files = t.orders.select(
+        F.concat(F.lit("D"), key).alias("doc_id"), F.col("o_orderpriority").alias("filename"), F.concat(F.lit("files/"), key).alias("local_path"), (F.col("o_orderstatus") == "F").alias("downloaded")
+    )
+    return text.document_files(files)
+
+
 _PEOPLE = [("Name", "Name", "Text"), ("Segment", "Sparte", "Choice"), ("Balance", "Saldo", "Integer"), ("Nation", "Land", "Lookup"), ("Empty", "Leer", "Text")]
 
 
