@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +17,21 @@ from ..sinks.landing import current_version, prune_versions, publish_snapshot, r
 from ..sources import captured
 
 
+# A backlog is read in about so many batches at most, since each batch has a cost of its own.
+BACKLOG_BATCHES = 100
+
+
+def _files_a_batch(spark: SparkSession, path: str, per_batch: int) -> int:
+    """``per_batch`` files, or more where what has been captured would take more than ``BACKLOG_BATCHES`` batches."""
+    try:
+        files = len(spark.read.format("text").load(path).inputFiles())
+    except AnalysisException as fault:
+        if fault.getCondition() != "PATH_NOT_FOUND":
+            raise
+        files = 0
+    return max(per_batch, -(-files // BACKLOG_BATCHES))
+
+
 def _xml_stream(spark: SparkSession, path: str, row_tag: str, schema, per_batch: int | None) -> DataFrame:
     reader = (
         spark.readStream.format("xml")
@@ -24,12 +40,15 @@ def _xml_stream(spark: SparkSession, path: str, row_tag: str, schema, per_batch:
         .schema(schema)
     )
     if per_batch:
-        reader = reader.option("maxFilesPerTrigger", per_batch)
+        reader = reader.option("maxFilesPerTrigger", _files_a_batch(spark, path, per_batch))
     return reader.load(path)
 
 
 def stream_pages(spark: SparkSession, path: str, columns: Sequence[str], per_batch: int | None = None) -> DataFrame:
-    """Item pages as they arrive; the query's checkpoint is the resume point."""
+    """Item pages as they arrive; the query's checkpoint is the resume point.
+
+    A batch has ``per_batch`` files, and more of a long backlog: its batches do not follow its length.
+    """
     stream = _xml_stream(spark, path, "rs:data", captured.rowset_schema(columns), per_batch)
     return captured.page_rows(captured.rowset_pages(stream, columns))
 
@@ -37,7 +56,7 @@ def stream_pages(spark: SparkSession, path: str, columns: Sequence[str], per_bat
 def stream_change_pages(
     spark: SparkSession, path: str, columns: Sequence[str], list_guid: Column, per_batch: int | None = None
 ) -> DataFrame:
-    """Change pages as they arrive, with the list they belong to."""
+    """Change pages as they arrive, with the list they belong to; batches as in ``stream_pages``."""
     stream = _xml_stream(spark, path, "listitems", captured.change_schema(columns), per_batch)
     return captured.change_pages(stream, columns).withColumn("list_guid", list_guid)
 
