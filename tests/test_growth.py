@@ -32,7 +32,7 @@ def batches(folder):
     return len(list(folder.glob("batch_id=*")))
 
 
-@pytest.mark.parametrize("refused", [None])
+@pytest.mark.parametrize("refused", [None, 5])
 def test_long_backlogs_of_changes_take_few_batches(spark, tmp_path, monkeypatch, refused):
     monkeypatch.setattr(feeds, "BACKLOG_BATCHES", 2)
     table = str(tmp_path / "table")
