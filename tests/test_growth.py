@@ -43,3 +43,20 @@ def test_long_backlogs_of_changes_take_few_batches(spark, tmp_path, monkeypatch,
     assert batches(tmp_path / "table" / "changes") == 2
     rows = {(r["item_id"], r["title"]) for r in feeds.current_rows(spark, table).collect()}
     assert rows == {(0, "zero")} | {(i, f"t{i}") for i in range(1, refused or 8)}
+
+
+def test_long_backlogs_of_pages_take_few_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(feeds, "BACKLOG_BATCHES", 2)
+    path = captured_pages(tmp_path / "pages", lambda i: f'<rs:data ItemCount="1"><z:row ows_ID="{i}"/></rs:data>')
+    out = tmp_path / "out"
+    feeds.page_stream(feeds.stream_pages(spark, path, ["ID"], 1), str(out), str(tmp_path / "progress")).awaitTermination()
+    assert batches(out) == 2
+    assert sorted(r["item_id"] for r in spark.read.parquet(str(out)).collect()) == list(range(1, 8))
+
+
+def test_short_backlogs_keep_their_batches(spark, tmp_path):
+    path = captured_pages(tmp_path / "pages", lambda i: f'<rs:data ItemCount="1"><z:row ows_ID="{i}"/></rs:data>', 3)
+    out = tmp_path / "out"
+    feeds.page_stream(feeds.stream_pages(spark, path, ["ID"], 1), str(out), str(tmp_path / "progress")).awaitTermination()
+    assert batches(out) == 3
+    assert feeds._files_a_batch(spark, str(tmp_path / "absent"), 4) == 4
