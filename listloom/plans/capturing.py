@@ -23,6 +23,7 @@ from .registry import Tables, query
 from .relating import customer_lists
 
 PAGE = 200
+LEAST_TASKS = 200
 # The extension whose files are not fetched.
 EXCLUDED = ".pdf"
 ORDER_COLUMNS = ["ID", "Title", "Customer", "Total", "Opened"]
@@ -43,12 +44,17 @@ def _tag(name: str, attributes: dict[str, Column], body: Column | None = None) -
     return F.concat(F.lit(f"<{name}"), *pairs, *end)
 
 
+def _tasks(df: DataFrame) -> int:
+    return max(LEAST_TASKS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _save(df: DataFrame, file: Column, element: Column, name: str) -> str:
     """Write captured elements as documents, one file per value of ``file``.
 
-    ``file`` cuts a running number into runs of fixed length, so no document grows.
+    ``file`` cuts a running number into runs of fixed length, so no document grows. Files are dealt to a
+    fixed number of tasks: by the compressed size that Spark sees, documents many times larger would meet in one task.
     """
-    rows = df.select(F.floor(file).cast("bigint").alias("file"), element.alias("element"))
+    rows = df.select(F.floor(file).cast("bigint").alias("file"), element.alias("element")).repartition(_tasks(df), "file")
     body = F.array_join(F.collect_list("element"), "")
     docs = rows.groupBy("file").agg(F.concat(F.lit('<?xml version="1.0"?>\n<captured>'), body, F.lit("</captured>")).alias("value"))
     path = scratch_path(df.sparkSession, name)
@@ -390,7 +396,8 @@ def read_odata_atom(t: Tables) -> DataFrame:
 
 def _schema_files(t: Tables) -> str:
     lists, fields = customer_lists(t)
-    per_list = fields.withColumn("pos", F.array_position(F.array(*[F.lit(n) for n in ("Nation", "Parent", "Gone", "Owner", "Blank")]), F.col("name")))
+    # Dealt by number as in ``_save``, while they are narrow: texts of fields compress well, too.
+    per_list = fields.repartition(_tasks(fields), "list_guid").withColumn("pos", F.array_position(F.array(*[F.lit(n) for n in ("Nation", "Parent", "Gone", "Owner", "Blank")]), F.col("name")))
     field = _tag(
         "Field",
         {
@@ -405,7 +412,8 @@ def _schema_files(t: Tables) -> str:
     }
     body = _tag("Fields", {}, F.coalesce(F.array_join("fs.f", ""), F.lit("")))
     number = F.regexp_extract("guid", r"(\d+)", 1).cast("bigint")
-    return _save(lists.join(grouped, "guid", "left"), number / 5000, _tag("List", head, body), "schemas")
+    # Merged: the broadcast that their compressed size allows would hold all texts in every task.
+    return _save(lists.join(grouped.hint("merge"), "guid", "left"), number / 5000, _tag("List", head, body), "schemas")
 
 
 @query(

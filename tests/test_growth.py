@@ -60,3 +60,24 @@ def test_short_backlogs_keep_their_batches(spark, tmp_path):
     feeds.page_stream(feeds.stream_pages(spark, path, ["ID"], 1), str(out), str(tmp_path / "progress")).awaitTermination()
     assert batches(out) == 3
     assert feeds._files_a_batch(spark, str(tmp_path / "absent"), 4) == 4
+
+
+def test_schema_fields_are_grouped_in_many_tasks(spark, tmp_path, monkeypatch):
+    spark.range(50).selectExpr("id AS c_custkey", "'n' AS c_name", "id AS c_nationkey").write.parquet(str(tmp_path / "customer.parquet"))
+    spark.range(2).selectExpr("id AS n_nationkey", "'n' AS n_name").write.parquet(str(tmp_path / "nation.parquet"))
+    seen = []
+    monkeypatch.setattr(capturing, "_save", lambda df, *_more: seen.append(df))
+    capturing._schema_files(Tables(spark, str(tmp_path)))
+    assert re.search(r"RepartitionByExpression \[list_guid#\d+\], 200", seen[0]._jdf.queryExecution().analyzed().toString())
+    assert "SortMergeJoin" in seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert seen[0].count() == 52
+
+
+def test_captured_documents_are_dealt_to_many_tasks(spark, tmp_path, monkeypatch):
+    """Equal texts look small to Spark when they are shuffled; in the task that writes them they are not."""
+    path = str(tmp_path / "docs")
+    monkeypatch.setattr(capturing, "scratch_path", lambda _spark, _name: path)
+    capturing._save(spark.range(400).select("id"), F.col("id") / 10, F.lit("<e/>"), "docs")
+    tasks = {re.match(r"part-(\d+)", p.name)[1] for p in (tmp_path / "docs").rglob("part-*.txt")}
+    assert len(list((tmp_path / "docs").glob("file=*"))) == 40 and len(tasks) > 20
+    assert sum(p.read_text().count("<e/>") for p in (tmp_path / "docs").rglob("part-*.txt")) == 400
