@@ -206,6 +206,9 @@ def atom_schema(properties: Sequence[str], nested: Sequence[str]) -> T.StructTyp
     )
 
 
+_TRUE = "^(?i:true)\\z"
+
+
 def _json_text(c: Column) -> Column:
     """A text as JSON string, quotes included; most texts need no escaping."""
     wrapped = F.to_json(F.array(c))
@@ -223,9 +226,9 @@ def _cell_json(cell: Column) -> Column:
     real = F.to_json(F.struct(wire.number(text).alias("n")))
     elements = F.transform(cell["d:element"], lambda e: F.coalesce(e, F.lit("")))
     return (
-        F.when(F.lower(wire.strip(cell["_m:null"])) == "true", F.lit("null"))
+        F.when(wire.strip(cell["_m:null"]).rlike(_TRUE), F.lit("null"))
         .when(F.size(cell["d:element"]) > 0, F.concat(F.lit('{"results":'), F.to_json(elements), F.lit("}")))
-        .when(edm == "Edm.Boolean", (F.lower(wire.strip(text)) == "true").cast("string"))
+        .when(edm == "Edm.Boolean", wire.strip(text).rlike(_TRUE).cast("string"))
         .when(edm.isin("Edm.Int16", "Edm.Int32", "Edm.Byte", "Edm.SByte"), F.coalesce(whole, _json_text(text)))
         .when(
             edm.isin("Edm.Double", "Edm.Single") & wire.number(text).isNotNull(),
@@ -235,16 +238,17 @@ def _cell_json(cell: Column) -> Column:
     )
 
 
-def _members(container: Column, properties: Sequence[str]) -> Column:
-    cells = [
+def _members(container: Column, properties: Sequence[str]) -> list[Column]:
+    """Each property as a member of a JSON object, NULL for an absent one."""
+    return [
         F.when(container[f"d:{p}"].isNotNull(), F.concat(F.lit(f'"{p}":'), _cell_json(container[f"d:{p}"])))
         for p in properties
     ]
-    return F.array_compact(F.array(*cells))
 
 
-def _object(members: Column) -> Column:
-    return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
+def _object(members: Sequence[Column]) -> Column:
+    """An object of texts and arrays of texts; unlike an array of them, this is compiled. NULLs are left out."""
+    return F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
 
 
 def atom_rows(captured: DataFrame, properties: Sequence[str], nested: Sequence[str]) -> DataFrame:
@@ -271,7 +275,7 @@ def atom_rows(captured: DataFrame, properties: Sequence[str], nested: Sequence[s
         related,
         lambda k: F.concat(_json_text(F.substring_index(k["_rel"], "/related/", -1)), F.lit(":"), link_json(k)),
     )
-    members = F.concat(_members(own, properties), F.array_compact(linked))
+    members = [*_members(own, properties), linked]
     return captured.select(F.col("_metadata.file_path").alias("path"), F.try_parse_json(_object(members)).alias("row"))
 
 
