@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import decode, graph, scope
 from ..operators import files as file_rows
 from ..operators.incremental import latest_items
-from ..session import scratch_path
+from ..session import scratch_path, store
 from ..sinks import contract
 from ..sinks import landing as sink
 from ..sources import captured
@@ -24,6 +24,7 @@ from .relating import customer_lists
 
 PAGE = 200
 LEAST_TASKS = 200
+TASK_ITEMS = 25_000
 # The extension whose files are not fetched.
 EXCLUDED = ".pdf"
 ORDER_COLUMNS = ["ID", "Title", "Customer", "Total", "Opened"]
@@ -451,14 +452,19 @@ def _with_empty_list(lists: DataFrame) -> DataFrame:
 def _run(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
     """A full run: raw records, decoded fields, field definitions, lists, one of them empty, and files."""
     fields, lists = order_fields(t), segment_lists(t)
+    # So many that a task sorts and groups its items in memory; compressed, they look many times smaller than they are.
+    tasks = max(t.spark.sparkContext.defaultParallelism, t.orders.count() // TASK_ITEMS)
+    keys = ["list_guid", "item_id"]
     # Every fifth item was sent before, in an older version.
-    sent = raw_orders(t).withColumn("page", F.lit(2))
+    sent = raw_orders(t, tasks).withColumn("page", F.lit(2))
     older = F.map_from_arrays(F.array(F.lit("ows_ID"), F.lit("ows_Title")), F.array(F.col("item_id").cast("string"), F.lit("outdated")))
     resent = sent.filter("item_id % 5 = 0 AND item_id % 101 <> 3").withColumns({"page": F.lit(1), "raw": older})
     kept, _dropped = decode.split_by_item_id(sent.unionByName(resent))
-    kept = latest_items(kept, ["page"]).drop("page")
+    # Records, fields, raw lines and files all read it.
+    kept = store(latest_items(kept.repartition(tasks, *keys), ["page"]).drop("page"), "kept", "zstd")
     records = scope.build_items(kept, lists, keep_raw=True)
-    decoded = decode.decode_items(kept, fields)
+    # Dealt by item before the rows of its columns are made, which are then grouped where they are.
+    decoded = decode.decode_items(kept.repartition(tasks, *keys), fields)
     named = records.select("doc_id", "web_url", "list_guid", "item_id")
     planned = file_rows.plan_files(kept, lists).filter(~F.col("needs_listing")).withColumn("bytes", F.lit(None).cast("bigint"))
     judged = file_rows.skip_policy(planned, "file_name", "bytes", 1_000_000, [EXCLUDED])

@@ -50,9 +50,11 @@ def order_rows(t: Tables) -> DataFrame:
     return t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
 
 
-def raw_orders(t: Tables) -> DataFrame:
-    """Orders as raw list items; about one in a hundred has lost its id."""
+def raw_orders(t: Tables, tasks: int | None = None) -> DataFrame:
+    """Orders as raw list items; about one in a hundred has lost its id. ``tasks`` deals out the orders while they are narrow."""
     rows = t.spread("orders").join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    if tasks is not None:
+        rows = rows.repartition(tasks, "o_orderkey")
     # Texts used more than once are columns of their own.
     rows = rows.select(
         "*", F.col("o_orderkey").cast("string").alias("key"), clock("o_orderdate").alias("day"), money("o_totalprice").alias("total")

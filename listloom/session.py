@@ -88,10 +88,10 @@ def load_if_there(reader: DataFrameReader, path: str, kind: str) -> DataFrame |
         return None
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+def store(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Compute once into the shared folder as Parquet, of which later plans read the columns they need."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
