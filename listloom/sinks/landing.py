@@ -46,10 +46,11 @@ def _placed(df: DataFrame) -> DataFrame:
 def _write_lines(lines: DataFrame, blanks: DataFrame, path: str) -> None:
     """Replace the partitions of all lists in ``lines`` and ``blanks``.
 
-    Rebalancing splits a huge list over many files and keeps small lists in one.
+    Rebalancing splits a huge list over many files and keeps small lists in one. Lines repeat their names, so files are
+    compressed, which readers see by their suffix.
     """
     out = lines.unionByName(blanks).hint("rebalance", *[F.col(p) for p in _PLACE])
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*_PLACE).text(path)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*_PLACE).text(path, compression="gzip")
 
 
 def write_landing(
