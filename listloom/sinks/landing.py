@@ -139,6 +139,14 @@ def current_version(spark: SparkSession, table: str) -> dict | None:
     return row.asDict() if row else None
 
 
+def published_version(spark: SparkSession, table: str) -> int | None:
+    """The number of the newest published version by the names of the pointers alone; no job runs."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table}/_versions/version=*/part-*")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [int(f.getPath().getParent().getName().partition("=")[2]) for f in fs.globStatus(folder) or []]
+    return max(found, default=None)
+
+
 def publish_snapshot(df: DataFrame, table: str, batch_id: int | None = None) -> int:
     """Write a full new version, then add its pointer; readers see either version whole.
 

@@ -13,12 +13,12 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.incremental import KEY, apply_latest, latest_per_key
 from ..scale import broadcast_if_small
 from ..session import materialise
-from ..sinks.landing import current_version, prune_versions, publish_snapshot, read_snapshot
+from ..sinks.landing import current_version, prune_versions, publish_snapshot, published_version, read_snapshot
 from ..sources import captured
 
 
-# A backlog is read in about so many batches at most, since each batch has a cost of its own.
-BACKLOG_BATCHES = 100
+# A backlog is read in about so many batches at most, since each batch has a cost of its own of a second or two.
+BACKLOG_BATCHES = 20
 
 
 def _files_a_batch(spark: SparkSession, path: str, per_batch: int) -> int:
@@ -82,23 +82,25 @@ def change_stream(
     A page with an invalid token ends its list: that page and later ones, of this batch or
     any other one, are left out until the list has been reloaded (``lists_to_reload``,
     ``note_reload`` after ``compact``), in whatever order the pages came. A batch owns its directory, so a replay replaces it and the base
-    is not rewritten per batch. What a batch reads besides its pages is the table of stopped lists, which only batches
-    with a refused token rewrite, so its cost does not follow the number of batches run. ``current_rows`` reads base and log,
+    is not rewritten per batch. What a batch needs besides its pages is the table of stopped lists, which only batches
+    with a refused token rewrite and which is read again only then, so its cost does not follow the number of batches run. ``current_rows`` reads base and log,
     ``compact`` folds the log in and deletes it. ``shape`` turns change rows into the columns of the table. Table and
     checkpoint belong together.
     """
+    stops = _StopsOfRun(table)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             spark = batch.sparkSession
-            refused = batch.filter("token_invalid")
-            if not refused.isEmpty():
+            # One job over all pages, which also fills the cache; a search for the first one would run page by page.
+            if batch.agg(F.max("token_invalid")).first()[0]:
+                refused = batch.filter("token_invalid")
                 _note_stops(spark, table, refused.groupBy("list_guid").agg(F.min(captured.page_key()).alias("stop")), batch_id)
-            known = _stopped(spark, table, batch_id)
+            known = stops.upto(spark, batch_id)
             good = batch
             if known is not None:
-                joined = batch.join(broadcast_if_small(known.select("list_guid", "stop")), "list_guid", "left")
+                joined = batch.join(known, "list_guid", "left")
                 good = joined.filter(F.col("stop").isNull() | (captured.page_key() < F.col("stop"))).drop("stop")
             rows = shape(captured.change_rows(good, F.col("list_guid")))
             _last_of_page(rows).write.mode("overwrite").parquet(f"{table}/changes/batch_id={batch_id}")
@@ -187,6 +189,28 @@ def _stopped(spark: SparkSession, table: str, last_batch: int | None = None) ->
     return stops.groupBy("list_guid").agg(F.min("stop").alias("stop"), F.max("batch_id").alias("batch_id"))
 
 
+class _StopsOfRun:
+    """Where each stopped list ends, for one batch of a run after the other; read again only where a version has been published since."""
+
+    def __init__(self, table: str) -> None:
+        self.table = table
+        self.version: int | None = None
+        self.known: DataFrame | None = None
+
+    def upto(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+        """``list_guid`` and ``stop`` as of ``batch_id``, hinted for the join with the pages."""
+        version = published_version(spark, _stops_table(self.table))
+        if version is None or version == self.version:
+            return self.known if version else None
+        known = _stopped(spark, self.table, batch_id)
+        # Stored, since the version it comes from may be pruned.
+        self.known = broadcast_if_small(materialise(known.select("list_guid", "stop")))
+        # A stop of a later batch counts from that one on; with one, what holds now is not kept.
+        last = _stops(spark, self.table).agg(F.max("batch_id")).first()[0]
+        self.version = version if last is None or last <= batch_id else None
+        return self.known
+
+
 def _folded(spark: SparkSession, table: str) -> int:
     """The last batch that the published base contains."""
     last = current_version(spark, table)

@@ -62,6 +62,46 @@ def test_short_backlogs_keep_their_batches(spark, tmp_path):
     assert feeds._files_a_batch(spark, str(tmp_path / "absent"), 4) == 4
 
 
+def test_stops_are_read_once_a_version(spark, tmp_path, monkeypatch):
+    """A refused page in the first of seven batches: the others use what the first one read."""
+    table, read, stopped = str(tmp_path / "table"), [], feeds._stopped
+    sink.publish_snapshot(spark.createDataFrame([("{A}", 0, "zero")], "list_guid string, item_id bigint, title string"), table)
+    monkeypatch.setattr(feeds, "_stopped", lambda *a: read.append(a) or stopped(*a))
+    path = captured_pages(tmp_path / "pages", lambda i: CHANGE.format(n=i, gone='<Id ChangeType="InvalidToken"/>' if i == 1 else ""))
+    pages = feeds.stream_change_pages(spark, path, ["ID", "Title"], F.when(F.col("page_no") % 2 == 1, "{A}").otherwise("{B}"), 1)
+    feeds.change_stream(pages, table, str(tmp_path / "progress"), shape).awaitTermination()
+    assert batches(tmp_path / "table" / "changes") == 7 and len(read) == 1
+    assert sorted(r["item_id"] for r in feeds.current_rows(spark, table).collect()) == [0, 2, 4, 6]
+
+
+def test_stops_of_a_run_follow_every_version(spark, tmp_path):
+    """A reload noted during a run counts from the next batch on, and a stop of a later batch from that batch on."""
+    table, stops = str(tmp_path / "table"), feeds._StopsOfRun(str(tmp_path / "table"))
+    page = "struct<page_no:bigint,path:string>"
+
+    def note(guid, batch):
+        feeds._note_stops(spark, table, spark.createDataFrame([(guid, (1, "p"))], f"list_guid string, stop {page}"), batch)
+
+    def known(batch):
+        df = stops.upto(spark, batch)
+        return None if df is None else {r["list_guid"] for r in df.collect()}
+
+    assert known(0) is None and sink.published_version(spark, f"{table}/stops") is None
+    note("{A}", 1)
+    assert known(1) == {"{A}"} == known(2)
+    (tmp_path / "table" / "stops" / "_versions" / "version=99").mkdir()
+    assert sink.published_version(spark, f"{table}/stops") == 1
+    feeds.note_reload(spark, table, feeds.lists_to_reload(spark, table))
+    assert known(3) == set()
+    note("{B}", 5)
+    assert known(4) == set() and known(5) == {"{B}"} == known(6)
+
+
+def test_a_backlog_takes_twenty_batches_at_most(spark, tmp_path):
+    path = captured_pages(tmp_path / "pages", lambda i: f'<rs:data ItemCount="1"><z:row ows_ID="{i}"/></rs:data>', 150)
+    assert feeds._files_a_batch(spark, path, 4) == 8 and feeds._files_a_batch(spark, path, 9) == 9
+
+
 def test_schema_fields_are_grouped_in_many_tasks(spark, tmp_path, monkeypatch):
     spark.range(50).selectExpr("id AS c_custkey", "'n' AS c_name", "id AS c_nationkey").write.parquet(str(tmp_path / "customer.parquet"))
     spark.range(2).selectExpr("id AS n_nationkey", "'n' AS n_name").write.parquet(str(tmp_path / "nation.parquet"))
