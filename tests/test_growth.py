@@ -102,6 +102,14 @@ def test_a_backlog_takes_twenty_batches_at_most(spark, tmp_path):
     assert feeds._files_a_batch(spark, path, 4) == 8 and feeds._files_a_batch(spark, path, 9) == 9
 
 
+def test_page_stream_of_a_backlog_has_its_rows_in_few_batches(spark, tmp_path):
+    path = captured_pages(tmp_path / "pages", lambda i: f'<rs:data ItemCount="1"><z:row ows_ID="{i}"/></rs:data>', 45)
+    out = tmp_path / "out"
+    feeds.page_stream(feeds.stream_pages(spark, path, ["ID"], 1), str(out), str(tmp_path / "progress")).awaitTermination()
+    assert batches(out) == 15
+    assert sorted(r["item_id"] for r in spark.read.parquet(str(out)).collect()) == list(range(1, 46))
+
+
 def test_schema_fields_are_grouped_in_many_tasks(spark, tmp_path, monkeypatch):
     spark.range(50).selectExpr("id AS c_custkey", "'n' AS c_name", "id AS c_nationkey").write.parquet(str(tmp_path / "customer.parquet"))
     spark.range(2).selectExpr("id AS n_nationkey", "'n' AS n_name").write.parquet(str(tmp_path / "nation.parquet"))
