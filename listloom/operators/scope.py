@@ -97,6 +97,24 @@ _MERGED = {
 }
 
 
+def add_slugs(rows: DataFrame, lists: DataFrame) -> DataFrame:
+    """Add ``web_slug`` and ``list_slug``, the folder names of a row's place; reads ``web_url`` and ``list_guid``.
+
+    The slug of a web takes many patterns, so it is made once for each web of ``lists``. Rows of other webs, or of webs
+    that are too many to broadcast, make their own.
+    """
+    own = names.web_slug(F.col("web_url"))
+    webs = lists.select("web_url").filter(F.col("web_url").isNotNull()).distinct()
+    known = broadcast_if_small(webs)
+    placed = rows.withColumn("web_slug", own) if known is webs else _known_slugs(rows, known, own)
+    return placed.withColumn("list_slug", names.guid_slug(F.col("list_guid")))
+
+
+def _known_slugs(rows: DataFrame, known: DataFrame, own: Column) -> DataFrame:
+    joined = rows.join(F.broadcast(known.withColumn("_slug", own)), "web_url", "left")
+    return joined.select(*rows.columns, F.coalesce("_slug", own).alias("web_slug"))
+
+
 def base_type_name(c: Column) -> Column:
     out = F.when(F.lit(False), "")
     for code, name in fixed.BASE_TYPE_NAMES.items():
@@ -104,11 +122,12 @@ def base_type_name(c: Column) -> Column:
     return out.otherwise(F.concat(F.lit("unknown_"), c))
 
 
-def build_items(raw_items: DataFrame, lists: DataFrame, keep_raw: bool = False) -> DataFrame:
+def build_items(raw_items: DataFrame, lists: DataFrame, keep_raw: bool = False, identified: bool = False) -> DataFrame:
     """Item records straight from the raw map: one narrow pass and one join to ``lists``.
 
     Rows without a usable id are left out; ``split_by_item_id`` lists them. With
-    ``keep_raw`` the raw map stays beside the record, prefixes stripped.
+    ``keep_raw`` the raw map stays beside the record, prefixes stripped. ``identified`` rows come from ``split_by_item_id``:
+    the id it read is not read again, and rows that are dealt by it stay so.
     """
     # What depends on the list alone is computed once per list.
     placed = lists.select(
@@ -120,7 +139,8 @@ def build_items(raw_items: DataFrame, lists: DataFrame, keep_raw: bool = False)
             F.col("web_url"), F.col("default_view_url"), F.col("root_folder"), F.col("base_type") == "1"
         ).alias("_form"),
     )
-    rows = raw_items.withColumn("item_id", wire.item_id(F.col("raw"))).filter(F.col("item_id").isNotNull())
+    read = raw_items if identified else raw_items.withColumn("item_id", wire.item_id(F.col("raw")))
+    rows = read.filter(F.col("item_id").isNotNull())
     drop = [c for c in rows.columns if c in ("web_url", "list_title")]
     rows = rows.drop(*drop).join(broadcast_if_small(placed), "list_guid", "left")
 

@@ -449,37 +449,52 @@ def _with_empty_list(lists: DataFrame) -> DataFrame:
     return lists.unionByName(lists.limit(1).withColumns(named))
 
 
-def _run(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
-    """A full run: raw records, decoded fields, field definitions, lists, one of them empty, and files."""
-    fields, lists = order_fields(t), segment_lists(t)
+KEYS = ["list_guid", "item_id"]
+
+
+def _kept(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """The items of a full run in their last version, the field definitions, the lists, and the number of tasks for them."""
+    # Small, but counted from all orders and read by every output.
+    fields, lists = store(order_fields(t), "fields"), store(segment_lists(t), "lists")
     # So many that a task sorts and groups its items in memory; compressed, they look many times smaller than they are.
     tasks = max(t.spark.sparkContext.defaultParallelism, t.orders.count() // TASK_ITEMS)
-    keys = ["list_guid", "item_id"]
     # Every fifth item was sent before, in an older version.
     sent = raw_orders(t, tasks).withColumn("page", F.lit(2))
     older = F.map_from_arrays(F.array(F.lit("ows_ID"), F.lit("ows_Title")), F.array(F.col("item_id").cast("string"), F.lit("outdated")))
     resent = sent.filter("item_id % 5 = 0 AND item_id % 101 <> 3").withColumns({"page": F.lit(1), "raw": older})
     kept, _dropped = decode.split_by_item_id(sent.unionByName(resent))
-    # Records, fields, raw lines and files all read it.
-    kept = store(latest_items(kept.repartition(tasks, *keys), ["page"]).drop("page"), "kept", "zstd")
-    records = scope.build_items(kept, lists, keep_raw=True)
+    # Records, fields, raw lines and files all read it. By id first, which tells rows apart when they are sorted.
+    last = latest_items(kept.repartition(tasks, *KEYS), ["page"], KEYS[::-1]).drop("page")
+    return store(last, "kept", "zstd"), fields, lists, tasks
+
+
+def _outputs(kept: DataFrame, fields: DataFrame, lists: DataFrame, tasks: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    records = scope.build_items(kept, lists, keep_raw=True, identified=True)
     # Dealt by item before the rows of its columns are made, which are then grouped where they are.
-    decoded = decode.decode_items(kept.repartition(tasks, *keys), fields)
+    decoded = decode.decode_items(kept.repartition(tasks, *KEYS), fields)
     named = records.select("doc_id", "web_url", "list_guid", "item_id")
     planned = file_rows.plan_files(kept, lists).filter(~F.col("needs_listing")).withColumn("bytes", F.lit(None).cast("bigint"))
     judged = file_rows.skip_policy(planned, "file_name", "bytes", 1_000_000, [EXCLUDED])
-    files = judged.join(named, ["list_guid", "item_id"]).select(
-        "doc_id", "web_url", "list_guid", F.col("file_name").alias("filename"), "url", F.lit(None).cast("string").alias("local_path"),
+    files = judged.join(named, KEYS).select(
+        "doc_id", "web_url", *KEYS, F.col("file_name").alias("filename"), "url", F.lit(None).cast("string").alias("local_path"),
         "bytes", F.lit(None).cast("string").alias("sha256"), F.lit(False).alias("downloaded"), "skip_reason",
     )
     return records, decoded, fields, lists, _with_empty_list(lists), files
 
 
+def _run(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """A full run: raw records, decoded fields, field definitions, lists, one of them empty, and files."""
+    return _outputs(*_kept(t))
+
+
 def _landing(t: Tables) -> str:
     """Both outputs and the schemas of a run."""
     root = scratch_path(t.spark, "landing")
-    records, decoded, fields, lists, all_lists, files = _run(t)
-    sink.write_landing(sink.contract_items(records.drop("raw"), decoded, fields), records, all_lists, root, files)
+    kept = _kept(t)
+    records, decoded, fields, lists, all_lists, files = _outputs(*kept)
+    # Dealt as the decoded fields are, so that both meet without another shuffle.
+    items = records.drop("raw").repartition(kept[-1], *KEYS)
+    sink.write_landing(sink.contract_items(items, decoded, fields), records, all_lists, root, files)
     sink.write_list_schemas(lists, fields, root)
     return root
 
@@ -493,7 +508,10 @@ def _contract_documents(t: Tables, lists: DataFrame) -> tuple[DataFrame, DataFra
 def _contract(t: Tables) -> str:
     """The same run laid out for other tools."""
     root = scratch_path(t.spark, "contract")
-    records, decoded, fields, _, lists, files = _run(t)
+    kept = _kept(t)
+    records, decoded, fields, _, lists, files = _outputs(*kept)
+    # Dealt as the decoded fields are, so that all meet without another shuffle.
+    records, files = (df.repartition(kept[-1], *KEYS) for df in (records, files))
     contract.write_contract_landing(sink.contract_items(records, decoded, fields), *_contract_documents(t, lists), root, files)
     return root
 

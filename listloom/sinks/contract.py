@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import re
 import uuid
 from collections.abc import Iterator, Sequence
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from ..functions import names
-from ..session import require_utc
+from ..operators.scope import add_slugs
+from ..session import require_utc, store
 from ..stores import open_store
 
 ITEMS, RAW = "items.jsonl", "items_raw.jsonl"
@@ -24,17 +26,20 @@ COUNTED = frozenset(["webs.json"])
 LAST = ("webs.json", "_graph.json")
 _ROWS = "folder string, file string, section string, body string, twin string"
 SLICE_ROWS = 512
+# Lines of a list go on in compressed parts when a task has written so many bytes of them.
+PLAIN_BYTES = 8 * 1024 * 1024
 
 
 @dataclass
 class Part:
-    """A file that a task has staged for ``folder/file``."""
+    """A file that a task has staged for ``folder/file``; ``suffix`` says how it is compressed."""
 
     folder: str
     file: str
     number: int
     staged: str
     lines: int
+    suffix: str = ""
 
 
 @dataclass
@@ -46,13 +51,17 @@ class _Output:
     """One staged file: lines, or a document of sections."""
 
     def __init__(self, store: fs.FileSystem, part: Part) -> None:
-        self.part, self.stream = part, store.open_output_stream(part.staged)
+        self.part, self.file = part, store.open_output_stream(part.staged, compression=None)
+        self.stream = gzip.GzipFile(fileobj=self.file, mode="wb", compresslevel=5) if part.suffix else self.file
         self.section: str | None = None
+        self.size = 0
 
     def lines(self, bodies: Sequence[str]) -> None:
         if bodies:
-            self.stream.write(("\n".join(bodies) + "\n").encode())
+            data = ("\n".join(bodies) + "\n").encode()
+            self.stream.write(data)
             self.part.lines += len(bodies)
+            self.size += len(data)
 
     def entry(self, section: str, body: str | None) -> None:
         """Entries of a section come one after another; a null body only makes the section."""
@@ -71,6 +80,7 @@ class _Output:
             count = f', "count": {self.part.lines}' if self.part.file in COUNTED else ""
             self.stream.write(f"\n]{count}}}\n".encode())
         self.stream.close()
+        self.file.close()
 
 
 class ContractWriter(DataSourceArrowWriter):
@@ -79,10 +89,11 @@ class ContractWriter(DataSourceArrowWriter):
     A row without section is a line; ``twin`` is the line of the raw file beside the items, so both files have
     the same order. A row with a section is an entry of a JSON document. A task stages files of its
     own attempt, ``commit`` puts those of the successful attempts in place, ``abort`` removes all that was staged.
+    Lines beyond ``PLAIN_BYTES`` go on in parts with the suffix ``.gz``; both files of a list are parted at the same item.
     """
 
-    def __init__(self, root: str, overwrite: bool) -> None:
-        self.root, self.overwrite = root.rstrip("/"), overwrite
+    def __init__(self, root: str, overwrite: bool, plain_bytes: int = PLAIN_BYTES) -> None:
+        self.root, self.overwrite, self.plain_bytes = root.rstrip("/"), overwrite, plain_bytes
         self.staging = f"{self.root}/_staging-{uuid.uuid4().hex}"
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Staged:
@@ -93,11 +104,11 @@ class ContractWriter(DataSourceArrowWriter):
         own = f"{base}/{context.partitionId()}-{context.taskAttemptId()}"
         store.create_dir(own)
         parts: list[Part] = []
-        place, outputs = None, {}
+        place, outputs, suffix = None, {}, ""
 
         def output(folder: str, file: str) -> _Output:
             if file not in outputs:
-                parts.append(Part(folder, file, context.partitionId(), f"{own}/{len(parts)}", 0))
+                parts.append(Part(folder, file, context.partitionId(), f"{own}/{len(parts)}", 0, suffix))
                 outputs[file] = _Output(store, parts[-1])
             return outputs[file]
 
@@ -117,7 +128,7 @@ class ContractWriter(DataSourceArrowWriter):
                             b += 1
                         if first != place:
                             close()
-                            place = first
+                            place, suffix = first, ""
                         some, a = rows[a:b], b
                         if some[0]["section"] is not None:
                             for r in some:
@@ -126,6 +137,9 @@ class ContractWriter(DataSourceArrowWriter):
                         output(*first).lines([r["body"] for r in some if r["body"] is not None])
                         if first[1] == ITEMS:
                             output(first[0], RAW).lines([r["twin"] for r in some if r["body"] is not None])
+                        if not suffix and max(o.size for o in outputs.values()) > self.plain_bytes:
+                            close()
+                            suffix = ".gz"
         finally:
             close()
         return Staged(parts)
@@ -137,7 +151,7 @@ class ContractWriter(DataSourceArrowWriter):
             for part in message.parts if message else ():
                 files.setdefault((part.folder, part.file), []).append(part)
         for folder, file in sorted(files, key=lambda f: (f[1] in LAST, f)):
-            # A part without lines says that the file must be there; it is needed where there is no other.
+            # A part without lines says that the file must be there; it is needed where there is no other. A task's own are in order.
             parts = sorted(files[folder, file], key=lambda p: p.number)
             parts = [p for p in parts if p.lines] or parts[:1]
             self._place(store, f"{base}/{folder}/{file}" if folder else f"{base}/{file}", parts)
@@ -160,7 +174,7 @@ class ContractWriter(DataSourceArrowWriter):
             store.move(f"{target}.first", f"{target}/part-{0:08d}")
             kept = 1
         elif kind == fs.FileType.Directory:
-            kept = 1 + max(int(re.search(r"(\d+)$", f.path)[1]) for f in store.get_file_info(fs.FileSelector(target)))
+            kept = 1 + max(int(re.search(r"part-(\d+)[^/]*$", f.path)[1]) for f in store.get_file_info(fs.FileSelector(target)))
         store.create_dir(target.rpartition("/")[0])
         if len(parts) == 1 and not kept:
             store.move(parts[0].staged, target)
@@ -168,7 +182,7 @@ class ContractWriter(DataSourceArrowWriter):
         store.create_dir(target)
         for i, part in enumerate(parts, kept):
             if part.lines:
-                store.move(part.staged, f"{target}/part-{i:08d}")
+                store.move(part.staged, f"{target}/part-{i:08d}{part.suffix}")
 
     def _drop_staging(self) -> None:
         store, path = open_store(self.staging)
@@ -190,7 +204,7 @@ class ContractSource(DataSource):
         return _ROWS
 
     def writer(self, schema: object, overwrite: bool) -> ContractWriter:
-        return ContractWriter(self.options["path"], overwrite)
+        return ContractWriter(self.options["path"], overwrite, int(self.options.get("plainBytes", PLAIN_BYTES)))
 
 
 _KEEP = {"ignoreNullFields": "false"}
@@ -207,14 +221,19 @@ def _row(folder: Column, file: str, section: str | None, body: Column, twin: Col
 
 
 def with_attachments(items: DataFrame, attachments: DataFrame | None) -> DataFrame:
-    """``items`` with the files of each as the array that the contract's lines carry, by url and name; none is ``[]``."""
+    """``items`` with the files of each as the array that the contract's lines carry, by url and name; none is ``[]``.
+
+    Files that carry the ``item_id`` of their item beside its list are tied by both, as the items are dealt; others by ``doc_id``.
+    """
     none = F.array().cast("array<struct<filename:string,url:string,local_path:string,bytes:bigint,sha256:string,downloaded:boolean,skip_reason:string>>")
     if attachments is None:
         return items.withColumn("attachments", none)
     entry = F.struct(*FILE)
-    grouped = attachments.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("url", "filename", entry.alias("f")))).alias("_f"))
-    joined = items.join(grouped.select("doc_id", F.col("_f.f").alias("attachments")), "doc_id", "left")
-    return joined.withColumn("attachments", F.coalesce("attachments", none))
+    keys = ["item_id", "list_guid"] if "item_id" in attachments.columns else ["doc_id"]
+    grouped = attachments.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("url", "filename", entry.alias("f")))).alias("_f"))
+    joined = items.join(grouped.select(*keys, F.col("_f.f").alias("attachments")), keys, "left")
+    rest = [c for c in items.columns if c != "doc_id"]
+    return joined.select("doc_id", *rest, F.coalesce("attachments", none).alias("attachments"))
 
 
 def _list_info(lists: DataFrame) -> Column:
@@ -250,10 +269,12 @@ def _lines(items: DataFrame, lists: DataFrame, attachments: DataFrame | None) ->
     """Line pairs of all items by list and item id, and a row for each list that makes its files."""
     whole = with_attachments(items, attachments)
     body = F.to_json(F.struct(*[c for c in whole.columns if c != "raw"]), _KEEP)
-    folder = _folder(F.col("web_url"), F.col("list_guid"))
-    lines = whole.select(*_row(folder, ITEMS, None, body, F.to_json("raw", _KEEP)), F.col("item_id").alias("_o"))
+    folder = F.concat(F.lit("webs/"), F.col("web_slug"), F.lit("/lists/"), F.col("list_slug"))
+    lines = add_slugs(whole, lists).select(*_row(folder, ITEMS, None, body, F.to_json("raw", _KEEP)), F.col("item_id").alias("_o"))
     present = lists.select(*_row(_folder(F.col("web_url"), F.col("guid")), ITEMS, None, F.lit(None).cast("string")), F.lit(None).cast("bigint").alias("_o"))
     order = [F.col("folder"), F.col("_o").asc_nulls_first()]
+    # Stored, because the ranges are drawn from a first pass over the rows, which would else derive all of them.
+    lines = store(lines, "lines", "zstd")
     return lines.unionByName(present).repartitionByRange(*order).sortWithinPartitions(*order).drop("_o")
 
 

@@ -9,8 +9,9 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import names
 from ..operators.decode import value_variant
+from ..operators.scope import add_slugs
+from ..scale import broadcast_if_small
 from ..session import load_if_there, materialise, require_utc
 
 _PLACE = ["web_slug", "list_slug"]
@@ -25,22 +26,36 @@ def contract_items(items: DataFrame, item_fields: DataFrame, list_fields: DataFr
     join the lines at the end (``contract.write_contract_landing``).
     Items that were sent more than once must be reduced to their last version first
     (``latest_items``); what is left twice here, with equal values or not, keeps one line per item.
+    Frames dealt by ``list_guid`` and ``item_id`` to as many tasks are tied where they are.
     """
-    valued = value_variant(item_fields).select("list_guid", "item_id", "field", "value")
-    valued = valued.groupBy("list_guid", "item_id", "field").agg(F.max_by("value", F.to_json("value")).alias("value"))
-    items = items.dropDuplicates(["list_guid", "item_id"])
-    merged = valued.groupBy("list_guid", "item_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("field", "value"))).alias("_f")
-    )
-    merged = merged.select("list_guid", "item_id", F.parse_json(F.to_json("_f", {"ignoreNullFields": "false"})).alias("fields"))
+    # By id first: it tells items apart where few lists have most of them.
+    keys = ["item_id", "list_guid"]
+    # A number counts as its text does, so that it is written as it is read.
+    value = F.when(F.col("v_double").isNotNull(), F.parse_json(F.to_json("value"))).otherwise(F.col("value")).alias("value")
+    merged = value_variant(item_fields).groupBy(*keys).agg(F.collect_list(F.struct("field", value)).alias("_p"))
+    merged = _one_value_a_field(merged, "_p").select(*keys, F.to_variant_object(F.map_from_entries("_p")).alias("fields"))
     shown = list_fields.groupBy("list_guid").agg(
         F.map_from_entries(F.collect_list(F.struct("name", "display_name"))).alias("field_display_names")
     )
-    return items.join(merged, ["list_guid", "item_id"], "left").join(shown, "list_guid", "left")
+    items = items.dropDuplicates(keys)
+    joined = items.join(merged, keys, "left").select(*items.columns, "fields")
+    return joined.join(broadcast_if_small(shown), "list_guid", "left").select(*_front(items.columns), "fields", "field_display_names")
+
+
+def _one_value_a_field(df: DataFrame, name: str) -> DataFrame:
+    """Pairs of ``field`` and ``value`` with one of each field: any value before none, then the greatest as text."""
+    pairs = F.col(name)
+    twice = F.size(F.array_distinct(pairs["field"])) < F.size(pairs)
+    ranked = F.transform(pairs, lambda x, i: F.struct(x["field"].alias("field"), F.to_json(x["value"]).alias("text"), i.alias("i")))
+    df = df.withColumn("_ranked", F.when(twice, F.sort_array(ranked)))
+    last = F.filter("_ranked", lambda x, i: F.coalesce(F.get("_ranked", i + 1)["field"] != x["field"], F.lit(True)))
+    best = F.transform(last, lambda x: F.struct(x["field"].alias("field"), F.get(name, x["i"])["value"].alias("value")))
+    return df.withColumn(name, F.coalesce(best, pairs)).drop("_ranked")
 
 
-def _placed(df: DataFrame) -> DataFrame:
-    return df.withColumn("web_slug", names.web_slug(F.col("web_url"))).withColumn("list_slug", names.guid_slug(F.col("list_guid")))
+def _front(columns: Sequence[str]) -> list[str]:
+    """The keys of a list and of an item in front, as joins on them put them."""
+    return ["list_guid", "item_id", *[c for c in columns if c not in ("list_guid", "item_id")]]
 
 
 def _write_lines(lines: DataFrame, blanks: DataFrame, path: str) -> None:
@@ -69,13 +84,13 @@ def write_landing(
     occupied = raw.select("web_url", "list_guid").distinct()
     empty = lists.select("web_url", F.col("guid").alias("list_guid")).join(occupied, ["web_url", "list_guid"], "left_anti")
     # One row per list at most; both outputs use it.
-    blanks = materialise(_placed(empty).select(F.lit("").alias("value"), *_PLACE))
+    blanks = materialise(add_slugs(empty, lists).select(F.lit("").alias("value"), *_PLACE))
     body = F.to_json(F.struct(*items.columns), keep_nulls)
-    _write_lines(_placed(items).select(body.alias("value"), *_PLACE), blanks, f"{root}/items")
+    _write_lines(add_slugs(items, lists).select(body.alias("value"), *_PLACE), blanks, f"{root}/items")
     raw_body = F.to_json(F.struct("doc_id", "raw"), keep_nulls)
-    _write_lines(_placed(raw).select(raw_body.alias("value"), *_PLACE), blanks, f"{root}/items_raw")
+    _write_lines(add_slugs(raw, lists).select(raw_body.alias("value"), *_PLACE), blanks, f"{root}/items_raw")
     if attachments is not None:
-        rows = _placed(attachments.select("doc_id", "web_url", "list_guid", *_FILE))
+        rows = add_slugs(attachments.select("doc_id", "web_url", "list_guid", *_FILE), lists)
         body = F.to_json(F.struct("doc_id", *_FILE), keep_nulls)
         _write_lines(rows.select(body.alias("value"), *_PLACE), blanks, f"{root}/attachments")
 

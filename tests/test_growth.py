@@ -1,14 +1,18 @@
 """What must not grow with the input: batches of a backlog, documents of one task, passes over a run."""
 
+import gzip
+import json
 import re
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from listloom.functions import wire
+from listloom.functions import names, wire
+from listloom.operators import decode, scope
 from listloom.plans import capturing
 from listloom.plans.registry import Tables
+from listloom.sinks import contract
 from listloom.sinks import landing as sink
 from listloom.sources import captured
 from listloom.sources import landing as source
@@ -176,3 +180,96 @@ def test_atom_members_are_joined_without_arrays(spark, tmp_path):
     rows = captured.read_odata_atom(spark, str(folder), ["Id", "Ok", "No", "Absent"])
     assert sorted(r["j"] for r in rows.select(F.to_json("row").alias("j")).collect()) == ['{"Id":1,"No":null,"Ok":true}', "{}"]
     assert "concat_ws" in rows._jdf.queryExecution().analyzed().toString()
+
+
+def contract_rows(spark, ids):
+    text = F.lit(None).cast("string")
+    return ids.repartition(1).sortWithinPartitions("id").select(
+        F.lit("webs/w/lists/l").alias("folder"), F.lit("items.jsonl").alias("file"), text.alias("section"),
+        F.format_string('{"item_id":%d,"pad":"%s"}', "id", F.lit("x" * 100)).alias("body"), F.format_string('{"ID":"%d"}', "id").alias("twin"),
+    )
+
+
+def test_long_lists_go_on_in_compressed_parts(spark, tmp_path):
+    spark.dataSource.register(contract.ContractSource)
+    root = str(tmp_path / "c")
+
+    def write(ids, mode):
+        contract_rows(spark, ids).write.format("contract_landing").mode(mode).option("plainBytes", "50000").save(root)
+
+    def lines(name):
+        parts = sorted((tmp_path / "c" / "webs" / "w" / "lists" / "l" / name).glob("part-*"))
+        return [p.name for p in parts], [[json.loads(x) for x in (gzip.open(p, "rt") if p.suffix else p.open())] for p in parts]
+
+    write(spark.range(3000), "overwrite")
+    names, items = lines("items.jsonl")
+    assert names == ["part-00000000", "part-00000001.gz"] == lines("items_raw.jsonl")[0]
+    assert [x["item_id"] for part in items for x in part] == list(range(3000))
+    # Part by part, both files hold the same items.
+    assert [[x["item_id"] for x in part] for part in items] == [[int(x["ID"]) for x in part] for part in lines("items_raw.jsonl")[1]]
+    write(spark.range(3000, 3003), "append")
+    names, items = lines("items.jsonl")
+    assert names[2:] == ["part-00000002"] and [x["item_id"] for x in items[2]] == [3000, 3001, 3002]
+    assert source.read_contract_items(spark, root).agg(F.count_distinct("item_id")).first()[0] == 3003 == source.read_contract_raw_items(spark, root).count()
+    # A short list is the plain file of the contract.
+    write(spark.range(3), "overwrite")
+    assert (tmp_path / "c" / "webs" / "w" / "lists" / "l" / "items.jsonl").read_text().count("\n") == 3
+
+
+def test_lines_of_the_contract_are_derived_once(spark, small):
+    """Ranges are drawn from stored lines; items, fields and files meet where they were dealt."""
+    kept = capturing._kept(small)
+    records, decoded, fields, _, lists, files = capturing._outputs(*kept)
+    records, files = (df.repartition(kept[-1], *capturing.KEYS) for df in (records, files))
+    items = sink.contract_items(records, decoded, fields)
+    whole = contract.with_attachments(items, files)
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 3 and not re.search(r"hashpartitioning\(item_id", plan)
+    ranged = contract._lines(items, lists, files)
+    assert not re.search("Join|Generate", ranged._jdf.queryExecution().optimizedPlan().toString())
+    assert ranged.filter("body IS NOT NULL").count() == 39
+
+
+def test_files_are_tied_by_item_or_by_document(spark):
+    items = spark.createDataFrame([("d1", "{A}", 1), ("d2", "{A}", 2)], "doc_id string, list_guid string, item_id bigint")
+    extra = {"local_path": F.lit(None).cast("string"), "bytes": F.lit(3).cast("bigint"), "sha256": F.lit(None).cast("string"), "downloaded": F.lit(True), "skip_reason": F.lit(None).cast("string")}
+    files = spark.createDataFrame([("d2", "{A}", 2, "u2", "b"), ("d2", "{A}", 2, "u1", "a")], "doc_id string, list_guid string, item_id bigint, url string, filename string").withColumns(extra)
+    for some in (files, files.drop("item_id")):
+        whole = contract.with_attachments(items, some)
+        assert whole.columns == ["doc_id", "list_guid", "item_id", "attachments"]
+        assert {r["doc_id"]: [f["url"] for f in r["attachments"]] for r in whole.collect()} == {"d1": [], "d2": ["u1", "u2"]}
+
+
+def test_slugs_are_made_once_for_each_web(spark, monkeypatch):
+    urls = ["http://farm/sites/Ä b", "http://other/x", None, "http://FARM/sites/%C3%84/?q"]
+    rows = spark.createDataFrame([(u, "{AB}" if u else None) for u in urls], "web_url string, list_guid string")
+    lists = spark.createDataFrame([(urls[0], "{AB}"), (urls[0], "{C}"), (None, "{D}"), (urls[3], "{E}")], "web_url string, guid string")
+    own = rows.select("web_url", "list_guid", names.web_slug(F.col("web_url")).alias("web_slug"), names.guid_slug(F.col("list_guid")).alias("list_slug"))
+
+    def seen(df):
+        return sorted(map(str, df.select("web_url", "list_guid", "web_slug", "list_slug").collect()))
+
+    placed = scope.add_slugs(rows, lists)
+    assert seen(placed) == seen(own) and "BroadcastHashJoin" in placed._jdf.queryExecution().executedPlan().toString()
+    # Webs that are too many to broadcast leave each row to itself.
+    monkeypatch.setattr(scope, "broadcast_if_small", lambda df: df)
+    assert seen(scope.add_slugs(rows, lists)) == seen(own)
+
+
+def test_fields_sent_twice_keep_the_greatest_text(spark):
+    raw = [("{A}", 1, {"ows_Title": "b", "ows_N": "1.50", "ows_Gone": None}), ("{A}", 1, {"ows_Title": "a", "ows_N": "", "ows_Gone": "x"}), ("{A}", 2, {"ows_N": "1e10"}), (None, 3, {"ows_N": "7"})]
+    raw = spark.createDataFrame(raw, "list_guid string, item_id bigint, raw map<string,string>")
+    fields = spark.createDataFrame([("{A}", 0, "N", "Zahl", "Number", None)], "list_guid string, pos int, name string, display_name string, type string, result_type string")
+    out = sink.contract_items(raw.drop("raw"), decode.decode_items(raw, fields), fields)
+    assert out.columns == ["list_guid", "item_id", "fields", "field_display_names"]
+    got = {r["item_id"]: r["f"] for r in out.select("item_id", F.to_json("fields").alias("f")).collect()}
+    assert got == {1: '{"Gone":"x","N":1.5,"Title":"b"}', 2: '{"N":1.0E10}', 3: None}
+
+
+def test_identified_rows_stay_where_they_are_dealt(spark):
+    raw = spark.createDataFrame([("{A}", 1, {"ows_ID": "1;#1"}), ("{A}", 2, {"ows_ID": ""})], "list_guid string, item_id bigint, raw map<string,string>")
+    lists = spark.createDataFrame([("{A}", "Alpha", "http://sp/a", "0", "", "")], "guid string, title string, web_url string, base_type string, root_folder string, default_view_url string")
+    kept, _dropped = decode.split_by_item_id(raw)
+    assert [r["item_id"] for r in scope.build_items(kept, lists, identified=True).collect()] == [1] == [r["item_id"] for r in scope.build_items(raw, lists).collect()]
+    dealt = scope.build_items(kept.repartition(3, "list_guid", "item_id"), lists, identified=True).dropDuplicates(["item_id", "list_guid"])
+    assert dealt._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
